@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": exact_dedup.query}
+    return {
+        "op1_exact_dedup": exact_dedup.query,
+        "op8_substring_dedup": substring_dedup.query,
+        "op10_toxicity": toxicity.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
