@@ -2,7 +2,8 @@
 
 Folding lower-cases, maps look-alike letters of other scripts and digit substitutions to one Latin letter per class
 (l, 1 and i are one class), and turns everything that is not a letter into one space; terms and exception phrases are
-folded alike and match whole words only. A hit inside an exception phrase does not count. Hits are weighted, and a
+folded alike and match whole words only, but for stems (ending in *), which match where a word begins so. A hit inside
+an exception phrase does not count. Hits are weighted, and a
 logistic curve over presence, weight and weight per word gives a score from 0 to 1.
 
 Null and empty texts have no hits and get the score of a text without hits. Repeated rows get equal scores.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -24,9 +26,13 @@ from pyspark.sql import types as T
 from .common import crc_mod, table
 
 #: Most labelled rows that a model is fitted on; the rows with the smallest hash of their id.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 8_000
+#: Lengths of the stems that are tried: so many first letters of a longer word.
+STEMS = (4, 5, 6, 7)
 #: Most terms that are tried, and most that are kept.
 CANDIDATES, TERMS = 1_000, 200
+#: Ridge of the slopes: presence, weight, weight per word.
+RIDGE = (0.01, 0.1, 1.0)
 #: Terms that are tried whatever the labelled rows hold.
 SEEDS = (
     "idiot moron imbecile stupid dumb loser scum trash garbage filth vermin worthless pathetic disgusting clown jerk "
@@ -63,9 +69,10 @@ class Model:
 
             a = ahocorasick.Automaton()
             for t in self.weights:
-                a.add_word(f" {t} ", (len(t), t, True))
+                own = f" {t[:-1]}" if t.endswith("*") else f" {t} "
+                a.add_word(own, (len(own), t, True))
             for t in self.exceptions:
-                a.add_word(f" {t} ", (len(t), t, False))
+                a.add_word(f" {t} ", (len(t) + 2, t, False))
             if len(a):
                 a.make_automaton()
             self.automaton.append(a)
@@ -75,14 +82,14 @@ class Model:
         return {**self.__dict__, "automaton": []}
 
     def hits(self, folded: str) -> list[tuple[int, int, str]]:
-        """(start, end, term) of every hit outside exception phrases, in the folded text."""
+        """(start, end, term) of every hit outside exception phrases, in the folded text; each word counts once for a term."""
         a = self._machine()
         if not len(a):
             return []
         found, safe = [], []
         for end, (n, term, bad) in a.iter(folded):
-            (found if bad else safe).append((end - n, end, term))
-        return [x for x in found if not any(s <= x[0] and x[1] <= e for s, e, _ in safe)] if safe else found
+            (found if bad else safe).append((end - n + 2, end, term))
+        return [x for x in found if not any(s <= x[0] <= e for s, e, _ in safe)] if safe else found
 
     def features(self, folded: str) -> tuple[float, float, float]:
         hits = self.hits(folded)
@@ -105,7 +112,7 @@ def _fitted_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Newton's method for a logistic curve with a small ridge; slopes stay at 0 or above."""
     b = np.zeros(x.shape[1] + 1)
     design = np.hstack([np.ones((len(x), 1)), x])
-    ridge = np.diag([1e-6] + [0.1] * x.shape[1])
+    ridge = np.diag([1e-6, *RIDGE])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ b, -30, 30)))
         grad = design.T @ (y - p) - ridge @ b
@@ -119,9 +126,16 @@ def _fitted_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 
 def _terms_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many toxic and clean rows of the partition hold each word and each stem."""
+    bad, good = Counter(), Counter()
     for pdf in batches:
-        rows = [(t, toxic, row) for text, toxic, row in zip(pdf["text"], pdf["toxic"], pdf["row"], strict=True) for t in set(fold(text).split())]
-        yield pd.DataFrame(rows, columns=["term", "toxic", "row"])
+        for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
+            words = set(fold(text).split())
+            (bad if toxic else good).update(words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k})
+    terms = list(bad.keys() | good.keys())
+    for at in range(0, len(terms), 50_000):
+        some = terms[at : at + 50_000]
+        yield pd.DataFrame({"term": some, "b": [bad[t] for t in some], "g": [good[t] for t in some]})
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: int = TRAIN_ROWS) -> Model:
@@ -142,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
         if not bad or not good:
             return base
         odds = F.log((F.col("b") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("g") + 0.5) / F.lit(good + 1.0))
-        counts = rows_df.mapInPandas(_terms_of, "term string, toxic int, row long").groupBy("term").agg(F.sum("toxic").alias("b"), F.sum(1 - F.col("toxic")).alias("g"))
+        counts = rows_df.mapInPandas(_terms_of, "term string, b long, g long").groupBy("term").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
         seeds = list(base.weights)
         top = counts.where((F.col("b") >= 3) & (F.length("term") > 2)).withColumn("odds", odds).where("odds > 1.5")
         top = top.orderBy(F.desc(F.col("odds") * F.sqrt("b")), "term").limit(CANDIDATES)
@@ -178,16 +192,16 @@ def _cover(seen: list, tried: dict[str, tuple]) -> list[str]:
         for t in r["terms"]:
             at[t][0 if r["toxic"] else 1].add(i)
     kept, done, hurt = [], set(), set()
+    least = max(5, 0.005 * sum(r["toxic"] for r in seen))
     while len(kept) < TERMS:
-        gain, best = max(((len(b - done) - 2 * len(g - hurt), t) for t, (b, g) in at.items() if t not in kept), default=(0, ""))
-        if gain < 2:
+        gain, _, _, best = max(((len(b - done) - 2 * len(g - hurt), t[-1] != "*", len(t), t) for t, (b, g) in at.items() if t not in kept), default=(0, 0, 0, ""))
+        if gain < least:
             break
         kept.append(best)
         done |= at[best][0]
         hurt |= at[best][1]
-    # Terms that stand only in toxic rows and often count too, though others explain those rows.
-    often = max(5, 0.02 * sum(r["toxic"] for r in seen))
-    return kept + [t for t, (b, g) in at.items() if t not in kept and len(b) >= often and not g and t in default_model().weights]
+    # Seeds that stand only in toxic rows and often count too, though others explain those rows.
+    return kept + [t for t in default_model().weights if t in at and t not in kept and len(at[t][0]) > 4 * len(at[t][1])]
 
 
 def _learned_exceptions(rows: DataFrame, model: Model) -> list[str]:
@@ -199,8 +213,9 @@ def _learned_exceptions(rows: DataFrame, model: Model) -> list[str]:
             for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
                 folded, own = fold(text), set()
                 for s, e, _ in model.hits(folded):
-                    before, after = folded[:s].rsplit(None, 1)[-1:], folded[e:].split(None, 1)[:1]
-                    own |= {f"{w} {folded[s:e].strip()}" for w in before} | {f"{folded[s:e].strip()} {w}" for w in after}
+                    word = folded[s : folded.index(" ", s)]
+                    before, after = folded[max(0, s - 60) : s].split()[-1:], folded[s + len(word) : s + len(word) + 60].split()[:1]
+                    own |= {f"{w} {word}" for w in before} | {f"{word} {w}" for w in after}
                 out += [(p, toxic) for p in own]
             yield pd.DataFrame(out, columns=["phrase", "toxic"])
 
