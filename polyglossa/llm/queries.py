@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, substring_dedup, toxicity
+from . import exact_dedup, jaccard_join, packing, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.query,
+        "op2_best_fit_packing": packing.query,
         "op5_jaccard_join": jaccard_join.query,
         "op8_substring_dedup": substring_dedup.query,
         "op10_toxicity": toxicity.query,
