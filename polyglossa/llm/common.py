@@ -140,6 +140,59 @@ def shingles(counts: np.ndarray, w: np.ndarray, windows: Windows, n: int = 5) ->
     return rows, hs
 
 
+# ---- groups and texts in transit ----------------------------------------------------------------
+
+
+def whole_groups(batches: Iterable, keys: list[str], rows: int = 5_000) -> Iterator[tuple]:
+    """(frame, first row of each group) for frames of whole groups, from batches in which the rows of a group stand together."""
+    import pandas as pd
+
+    held: list = []
+
+    def bounds(pdf) -> np.ndarray:
+        new = np.ones(len(pdf), bool)
+        new[1:] = False
+        for k in keys:
+            v = pdf[k].to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            pdf = pd.concat([*held, batch.iloc[at : at + rows]], ignore_index=True) if held else batch.iloc[at : at + rows].reset_index(drop=True)
+            first = bounds(pdf)
+            cut = int(first[-1])
+            if cut:
+                yield pdf.iloc[:cut], first[:-1]
+            held = [pdf.iloc[cut:]]
+    if held and len(held[0]):
+        pdf = held[0].reset_index(drop=True)
+        yield pdf, bounds(pdf)
+
+
+def compressed(df: DataFrame, text: str) -> DataFrame:
+    """df with the text column as Zstandard frames, for shuffles whose own codec hardly compresses short texts."""
+    import pyarrow as pa
+
+    def of(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+        for batch in batches:
+            at = batch.schema.names.index(text)
+            packed = pa.array([None if t is None else pack(t) for t in batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], packed, *batch.columns[at + 1 :]], names=batch.schema.names)
+
+    return df.mapInArrow(of, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in df.schema.fields))
+
+
+def decompressor():
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return lambda z: None if z is None else unpack(z)
+
+
 # ---- components -------------------------------------------------------------------------------
 
 

@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, Windows, components, local_roots, mixed, shingles, staged, table, wide, word_chunks
+from .common import WordHashes, Windows, components, compressed, decompressor, local_roots, mixed, shingles, staged, table, whole_groups, wide, word_chunks
 
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES, DEPTH, RECALL = 16, 6, 0.9995
 #: Classes of a group that one task meets with as many others at most.
-BLOCK = 1500
+BLOCK = 700
 
 
 def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
@@ -87,15 +87,31 @@ def _blocked(pairs: np.ndarray, side: np.ndarray, split: bool) -> np.ndarray:
     return pairs & (side[:, None] != side[None, :]) if split else pairs
 
 
-def _chunked_first(p: np.ndarray, side: np.ndarray, tree: int, split: bool) -> np.ndarray:
-    return _blocked(_first_meetings(p, tree), side, split)
+def _key(pdf: pd.DataFrame) -> tuple[int, bool]:
+    """(tree, whether two different blocks meet) of a meeting's rows."""
+    return int(pdf["tree"].iloc[0]), pdf["x"].iloc[0] != pdf["y"].iloc[0]
 
 
-def _needed(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The members of a block meeting that have a pair to verify here."""
-    p = np.stack(pdf["prefixes"].to_numpy())
-    pairs = _chunked_first(p, pdf["block"].to_numpy(), int(pdf["tree"].iloc[0]), pdf["x"].iloc[0] != pdf["y"].iloc[0])
-    return pdf.loc[pairs.any(axis=1), ["tree", "prefix", "x", "y", "block", "cid"]]
+def _pairs(pdf: pd.DataFrame, p: np.ndarray) -> np.ndarray:
+    tree, split = _key(pdf)
+    return _blocked(_first_meetings(p, tree), pdf["block"].to_numpy(), split)
+
+
+_MEETING = ["tree", "prefix", "x", "y"]
+
+
+def _needed(batches):
+    """The members of a meeting that have a pair to verify in it. Meetings of two rows are looked at all at once."""
+    for pdf, first in whole_groups(batches, _MEETING):
+        p, n = np.stack(pdf["prefixes"].to_numpy()), np.diff(np.append(first, len(pdf)))
+        keep = np.zeros(len(pdf), bool)
+        two = first[n == 2]
+        apart = (pdf["x"].to_numpy()[two] == pdf["y"].to_numpy()[two]) | (pdf["block"].to_numpy()[two] != pdf["block"].to_numpy()[two + 1])
+        yes = two[((p[two] == p[two + 1]).argmax(axis=1) == pdf["tree"].to_numpy()[two]) & apart]
+        keep[yes] = keep[yes + 1] = True
+        for at, size in zip(first[n > 2].tolist(), n[n > 2].tolist(), strict=True):
+            keep[at : at + size] = _pairs(pdf.iloc[at : at + size], p[at : at + size]).any(axis=1)
+        yield pdf.loc[keep, ["tree", "prefix", "x", "y", "block", "cid"]]
 
 
 def _common_counts(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
@@ -119,33 +135,50 @@ def _common_counts(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
 def _verified(shingle: int, threshold: float):
     ratio = Fraction(str(threshold))
 
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes, windows = WordHashes(), Windows()
-        p = np.stack(pdf["prefixes"].to_numpy())
-        pairs = _chunked_first(p, pdf["block"].to_numpy(), int(pdf["tree"].iloc[0]), pdf["x"].iloc[0] != pdf["y"].iloc[0])
-        rows, hs = [], []
-        for first, counts, w in word_chunks((t.encode() for t in pdf["text"]), hashes):
-            r, h = shingles(counts, w, windows, shingle)
-            rows.append(r + first)
-            hs.append(h)
-        row, h = np.concatenate(rows), np.concatenate(hs)
-        order = np.lexsort((h, row))
-        row, h = row[order], h[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-        row, h = row[new], h[new]
-        size = np.bincount(row, minlength=len(pdf)).astype(np.int64)
-        common = _common_counts(row, h, len(pdf)).astype(np.int64)
-        linked = pairs & (ratio.denominator * common >= ratio.numerator * (size[:, None] + size[None, :] - common))
-        a, b = np.nonzero(np.triu(linked))
-        n_links = linked.astype(np.int64) @ pdf["copies"].to_numpy(np.int64)
-        cid = pdf["cid"].to_numpy(np.int64)
-        root = cid.copy()
-        if len(a):
-            v, r = local_roots(cid[a], cid[b])
-            root = np.where(np.isin(cid, v), r[np.searchsorted(v, cid).clip(0, len(v) - 1)], cid)
-        has = n_links > 0
-        return pd.DataFrame({"cid": cid[has], "root": root[has], "links": n_links[has]})
+    def of(batches):
+        hashes, windows, unpack = WordHashes(), Windows(), decompressor()
+        for pdf, first in whole_groups(batches, _MEETING, 1_000):
+            rows, hs = [], []
+            for begin, counts, w in word_chunks(map(unpack, pdf["text"]), hashes):
+                r, h = shingles(counts, w, windows, shingle)
+                rows.append(r + begin)
+                hs.append(h)
+            row, h = np.concatenate(rows), np.concatenate(hs)
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+            row, h = row[new], h[new]
+            size = np.bincount(row, minlength=len(pdf)).astype(np.int64)
+            n = np.diff(np.append(first, len(pdf)))
+            copies, cid = pdf["copies"].to_numpy(np.int64), pdf["cid"].to_numpy(np.int64)
+            links, root = np.zeros(len(pdf), np.int64), cid.copy()
+            # Meetings of two rows: their common shingles are the neighbours that are equal in the order of (meeting, hash).
+            group = np.repeat(np.arange(len(first)), n)
+            two = np.flatnonzero(n == 2)
+            own = n[group[row]] == 2
+            g, x = group[row[own]], h[own]
+            order = np.lexsort((x, g))
+            g, x = g[order], x[order]
+            common = np.bincount(g[1:][(g[1:] == g[:-1]) & (x[1:] == x[:-1])], minlength=len(first))[two]
+            a = first[two]
+            yes = a[ratio.denominator * common >= ratio.numerator * (size[a] + size[a + 1] - common)]
+            links[yes], links[yes + 1] = copies[yes + 1], copies[yes]
+            root[yes] = root[yes + 1] = np.minimum(cid[yes], cid[yes + 1])
+            for at, m in zip(first[n > 2].tolist(), n[n > 2].tolist(), strict=True):
+                part = slice(at, at + m)
+                pairs = _pairs(pdf.iloc[part], np.stack(pdf["prefixes"].iloc[part].to_numpy()))
+                lo, hi = np.searchsorted(row, [at, at + m])
+                common = _common_counts(row[lo:hi] - at, h[lo:hi], m).astype(np.int64)
+                linked = pairs & (ratio.denominator * common >= ratio.numerator * (size[part, None] + size[None, part] - common))
+                links[part] = linked @ copies[part]
+                i, j = np.nonzero(np.triu(linked))
+                if len(i):
+                    v, r = local_roots(cid[part][i], cid[part][j])
+                    where = np.isin(cid[part], v)
+                    root[part] = np.where(where, r[np.searchsorted(v, cid[part]).clip(0, len(v) - 1)], cid[part])
+            has = links > 0
+            yield pd.DataFrame({"cid": cid[has], "root": root[has], "links": links[has]})
 
     return of
 
@@ -177,12 +210,14 @@ def jaccard_join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", th
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cid", "tree", "prefix", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
-    key = ["tree", "prefix", "x", "y"]
-    found = met.join(classes.select("cid", "prefixes"), "cid").groupBy(*key).applyInPandas(_needed, "tree int, prefix long, x int, y int, block int, cid long")
+    dealt = lambda df: df.repartition(wide(spark), *_MEETING).sortWithinPartitions(*_MEETING)
+    found = dealt(met.join(classes.select("cid", "prefixes"), "cid")).mapInPandas(_needed, "tree int, prefix long, x int, y int, block int, cid long")
     found = staged(found, "meetings")
+    # Joins of one kind at every size: the texts are dealt out by id once, compressed.
     needed = found.select("cid").distinct()
-    texts = src.select(F.col("doc_id").alias("cid"), "text").join(needed, "cid", "left_semi").dropDuplicates(["cid"]).join(classes.select("cid", "copies", "prefixes"), "cid")
-    told = found.join(texts, "cid").groupBy(*key).applyInPandas(_verified(shingle, threshold), "cid long, root long, links long")
+    texts = compressed(src.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("cid"), "text"), "text").join(needed.hint("merge"), "cid", "left_semi").dropDuplicates(["cid"])
+    texts = texts.join(classes.select("cid", "copies", "prefixes").hint("merge"), "cid")
+    told = dealt(found.join(texts.hint("merge"), "cid")).mapInPandas(_verified(shingle, threshold), "cid long, root long, links long")
     told = staged(told, "links")
     group = components(told.where("cid <> root"), "cid", "root").withColumnRenamed("node", "cid")
     links = told.groupBy("cid").agg(F.sum("links").alias("links"))
