@@ -2,7 +2,8 @@
 
 Two equal windows of n words share an aligned anchor: with a difference cover D modulo v, any two positions i and j have
 a shift below v that takes both into D. So it is enough to hash runs of n - v + 1 words at positions in D. Runs that
-occur twice are the seeds; only the windows around a seed are then compared whole, by 128 bits.
+occur twice are the seeds; only the windows around a seed are then compared whole, by 95 bits. Of equal texts all words of
+all copies go (given n words), and one copy stands for them where windows are compared.
 
 Each task first removes repeats of its own block, so that the shuffle gets one row a block for any hash however hot it is.
 """
@@ -15,10 +16,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, Windows, mixed, positions, table, word_chunks
+from .common import WordHashes, Windows, compressed, decompressor, mixed, positions, table, word_chunks
 
 WORDS = 35
 PERIOD = 21
@@ -41,16 +43,18 @@ def cover(period: int) -> tuple[int, ...]:
 
 def _local(h: np.ndarray, h2: np.ndarray, key: np.ndarray, pos: np.ndarray, salt: int) -> pa.RecordBatch:
     """A block's hashes with repeats of the block marked; of equal ones only the first keeps its hash as the key to be dealt by."""
-    order = np.lexsort((h2, h)) if len(h2) and h2.any() else np.argsort(h, kind="stable")
+    order = np.argsort(h, kind="stable")
     a, b = h[order], h2[order]
     same = np.zeros(len(a), bool)
     same[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     seen = same.copy()
     seen[:-1] |= same[1:]
-    a, b = a.copy(), b.copy()
-    a[same] = mixed(np.flatnonzero(same).astype(np.uint64) + np.uint64(salt))
-    b[same] = mixed(key[order][same].view(np.uint64) ^ pos[order][same].astype(np.uint64) ^ a[same])
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(key[order]), pa.array(pos[order].astype(np.int32)), pa.array(seen)], names=["h", "h2", "key", "pos", "seen"])
+    mark, again = np.zeros(len(a), bool), order[same]
+    mark[order] = seen
+    h, h2 = h.copy(), h2.copy()
+    h[again] = mixed(again.astype(np.uint64) + np.uint64(salt))
+    h2[again] = mixed(key[again].view(np.uint64) ^ mixed(pos[again].astype(np.uint64))) >> np.uint64(33)
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(h2.astype(np.int32)), pa.array(key), pa.array(pos.astype(np.int32)), pa.array(mark)], names=["h", "h2", "key", "pos", "seen"])
 
 
 class _Blocks:
@@ -72,13 +76,17 @@ class _Blocks:
                 yield whole.slice(at, 1 << 17)
 
 
-_HASHED = "h long, h2 long, key long, pos int, seen boolean"
+_HASHED = "h long, h2 int, key long, pos int, seen boolean"
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("_text").cast(pa.binary()).to_pylist()
 
 
+def _unpacked(batch: pa.RecordBatch) -> list[bytes | None]:
+    return list(map(decompressor(), batch.column("_text").to_pylist()))
+
+
 def _anchors(words: int, period: int):
     at, run = np.isin(np.arange(period), cover(period)), words - period + 1
 
@@ -98,16 +106,17 @@ def _anchors(words: int, period: int):
 
 
 def _around(words: int, period: int):
-    """The whole windows around seeds, in 128 bits."""
+    """The whole windows around seeds, in 95 bits."""
 
     def of(batches):
         hashes, one, two, blocks = WordHashes(), Windows(0), Windows(1), _Blocks()
         for batch in batches:
-            batch = batch.filter(batch.column("_pos").is_valid())
+            # Of copies one speaks for all.
+            batch = batch.filter(pc.and_(batch.column("_pos").is_valid(), pc.invert(pc.fill_null(pc.equal(batch.column("_role"), 1), False))))
             if not batch.num_rows:
                 continue
             keys, seeds = batch.column("_key").to_numpy(zero_copy_only=False), batch.column("_pos")
-            for first, counts, w in word_chunks(_texts(batch), hashes):
+            for first, counts, w in word_chunks(_unpacked(batch), hashes):
                 if len(w) < words:
                     continue
                 own = seeds.slice(first, len(counts))
@@ -121,7 +130,7 @@ def _around(words: int, period: int):
                 row, pos = positions(counts)
                 m = len(w) - words + 1
                 take = np.flatnonzero((np.cumsum(mark)[:m] > 0) & (row[:m] == row[words - 1 :]))
-                yield from blocks.add(one.hashes(w, words)[take], two.hashes(w, words)[take], keys[first + row[take]], pos[take])
+                yield from blocks.add(one.hashes(w, words)[take], two.hashes(w, words)[take] >> np.uint64(33), keys[first + row[take]], pos[take])
         yield from blocks.flush()
 
     return of
@@ -134,14 +143,16 @@ def _repeated(hashed: DataFrame) -> DataFrame:
     return told.groupBy(F.col("key").alias("_key")).agg(F.collect_list("pos").alias("_pos"))
 
 
-def _cut(words: int):
+def _cut(words: int, name: str):
     def of(batches):
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, pos in zip(_texts(batch), batch.column("_pos"), strict=True):
+            n_words, n_removed, kept, texts = [], [], [], _unpacked(batch)
+            for text, pos, role in zip(texts, batch.column("_pos"), batch.column("_role").to_pylist(), strict=True):
                 own = text.split() if text else []
                 gone = 0
-                if pos.is_valid:
+                if role is not None and len(own) >= words:
+                    gone, left = len(own), b""
+                elif pos.is_valid:
                     mark = np.zeros(len(own) + 1, np.int32)
                     at = pos.values.to_numpy(zero_copy_only=False)
                     np.add.at(mark, at, 1)
@@ -154,8 +165,8 @@ def _cut(words: int):
                 n_words.append(len(own))
                 n_removed.append(gone)
                 kept.append(left)
-            out = batch.drop_columns(["_key", "_pos", "_text"])
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=[*out.schema.names, "n_words", "n_removed", "kept_text"])
+            out = batch.drop_columns(["_key", "_pos", "_text", "_role"])
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=[*out.schema.names, name, "n_words", "n_removed", "kept_text"])
 
     return of
 
@@ -170,14 +181,22 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     docs = docs.drop("n_words", "n_removed", "kept_text")
     unique = docs.groupBy(doc_id).count().where(f"count > 1 OR `{doc_id}` IS NULL").isEmpty()
-    whole = docs.drop(*(c for c in ("_key", "_text", "_pos") if c in docs.columns))
-    whole = whole.withColumn("_key", F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text)).withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    whole = docs.drop(*(c for c in ("_key", "_text", "_pos", "_role") if c in docs.columns))
+    whole = whole.withColumn("_key", F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text)).withColumnRenamed(text, "_text")
     kept_columns = [f for f in whole.schema.fields if f.name not in ("_key", "_text")]
     seeds = _repeated(whole.select("_key", "_text").mapInArrow(_anchors(words, period), _HASHED))
-    around = whole.join(seeds, "_key", "left").mapInArrow(_around(words, period), _HASHED)
-    told = whole.join(_repeated(around), "_key", "left")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_columns), "n_words long, n_removed long, kept_text string"])
-    return told.select(*(f"`{f.name}`" for f in kept_columns), "_key", "_text", "_pos").mapInArrow(_cut(words), schema)
+    digests = whole.select("_key", F.unhex(F.sha2("_text", 256)).alias("digest"), "_text").where("_text <> ''").select("_key", "digest")
+    many = digests.groupBy("digest").agg(F.min("_key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    roles = digests.join(many.hint("merge"), "digest").groupBy("_key").agg(F.max((F.col("_key") != F.col("first")).cast("int")).alias("_role"))
+    sent = compressed(whole, "_text")
+
+    def beside(found: DataFrame) -> DataFrame:
+        """The same shuffle of the texts serves both joins."""
+        return sent.join(found.join(roles.hint("merge"), "_key", "full").hint("merge"), "_key", "left")
+
+    around = beside(seeds).mapInArrow(_around(words, period), _HASHED)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_columns), "`{text}` string, n_words long, n_removed long, kept_text string".format(text=text)])
+    return beside(_repeated(around)).select(*(f"`{f.name}`" for f in kept_columns), "_key", "_text", "_pos", "_role").mapInArrow(_cut(words, text), schema)
 
 
 def dedup_text(docs: DataFrame) -> DataFrame:
