@@ -54,7 +54,7 @@ def _local(h: np.ndarray, h2: np.ndarray, key: np.ndarray, pos: np.ndarray, salt
     h, h2 = h.copy(), h2.copy()
     h[again] = mixed(again.astype(np.uint64) + np.uint64(salt))
     h2[again] = mixed(key[again].view(np.uint64) ^ mixed(pos[again].astype(np.uint64))) >> np.uint64(33)
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(h2.astype(np.int32)), pa.array(key), pa.array(pos.astype(np.int32)), pa.array(mark)], names=["h", "h2", "key", "pos", "seen"])
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(h2.astype(np.int32)), pa.array(key), pa.array((2 * pos + mark).astype(np.int32))], names=["h", "h2", "key", "at"])
 
 
 class _Blocks:
@@ -76,7 +76,8 @@ class _Blocks:
                 yield whole.slice(at, 1 << 17)
 
 
-_HASHED = "h long, h2 int, key long, pos int, seen boolean"
+#: at: twice the position, plus 1 if the block has the hash again.
+_HASHED = "h long, h2 int, key long, at int"
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
@@ -139,8 +140,8 @@ def _around(words: int, period: int):
 def _repeated(hashed: DataFrame) -> DataFrame:
     """(key, positions) of hashes that occur more than once."""
     same = Window.partitionBy("h", "h2")
-    told = hashed.withColumn("twice", F.max("seen").over(same) | (F.count("*").over(same) > 1)).where("twice")
-    return told.groupBy(F.col("key").alias("_key")).agg(F.collect_list("pos").alias("_pos"))
+    told = hashed.withColumn("twice", (F.max(F.col("at").bitwiseAND(1)).over(same) > 0) | (F.count("*").over(same) > 1)).where("twice")
+    return told.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.shiftright("at", 1)).alias("_pos"))
 
 
 def _cut(words: int, name: str):
