@@ -35,73 +35,63 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds(dict):
+class WordIds:
     """Token ids (as little-endian 32-bit bytes) of runs without ASCII white space.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs in order. New
-    runs are encoded many at a time; a run of Latin letters with trailing punctuation is put together from both.
+    runs of Latin letters with trailing punctuation are encoded many at a time and told apart by word-end tokens. Runs
+    are kept in two generations of a bounded size, so that frequent ones stay.
     """
 
-    LIMIT = 600_000
-    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&$*#|]*)")
+    LIMIT = 450_000
+    _MARKS = b".,;:!?%&$*#|"
+    _PLAIN = re.compile("^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$", re.MULTILINE)
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # A run of these letters ends where a token with the word-end suffix stands.
+        # A run of letters ends where a token with the word-end suffix stands.
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.cores: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _raw(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self)
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-            self.cores.clear()
-            new = words
-        plain, cores = [], set()
-        for w in new:
-            text = w.decode()
-            if m := self._PLAIN.fullmatch(text):
-                core = m[1].lower()
-                plain.append((w, core, m[2]))
-                if core not in self.cores:
-                    cores.add(core)
-            else:
-                self[w] = self._one(text)
-        cores = list(cores)
-        for at in range(0, len(cores), 2000):
-            some = cores[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > self.LIMIT:
+            self.words, self.older, new = {}, self.words, words
+        known = new.intersection(self.older)
+        for w in known:
+            self.words[w] = self.older[w]
+        new = new.difference(known)
+        plain = self._PLAIN.findall(b"\n".join(new).decode())
+        for at in range(0, len(plain), 4000):
+            some = plain[at : at + 4000]
+            own = [w.encode() for w in some]
+            # One run of letters a word, and one of punctuation if it ends so.
+            runs = np.array([1 + (w[-1:] in self._MARKS) for w in own])
+            ids = self._raw(" ".join(some))
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(some):
-                raw, begin = ids.tobytes(), 0
-                for core, end in zip(some, (ends * 4).tolist(), strict=True):
-                    self.cores[core] = raw[begin:end]
-                    begin = end
-            else:
-                for core in some:
-                    self.cores[core] = self._one(core)
-        for w, core, mark in plain:
-            if mark not in self.marks:
-                self.marks[mark] = self._one(mark)
-            self[w] = self.cores[core] + self.marks[mark]
+            if len(ends) == runs.sum():
+                ends, raw = (4 * ends[np.cumsum(runs) - 1]).tolist(), ids.tobytes()
+                self.words.update(zip(own, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=False))
+        for w in new.difference(self.words):
+            self.words[w] = self._raw(w.decode()).tobytes()
 
     def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """The ids of each text and the end id."""
         end = np.array([END], "<u4").tobytes()
-        for at in range(0, len(texts), 256):
-            split = [t.split() if t else [] for t in texts[at : at + 256]]
+        for at in range(0, len(texts), 512):
+            split = [t.split() if t else [] for t in texts[at : at + 512]]
             self.learn(set().union(*split))
             for words in split:
-                yield b"".join(map(self.__getitem__, words)) + end
+                yield b"".join(map(self.words.__getitem__, words)) + end
 
 
 _CACHE: dict[str, WordIds] = {}
@@ -114,8 +104,8 @@ def _pieces(path: str, capacity: int, keep_ids: bool):
         cache = _CACHE[path]
         chunk, ranks, width = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), 4 * capacity
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                part = batch.slice(first, 1024)
+            for first in range(0, batch.num_rows, 2048):
+                part = batch.slice(first, 2048)
                 ids, texts, cols = part.column("_id").to_pylist(), part.column("_text").cast(pa.binary()).to_pylist(), [[] for _ in range(8)]
                 for doc, tokens in zip(ids, cache.ids(texts), strict=True):
                     for k, at in enumerate(range(0, len(tokens), width)):
@@ -261,7 +251,7 @@ def packed(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sent = spark.sparkContext.broadcast(runs)
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select("chunk", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = parts.join(offsets, ["chunk", "length"]).withColumn("rank", F.col("local") + F.col("before"))
+    ranked = parts.join(offsets.hint("merge"), ["chunk", "length"]).withColumn("rank", F.col("local") + F.col("before"))
 
     def place(batches):
         runs = sent.value
