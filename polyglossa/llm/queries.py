@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, packing, substring_dedup, toxicity
+from . import byte_bpe, exact_dedup, jaccard_join, packing, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": packing.query,
         "op5_jaccard_join": jaccard_join.query,
         "op8_substring_dedup": substring_dedup.query,
+        "op9_byte_bpe": byte_bpe.query,
         "op10_toxicity": toxicity.query,
     }
 
