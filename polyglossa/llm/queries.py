@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, jaccard_join, packing, substring_dedup, toxicity
+from . import byte_bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, packing, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.query,
         "op2_best_fit_packing": packing.query,
+        "op3_embedding_dedup": embedding_dedup.query,
         "op5_jaccard_join": jaccard_join.query,
+        "op7_chat_format": chat_format.query,
         "op8_substring_dedup": substring_dedup.query,
         "op9_byte_bpe": byte_bpe.query,
         "op10_toxicity": toxicity.query,
@@ -21,4 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE}
+    return {
+        "op1_exact_dedup": exact_dedup.ORACLE,
+        "op3_embedding_dedup": embedding_dedup.ORACLE,
+        "op7_chat_format": chat_format.ORACLE,
+    }
