@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, packing, substring_dedup, toxicity
+from . import byte_bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, language_id, license_scan, packing, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,7 +14,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": exact_dedup.query,
         "op2_best_fit_packing": packing.query,
         "op3_embedding_dedup": embedding_dedup.query,
+        "op4_license_scan": license_scan.query,
         "op5_jaccard_join": jaccard_join.query,
+        "op6_language_id": language_id.query,
         "op7_chat_format": chat_format.query,
         "op8_substring_dedup": substring_dedup.query,
         "op9_byte_bpe": byte_bpe.query,
