@@ -20,8 +20,10 @@ from .common import crc_mod, table
 
 #: Most labelled rows that a model is fitted on: those with the smallest hash of their id.
 TRAIN_ROWS = 4_000
-#: Hash buckets (a power of 2), dimensions, passes, rows of a step, learning rate.
-BUCKETS, DIM, EPOCHS, STEP, RATE = 1 << 15, 16, 12, 32, 8.0
+#: Hash buckets (a power of 2), dimensions, passes, rows of a step, learning rate (Adagrad's).
+BUCKETS, DIM, EPOCHS, STEP, RATE = 1 << 15, 16, 8, 32, 0.3
+#: Fewest steps, so that small samples are learned as well.
+LEAST_STEPS = 400
 #: Share of the sample kept for calibration, and the accuracy that accepted rows of it should have.
 KEPT_BACK, ACCEPTED_ACCURACY = 5, 0.99
 UNKNOWN = "und"
@@ -104,23 +106,32 @@ def train(texts: list[str], langs: list[str], seed: int = 11) -> Model:
     fit = np.flatnonzero(~kept) if (~kept).any() else np.arange(len(y))
     e = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     w, c = rng.normal(0, 0.1, (DIM, len(languages))).astype(np.float32), np.zeros(len(languages), np.float32)
-    steps = max(1, EPOCHS * len(fit) // STEP)
+    steps = max(LEAST_STEPS, EPOCHS * len(fit) // STEP)
+    seen = [np.full(v.shape, 1e-8, np.float32) for v in (e, w, c)]
+
+    def move(v: np.ndarray, sums: np.ndarray, grad: np.ndarray, rate: float) -> None:
+        sums += grad * grad
+        v -= np.float32(rate) * grad / np.sqrt(sums)
+
     for s in range(steps):
         own = rng.choice(fit, min(STEP, len(fit)), replace=False)
         rate = RATE * (1 - s / steps)
         u, n = np.concatenate([rows[i][0] for i in own]), np.concatenate([rows[i][1] for i in own])
         at = np.repeat(np.arange(len(own)), [len(rows[i][0]) for i in own])
-        x = np.stack([np.bincount(at, n * e[u, k], len(own)) for k in range(DIM)], axis=1)
+        x = np.stack([np.bincount(at, n * e[u, k], len(own)) for k in range(DIM)], axis=1).astype(np.float32)
         z = x @ w + c
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(own)), y[own]] -= 1
         p = (p / len(own)).astype(np.float32)
         back = p @ w.T
-        w -= np.float32(rate * 0.1) * (x.T @ p).astype(np.float32)
-        c -= np.float32(rate * 0.02) * p.sum(axis=0)
-        for k in range(DIM):
-            e[:, k] -= np.float32(rate) * np.bincount(u, n * back[at, k], BUCKETS).astype(np.float32)
+        move(w, seen[1], x.T @ p, rate)
+        move(c, seen[2], p.sum(axis=0), 0.1 * rate)
+        there, which = np.unique(u, return_inverse=True)
+        grad = np.stack([np.bincount(which, n * back[at, k], len(there)) for k in range(DIM)], axis=1).astype(np.float32)
+        part = seen[0][there] + grad * grad
+        seen[0][there] = part
+        e[there] -= np.float32(rate) * grad / np.sqrt(part)
     model = Model(languages, e @ w, c)
     check = np.flatnonzero(kept)
     if not len(check):
