@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -73,15 +74,20 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
     nodes = nodes.where("tree IS NOT NULL AND node IS NOT NULL")
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     light = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum")).join(known, ["tree", "parent"], "left")
-    level = staged(light.select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "sum", F.lit(1).cast("long").alias("n")), "jumps")
-    jumps = []
-    while not level.where("up IS NOT NULL").isEmpty():
+    open_ = staged(light.select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "sum", F.lit(1).cast("long").alias("n")), "jumps")
+    jumps: list[DataFrame] = []
+    done = [open_.where("up IS NULL")]
+    # Only nodes that have not met their root yet are joined again; those that have are set aside.
+    while not open_.where("up IS NOT NULL").isEmpty():
         if len(jumps) > 40:
             raise ValueError("the parents of a tree form a circle")
-        jumps.append(level.where("up IS NOT NULL").select("tree", "node", "up"))
-        above = level.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("n").alias("n2"))
-        level = level.join(above, ["tree", "up"], "left").select("tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"))
-        level = staged(level, "jumps")
+        still = open_.where("up IS NOT NULL")
+        jumps.append(still.select("tree", "node", "up"))
+        above = reduce(DataFrame.unionByName, [still, *done]).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("n").alias("n2"))
+        open_ = still.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.col("sum2")).alias("sum"), (F.col("n") + F.col("n2")).alias("n"))
+        open_ = staged(open_, "jumps")
+        done.append(open_.where("up IS NULL"))
+    level = reduce(DataFrame.unionByName, done)
     inner = jumps[0].select("tree", F.col("up").alias("node")).distinct() if jumps else level.select("tree", "node").limit(0)
     leaves = level.join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), (F.col("sum") / F.col("n")).alias("path_score"), "n")
     if branches is not None:
@@ -89,8 +95,9 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= branches).drop("_rank")
     path = leaves.select("tree", "leaf", "path_score", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("back"))
     for k in range(len(jumps) - 1, -1, -1):
-        higher = path.join(jumps[k], ["tree", "node"]).select("tree", "leaf", "path_score", F.col("up").alias("node"), (F.col("back") + 2**k).alias("back"))
-        path = path.unionByName(higher)
+        # Each row goes on as itself and, where it reaches so far, as its ancestor; one join a level, no self-union.
+        both = F.array(F.struct("node", "back"), F.struct(F.col("up").alias("node"), (F.col("back") + 2**k).alias("back")))
+        path = path.join(jumps[k], ["tree", "node"], "left").select("tree", "leaf", "path_score", F.inline(F.filter(both, lambda x: x["node"].isNotNull())))
     turn = F.struct((-F.col("back")).alias("at"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = path.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf", "path_score").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
