@@ -101,6 +101,19 @@ def reply_rows(reply: Column, name: str = "alignments") -> Column:
     return F.coalesce(listed, members)
 
 
+def _side_faults(rows: Column, name: str, limit: Column, most: int) -> list[tuple[Column, str]]:
+    """What may be wrong with one language of a reply's rows."""
+    numbers = F.transform(rows, lambda r: r[name])
+    flat = F.flatten(F.transform(numbers, lambda n: F.coalesce(n, F.array().cast("array<int>"))))
+    explained = lambda r: F.coalesce(F.ltrim(r["note"]).startswith("unmatched:"), F.lit(False))
+    return [
+        (F.exists(numbers, lambda n: n.isNull() | (F.size(n) > most)), "numbers"),
+        (F.exists(flat, lambda v: v.isNull() | (v < 1) | (v > limit)), "range"),
+        (F.exists(rows, lambda r: (F.size(r[name]) == 0) & ~explained(r)), "unexplained empty side"),
+        ((F.size(flat) == 0) | (F.array_max(flat) != F.size(flat)) | (F.size(F.array_distinct(flat)) != F.size(flat)), "prefix"),
+    ]
+
+
 def check_alignment(reply: Column, limits: dict[str, int | Column], most: int = 3) -> Column:
     """Whether a reply covers a prefix of every language exactly once, as struct<ok, reason>.
 
@@ -111,14 +124,7 @@ def check_alignment(reply: Column, limits: dict[str, int | Column], most: int =
     rows = F.from_json(reply, schema)["alignments"]
     wrong = F.when(rows.isNull() | (F.size(rows) == 0), "no alignments")
     for name, limit in limits.items():
-        side = F.col(limit) if isinstance(limit, str) else F.lit(limit) if isinstance(limit, int) else limit
-        numbers = F.transform(rows, lambda r, name=name: r[name])
-        flat = F.flatten(F.transform(numbers, lambda n: F.coalesce(n, F.array().cast("array<int>"))))
-        missing = F.exists(numbers, lambda n: n.isNull() | (F.size(n) > most))
-        outside = F.exists(flat, lambda v, side=side: v.isNull() | (v < 1) | (v > side))
-        silent = F.exists(rows, lambda r, name=name: (F.size(r[name]) == 0) & ~F.coalesce(F.ltrim(r["note"]).startswith("unmatched:"), F.lit(False)))
-        gaps = (F.size(flat) == 0) | (F.array_max(flat) != F.size(flat)) | (F.size(F.array_distinct(flat)) != F.size(flat))
-        for bad, why in ((missing, "numbers"), (outside, "range"), (silent, "unexplained empty side"), (gaps, "prefix")):
+        for bad, why in _side_faults(rows, name, F.col(limit) if isinstance(limit, str) else F.lit(limit) if isinstance(limit, int) else limit, most):
             wrong = F.coalesce(wrong, F.when(bad, f"{name}: {why}"))
     return F.struct(wrong.isNull().alias("ok"), wrong.alias("reason"))
 
