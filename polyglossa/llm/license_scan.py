@@ -114,7 +114,9 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, text:
                 got = best.setdefault((r, name), [share, at, 0])
                 got[0], got[1], got[2] = max(got[0], share), min(got[1], at), got[2] + 1
             keys = list(best)
-            yield pd.DataFrame({"doc_id": pdf["_id"].iloc[[r for r, _ in keys]].to_numpy(), "license": [n for _, n in keys], "containment": [best[k][0] for k in keys], "first_word": [best[k][1] for k in keys], "n_windows": [best[k][2] for k in keys]})
+            if not keys:
+                continue
+            yield pd.DataFrame({"doc_id": pdf["_id"].iloc[[r for r, _ in keys]].to_numpy(), "license": pd.Series([n for _, n in keys], dtype=object), "containment": [best[k][0] for k in keys], "first_word": [best[k][1] for k in keys], "n_windows": [best[k][2] for k in keys]})
 
     src = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     return src.mapInPandas(of, f"doc_id {src.schema['_id'].dataType.simpleString()}, license string, containment double, first_word long, n_windows long")
