@@ -43,7 +43,7 @@ class WordIds:
     are kept in two generations of a bounded size, so that frequent ones stay.
     """
 
-    LIMIT = 450_000
+    LIMIT = 300_000
     _MARKS = b".,;:!?%&$*#|"
     _PLAIN = re.compile("^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$", re.MULTILINE)
 

@@ -25,7 +25,7 @@ from .common import WordHashes, Windows, compressed, decompressor, mixed, positi
 WORDS = 35
 PERIOD = 21
 #: Hashes that a task holds before it passes them on.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 @lru_cache
