@@ -126,9 +126,9 @@ def bridge(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter", extras:
     a = zh_en.select(chapter, F.lit(0).alias("side"), "g", F.col("right").alias("en"), F.col("left").alias("own"))
     b = en_ru.select(chapter, F.lit(1).alias("side"), "g", F.col("left").alias("en"), F.col("right").alias("own"))
 
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["side", "g"], ignore_index=True)
-        parent = list(range(len(pdf)))
+    def units(rows: list) -> list[tuple[list[int], list[int], list[int]]]:
+        side, en, own = ([r[c] for r in rows] for c in ("side", "en", "own"))
+        parent = list(range(len(rows)))
 
         def top(i: int) -> int:
             while parent[i] != i:
@@ -137,29 +137,28 @@ def bridge(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter", extras:
             return i
 
         owner: dict[int, int] = {}
-        for i, numbers in enumerate(pdf["en"]):
+        for i, numbers in enumerate(en):
             for n in numbers:
                 x, y = top(i), top(owner.setdefault(int(n), i))
                 parent[max(x, y)] = min(x, y)
         members: dict[int, list[int]] = {}
-        for i in range(len(pdf)):
+        for i in range(len(rows)):
             members.setdefault(top(i), []).append(i)
-        side, own, en = pdf["side"].tolist(), pdf["own"].tolist(), pdf["en"].tolist()
-        rows = []
         gather = lambda ids, what, s=None: sorted({int(v) for i in ids if s is None or side[i] == s for v in what[i]})
-        for root in sorted(members):
-            ids = members[root]
-            if side[root] == 0:
-                rows.append((gather(ids, own, 0), gather(ids, en), gather(ids, own, 1)))
+        out = [(gather(ids, own, 0), gather(ids, en), gather(ids, own, 1)) for root, ids in sorted(members.items()) if side[root] == 0]
         if extras:
-            for i in range(len(pdf)):
-                if side[top(i)] == 1:
-                    rows.append(([], gather([i], en) if keep_en else [], gather([i], own)))
-        key = pdf[chapter].iloc[0]
-        return pd.DataFrame([{chapter: key, "unit": k, "zh": z, "en": e, "ru": r} for k, (z, e, r) in enumerate(rows, 1)], columns=[chapter, "unit", "zh", "en", "ru"])
+            out += [([], gather([i], en) if keep_en else [], gather([i], own)) for i in range(len(rows)) if side[top(i)] == 1]
+        return out
+
+    def of(batches):
+        for pdf in batches:
+            rows = [(key, k, *u) for key, own in zip(pdf[chapter], pdf["rows"], strict=True) for k, u in enumerate(units(own), 1)]
+            yield pd.DataFrame(rows, columns=[chapter, "unit", "zh", "en", "ru"])
 
+    # One row a chapter, many chapters a batch: small chapters cost no Python call each.
+    gathered = a.unionByName(b).groupBy(chapter).agg(F.array_sort(F.collect_list(F.struct("side", "g", "en", "own"))).alias("rows"))
     kind = dict(zh_en.dtypes)[chapter]
-    return a.unionByName(b).groupBy(chapter).applyInPandas(of, f"{chapter} {kind}, unit int, zh array<int>, en array<int>, ru array<int>")
+    return gathered.mapInPandas(of, f"{chapter} {kind}, unit int, zh array<int>, en array<int>, ru array<int>")
 
 
 def weak_context(groups: DataFrame, chapter: str = "chapter", minimum: float = 0.65, around: int = 2) -> DataFrame:
