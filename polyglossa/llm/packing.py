@@ -9,6 +9,7 @@ depend on the number of documents; every piece finds its run by its rank among t
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -46,12 +47,19 @@ class WordIds:
     LIMIT = 300_000
     _MARKS = b".,;:!?%&$*#|"
     _PLAIN = re.compile("^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$", re.MULTILINE)
+    _EDGE = re.compile("([A-Za-zÀ-ÿ])([.,;:!?%&$*#|])")
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model for text that is normalised and cut already: lower case, blanks between runs of letters and of marks.
+        with open(path, encoding="utf-8") as f:
+            bare = json.load(f)
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        bare |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
         # A run of letters ends where a token with the word-end suffix stands.
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
@@ -59,8 +67,9 @@ class WordIds:
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _raw(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    @staticmethod
+    def _raw(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.words)
@@ -76,19 +85,19 @@ class WordIds:
             own = [w.encode() for w in some]
             # One run of letters a word, and one of punctuation if it ends so.
             runs = np.array([1 + (w[-1:] in self._MARKS) for w in own])
-            ids = self._raw(" ".join(some))
+            ids = self._raw(self.bare, self._EDGE.sub(r"\1 \2", " ".join(some)).lower())
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == runs.sum():
                 ends, raw = (4 * ends[np.cumsum(runs) - 1]).tolist(), ids.tobytes()
                 self.words.update(zip(own, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=False))
         for w in new.difference(self.words):
-            self.words[w] = self._raw(w.decode()).tobytes()
+            self.words[w] = self._raw(self.tokenizer, w.decode()).tobytes()
 
     def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """The ids of each text and the end id."""
         end = np.array([END], "<u4").tobytes()
-        for at in range(0, len(texts), 512):
-            split = [t.split() if t else [] for t in texts[at : at + 512]]
+        for at in range(0, len(texts), 1024):
+            split = [t.split() if t else [] for t in texts[at : at + 1024]]
             self.learn(set().union(*split))
             for words in split:
                 yield b"".join(map(self.words.__getitem__, words)) + end
