@@ -66,6 +66,7 @@ class WordIds:
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     @staticmethod
     def _raw(tokenizer, text: str) -> np.ndarray:
@@ -80,16 +81,21 @@ class WordIds:
             self.words[w] = self.older[w]
         new = new.difference(known)
         plain = self._PLAIN.findall(b"\n".join(new).decode())
-        for at in range(0, len(plain), 4000):
-            some = plain[at : at + 4000]
-            own = [w.encode() for w in some]
-            # One run of letters a word, and one of punctuation if it ends so.
-            runs = np.array([1 + (w[-1:] in self._MARKS) for w in own])
-            ids = self._raw(self.bare, self._EDGE.sub(r"\1 \2", " ".join(some)).lower())
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == runs.sum():
-                ends, raw = (4 * ends[np.cumsum(runs) - 1]).tolist(), ids.tobytes()
-                self.words.update(zip(own, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=False))
+        # Lower case, a blank before final marks: known parts are not encoded again.
+        cut = self._EDGE.sub(r"\1 \2", "\n".join(plain)).lower()
+        if len(self.parts) > self.LIMIT:
+            self.parts = {}
+        parts = list(set(cut.split()).difference(self.parts))
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
+            ids = self._raw(self.bare, " ".join(some))
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            raw = ids.tobytes() if len(ends) == len(some) else b""
+            found = map(raw.__getitem__, map(slice, [0, *ends], ends)) if raw else (self._raw(self.bare, p).tobytes() for p in some)
+            self.parts.update(zip(some, found, strict=False))
+        known = self.parts
+        own = [known[w] if w in known else known[w[: w.index(" ")]] + known[w[w.index(" ") + 1 :]] for w in cut.split("\n")] if plain else []
+        self.words.update(zip(map(str.encode, plain), own, strict=True))
         for w in new.difference(self.words):
             self.words[w] = self._raw(self.tokenizer, w.decode()).tobytes()
 
