@@ -93,17 +93,17 @@ class WordIds:
             raw = ids.tobytes() if len(ends) == len(some) else b""
             found = map(raw.__getitem__, map(slice, [0, *ends], ends)) if raw else (self._raw(self.bare, p).tobytes() for p in some)
             self.parts.update(zip(some, found, strict=False))
-        known = self.parts
-        own = [known[w] if w in known else known[w[: w.index(" ")]] + known[w[w.index(" ") + 1 :]] for w in cut.split("\n")] if plain else []
-        self.words.update(zip(map(str.encode, plain), own, strict=True))
+        known = self.parts.get
+        own = [known(w) or b"".join(map(known, w.split())) for w in cut.split("\n")]
+        self.words.update(zip(map(str.encode, plain), own))  # noqa: B905  without words the cut is one empty line
         for w in new.difference(self.words):
             self.words[w] = self._raw(self.tokenizer, w.decode()).tobytes()
 
     def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """The ids of each text and the end id."""
         end = np.array([END], "<u4").tobytes()
-        for at in range(0, len(texts), 1024):
-            split = [t.split() if t else [] for t in texts[at : at + 1024]]
+        for at in range(0, len(texts), 512):
+            split = [t.split() if t else [] for t in texts[at : at + 512]]
             self.learn(set().union(*split))
             for words in split:
                 yield b"".join(map(self.words.__getitem__, words)) + end
