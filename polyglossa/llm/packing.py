@@ -9,15 +9,16 @@ depend on the number of documents; every piece finds its run by its rank among t
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,18 +37,49 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Runs:
+    """Token ids of known strings: the strings, and where the ids of each stand in one pool. The first is empty."""
+
+    def __init__(self) -> None:
+        self.names = pa.array([""])
+        self.lengths, self.pool = np.zeros(1, np.int64), np.zeros(0, "<u4")
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """The place of each name, -1 for unknown ones."""
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the strings at these places, one after another."""
+        n = self.lengths[at]
+        first = (np.cumsum(self.lengths) - self.lengths)[at] - (np.cumsum(n) - n)
+        return self.pool[np.repeat(first, n) + np.arange(n.sum())]
+
+    def add(self, names: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.names = pa.concat_arrays([self.names, names])
+        self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, ids])
+
+    def keep(self, at: np.ndarray) -> np.ndarray:
+        """Forgets all but the strings at these places, which it returns in the order kept."""
+        at = np.union1d(at, [0])
+        self.pool, self.lengths, self.names = self.ids(at), self.lengths[at], self.names.take(pa.array(at))
+        return at
+
+
 class WordIds:
-    """Token ids (as little-endian 32-bit bytes) of runs without ASCII white space.
+    """Token ids of texts by way of their runs without ASCII white space.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs in order. New
-    runs of Latin letters with trailing punctuation are encoded many at a time and told apart by word-end tokens. Runs
-    are kept in two generations of a bounded size, so that frequent ones stay.
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs in order.
+    Distinct runs are looked up a batch at a time. New runs of Latin letters with trailing punctuation are cut in two,
+    and unknown parts encoded many at a time and told apart by word-end tokens. Past a bounded number of known strings
+    those of the present batch alone are kept.
     """
 
-    LIMIT = 300_000
-    _MARKS = b".,;:!?%&$*#|"
-    _PLAIN = re.compile("^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$", re.MULTILINE)
-    _EDGE = re.compile("([A-Za-zÀ-ÿ])([.,;:!?%&$*#|])")
+    LIMIT = 400_000
+    #: Bytes of text worked on at once, beside at most one longer text.
+    STEP = 8 << 20
+    _MARKS = ".,;:!?%&$*#|"
+    _LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+    _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$"
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,49 +96,67 @@ class WordIds:
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Runs(), Runs()
 
     @staticmethod
     def _raw(tokenizer, text: str) -> np.ndarray:
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > self.LIMIT:
-            self.words, self.older, new = {}, self.words, words
-        known = new.intersection(self.older)
-        for w in known:
-            self.words[w] = self.older[w]
-        new = new.difference(known)
-        plain = self._PLAIN.findall(b"\n".join(new).decode())
-        # Lower case, a blank before final marks: known parts are not encoded again.
-        cut = self._EDGE.sub(r"\1 \2", "\n".join(plain)).lower()
-        if len(self.parts) > self.LIMIT:
-            self.parts = {}
-        parts = list(set(cut.split()).difference(self.parts))
-        for at in range(0, len(parts), 2000):
-            some = parts[at : at + 2000]
-            ids = self._raw(self.bare, " ".join(some))
-            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-            raw = ids.tobytes() if len(ends) == len(some) else b""
-            found = map(raw.__getitem__, map(slice, [0, *ends], ends)) if raw else (self._raw(self.bare, p).tobytes() for p in some)
-            self.parts.update(zip(some, found, strict=False))
-        known = self.parts.get
-        own = [known(w) or b"".join(map(known, w.split())) for w in cut.split("\n")]
-        self.words.update(zip(map(str.encode, plain), own))  # noqa: B905  without words the cut is one empty line
-        for w in new.difference(self.words):
-            self.words[w] = self._raw(self.tokenizer, w.decode()).tobytes()
-
-    def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
+    def _each(self, tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of each text, ids of all) by one call a text."""
+        found = [self._raw(tokenizer, t) for t in texts]
+        return np.array([len(x) for x in found], np.int64), np.concatenate([np.zeros(0, "<u4"), *found])
+
+    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for lower-case runs of letters and runs of marks, by one call for all."""
+        ids = self._raw(self.bare, " ".join(parts))
+        ends = np.flatnonzero(self.last[ids]) + 1
+        whole = len(ends) == len(parts) and (not len(ids) or ends[-1] == len(ids))
+        return (np.diff(ends, prepend=0), ids) if whole else self._each(self.bare, parts)
+
+    def _known(self, runs: Runs, names: pa.Array, learn) -> np.ndarray:
+        """The places of distinct names, after learning the unknown ones; learn tells their order."""
+        at = runs.find(names)
+        new = at < 0
+        if new.any():
+            if len(runs.names) + new.sum() > self.LIMIT:
+                at = np.where(new, -1, np.searchsorted(runs.keep(at[~new]), at))
+            before = len(runs.names)
+            at[new] = before + learn(names.filter(pa.array(new)))
+        return at
+
+    def _learn_parts(self, parts: pa.Array) -> np.ndarray:
+        found = []
+        for first in range(0, len(parts), 2000):
+            some = parts.slice(first, 2000)
+            found.append(self._encoded(some.to_pylist()))
+        self.parts.add(parts, *map(np.concatenate, zip(*found, strict=True)))
+        return np.arange(len(parts))
+
+    def _learn_words(self, words: pa.Array) -> np.ndarray:
+        is_plain = pc.match_substring_regex(words, self._PLAIN)
+        plain, other = words.filter(is_plain), words.filter(pc.invert(is_plain))
+        stems, tails = pc.utf8_lower(pc.utf8_rtrim(plain, characters=self._MARKS)), pc.utf8_ltrim(plain, characters=self._LETTERS)
+        cut = pa.concat_arrays([stems, tails]).dictionary_encode()
+        at = self._known(self.parts, cut.dictionary, self._learn_parts)[cut.indices.to_numpy()].reshape(2, -1)
+        self.words.add(plain, self.parts.lengths[at].sum(0), self.parts.ids(at.T.ravel()))
+        self.words.add(other, *self._each(self.tokenizer, other.to_pylist()))
+        return np.argsort(np.argsort(~is_plain.to_numpy(zero_copy_only=False), kind="stable"))
+
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text and the end id."""
-        end = np.array([END], "<u4").tobytes()
-        for at in range(0, len(texts), 512):
-            split = [t.split() if t else [] for t in texts[at : at + 512]]
-            self.learn(set().union(*split))
-            for words in split:
-                yield b"".join(map(self.words.__getitem__, words)) + end
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        step = (np.cumsum(sizes) - 1) // self.STEP
+        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(texts)]
+        for first, end in itertools.pairwise(cuts):
+            split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(first, end - first), ""))
+            flat = split.flatten().dictionary_encode()
+            at = self._known(self.words, flat.dictionary, self._learn_words)[flat.indices.to_numpy()]
+            ids = self.words.ids(at)
+            stops = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+            ends = np.concatenate([[0], np.cumsum(self.words.lengths[at])])[stops]
+            ids = np.insert(ids, ends, END)
+            yield from np.split(ids, (ends + np.arange(1, len(ends) + 1))[:-1]) if len(ends) else ()
 
 
 _CACHE: dict[str, WordIds] = {}
@@ -117,22 +167,20 @@ def _pieces(path: str, capacity: int, keep_ids: bool):
         if path not in _CACHE:
             _CACHE[path] = WordIds(path)
         cache = _CACHE[path]
-        chunk, ranks, width = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), 4 * capacity
+        chunk, ranks = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for first in range(0, batch.num_rows, 2048):
-                part = batch.slice(first, 2048)
-                ids, texts, cols = part.column("_id").to_pylist(), part.column("_text").cast(pa.binary()).to_pylist(), [[] for _ in range(8)]
-                for doc, tokens in zip(ids, cache.ids(texts), strict=True):
-                    for k, at in enumerate(range(0, len(tokens), width)):
-                        own = tokens[at : at + width]
-                        n = len(own) // 4
-                        for c, v in zip(cols, (doc, k, at // 4, n, zlib.crc32(own), chunk, int(ranks[n]), own if keep_ids else None), strict=True):
-                            c.append(v)
-                        ranks[n] += 1
-                types = (batch.schema.field("_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                names = ("doc_id", "piece", "start", "length", "ids_crc32", "chunk", "local", "ids")
-                arrays = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays if keep_ids else arrays[:-1], names=names[: 7 + keep_ids])
+            ids, cols = batch.column("_id").to_pylist(), [[] for _ in range(8)]
+            for doc, tokens in zip(ids, cache.ids(batch.column("_text").cast(pa.string())), strict=True):
+                for k, at in enumerate(range(0, len(tokens), capacity)):
+                    own = tokens[at : at + capacity]
+                    n = len(own)
+                    for c, v in zip(cols, (doc, k, at, n, zlib.crc32(own), chunk, int(ranks[n]), own.tobytes() if keep_ids else None), strict=True):
+                        c.append(v)
+                    ranks[n] += 1
+            types = (batch.schema.field("_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            names = ("doc_id", "piece", "start", "length", "ids_crc32", "chunk", "local", "ids")
+            arrays = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays if keep_ids else arrays[:-1], names=names[: 7 + keep_ids])
 
     return of
 
