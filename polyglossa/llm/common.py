@@ -40,6 +40,21 @@ def staged(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
     return out.repartition(partitions) if partitions else out
 
 
+def told_apart(docs: DataFrame, doc_id: str) -> tuple[DataFrame, str]:
+    """docs and a column that tells its rows apart: doc_id if every id is unique and not null.
+
+    Else rows are numbered in the order of their ids, null last, in a column of a new name. docs is then written once, so
+    that the numbers stay; rows of one id may be many, so a row's place breaks ties.
+    """
+    if docs.groupBy(doc_id).count().where(f"count > 1 OR `{doc_id}` IS NULL").isEmpty():
+        return docs, doc_id
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    placed = docs.withColumn(name, F.monotonically_increasing_id()).orderBy(F.col(doc_id).asc_nulls_last(), name)
+    return staged(placed.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def wide(spark: SparkSession) -> int:
     """Tasks for compute-heavy work on few bytes."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, staged, table
+from .common import SPACE_CLASS, staged, table, told_apart
 
 #: Counters of the sketch and so the most rows that are broadcast (each under 200 bytes).
 TRACKED = 2000
@@ -50,9 +50,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tra
 
 
 def dedup_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with their own columns (ids must be unique and not null)."""
-    dropped = exact_dedup(docs, text, doc_id).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(dropped, docs[doc_id] == dropped["_gone"], "left_anti")
+    """The rows of docs that exact_dedup keeps, with their own columns: one of each group, also where ids are null or repeated."""
+    rows, key = told_apart(docs, doc_id)
+    gone = exact_dedup(rows, text, key).where("NOT kept").select(F.col("doc_id").alias("_gone"))
+    left = rows.join(gone, rows[key] == gone["_gone"], "left_anti")
+    return left if key == doc_id else left.drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, Windows, components, compressed, decompressor, local_roots, mixed, shingles, staged, table, whole_groups, wide, word_chunks
+from .common import WordHashes, Windows, components, compressed, decompressor, local_roots, mixed, shingles, staged, table, told_apart, whole_groups, wide, word_chunks
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -228,10 +228,15 @@ def jaccard_join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", th
     return out.select("doc_id", own("class_id").alias("class_id"), F.when(F.col("full"), F.col("n_links")).otherwise(F.lit(0)).alias("n_links"), own("group_id").alias("group_id"), (~F.col("full") | (F.col("doc_id") == F.col("group_id"))).alias("kept"))
 
 
-def dedup_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stay when one of each group of links does."""
-    gone = jaccard_join(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def dedup_rows(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows of docs that stay when one of each group of links does: the smallest id, null last.
+
+    Rows with null or repeated ids are rows of their own. Texts without shingles link with nothing, so all of them stay.
+    """
+    rows, key = told_apart(docs, doc_id)
+    gone = jaccard_join(rows, doc_id=key, **options).where("NOT kept").select(F.col("doc_id").alias("_gone"))
+    left = rows.join(gone, rows[key] == gone["_gone"], "left_anti")
+    return left if key == doc_id else left.drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

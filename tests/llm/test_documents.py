@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from polyglossa.llm import byte_bpe, exact_dedup, jaccard_join, language_id, license_scan, packing, substring_dedup, toxicity
 
@@ -79,6 +80,18 @@ def test_jaccard_join(docs, texts, words):
     assert sorted(r["doc_id"] for r in stays.select("doc_id").collect()) == sorted({int(np.flatnonzero(r)[0]) for r in reach})
 
 
+def test_dedup_rows_with_null_and_repeated_ids(docs, words):
+    a, b = words(30), words(30)
+    near = f"{a} more"
+    texts, ids = [a, a, b, near, a, b, near, "", None], [4, 4, 4, 3, None, None, 3, 5, 5]
+    exact = exact_dedup.dedup_rows(docs(texts, ids=ids).withColumn("_row", F.lit("own")))
+    got = collections.Counter((r["doc_id"], r["text"] or "") for r in exact.collect())
+    assert got == {(4, a): 1, (4, b): 1, (3, near): 1, (5, ""): 1} and exact.first()["_row"] == "own"
+    close = jaccard_join.dedup_rows(docs(texts, ids=ids))
+    got = collections.Counter((r["doc_id"], r["text"] or "") for r in close.collect())
+    assert got == {(3, near): 1, (4, b): 1, (5, ""): 2} and close.columns == docs(texts).columns
+
+
 def test_prefix_is_shortened_to_the_recall():
     k = jaccard_join.prefix_length(0.8)
     assert 1 - (1 - 0.8**k) ** jaccard_join.TREES >= jaccard_join.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** jaccard_join.TREES
@@ -134,6 +147,24 @@ def test_packing(docs, texts):
             assert (r["start"], r["length"], r["ids_crc32"], r["ids"]) == (at, len(own) // 4, zlib.crc32(own), own)
 
 
+def test_word_ids_equal_those_of_whole_texts():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    r = random.Random(2)
+    some = [*"abcXYZÀÉßÿ×÷µªº.,;:!?%&$*#|'’<>_-019 \t\n\x0b\x0c\r\x1c\x85\xa0 \u0301éǅİıſ中文кот👍", "<|endoftext|>", "<|startoftext|>", "'s", "</w>", " ", " "]
+    texts = ["".join(r.choices(some, k=r.randint(0, 40))) for _ in range(3000)] + [None, "", " ", "word " * 9000]
+    ids = packing.WordIds(packing.tokenizer_path())
+    ids.LIMIT, ids.STEP = 400, 5000  # known words are forgotten, and batches end, many times
+    want = Tokenizer.from_file(packing.tokenizer_path()).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    for _ in range(2):
+        for t, got, e in zip(texts, ids.ids(pa.array(texts, pa.string())), want, strict=True):
+            assert got.tolist() == [*e.ids, 1], t
+    assert list(ids.ids(pa.array([], pa.string()))) == []
+
+
 def test_packing_plan_covers_every_piece():
     rng = np.random.default_rng(3)
     for counts in (rng.integers(0, 50, 101), np.eye(1, 101, 100, dtype=int)[0] * 7, np.zeros(101, int), rng.integers(0, 2, 101)):
