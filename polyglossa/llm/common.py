@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -65,6 +67,27 @@ def crc_mod(doc_id: Column | str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")), F.lit(n))
 
 
+def give_back() -> None:
+    """Returns free memory of this process to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(of: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """of, with free memory given back when a task ends: Python workers outlive their tasks and stages."""
+
+    def run(batches):
+        try:
+            yield from of(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 # ---- words and windows ------------------------------------------------------------------------
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -198,7 +221,7 @@ def compressed(df: DataFrame, text: str) -> DataFrame:
             packed = pa.array([None if t is None else pack(t) for t in batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], packed, *batch.columns[at + 1 :]], names=batch.schema.names)
 
-    return df.mapInArrow(of, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in df.schema.fields))
+    return df.mapInArrow(tidy(of), ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in df.schema.fields))
 
 
 def decompressor():

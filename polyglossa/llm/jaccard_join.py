@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, Windows, components, compressed, decompressor, local_roots, mixed, shingles, staged, table, told_apart, whole_groups, wide, word_chunks
+from .common import WordHashes, Windows, components, compressed, decompressor, local_roots, mixed, shingles, staged, table, tidy, told_apart, whole_groups, wide, word_chunks
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -198,7 +198,7 @@ def jaccard_join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", th
     k = prefix_length(threshold, trees, depth, recall)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     src = src.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    rows = staged(src.select("doc_id", "digest", "text").mapInArrow(_signatures(shingle, trees, k), "doc_id long, digest binary, prefixes array<bigint>"), "signatures")
+    rows = staged(src.select("doc_id", "digest", "text").mapInArrow(tidy(_signatures(shingle, trees, k)), "doc_id long, digest binary, prefixes array<bigint>"), "signatures")
     classes = rows.where("size(prefixes) > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"), F.first("prefixes").alias("prefixes"))
     classes = staged(classes, "classes")
 
@@ -211,13 +211,13 @@ def jaccard_join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", th
         "cid", "tree", "prefix", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
     )
     dealt = lambda df: df.repartition(wide(spark), *_MEETING).sortWithinPartitions(*_MEETING)
-    found = dealt(met.join(classes.select("cid", "prefixes"), "cid")).mapInPandas(_needed, "tree int, prefix long, x int, y int, block int, cid long")
+    found = dealt(met.join(classes.select("cid", "prefixes"), "cid")).mapInPandas(tidy(_needed), "tree int, prefix long, x int, y int, block int, cid long")
     found = staged(found, "meetings")
     # Joins of one kind at every size: the texts are dealt out by id once, compressed.
     needed = found.select("cid").distinct()
     texts = compressed(src.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("cid"), "text"), "text").join(needed.hint("merge"), "cid", "left_semi").dropDuplicates(["cid"])
     texts = texts.join(classes.select("cid", "copies", "prefixes").hint("merge"), "cid")
-    told = dealt(found.join(texts.hint("merge"), "cid")).mapInPandas(_verified(shingle, threshold), "cid long, root long, links long")
+    told = dealt(found.join(texts.hint("merge"), "cid")).mapInPandas(tidy(_verified(shingle, threshold)), "cid long, root long, links long")
     told = staged(told, "links")
     group = components(told.where("cid <> root"), "cid", "root").withColumnRenamed("node", "cid")
     links = told.groupBy("cid").agg(F.sum("links").alias("links"))

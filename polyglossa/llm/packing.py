@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import staged, table, tidy
 
 CAPACITY = 4096
 END = 1
@@ -74,9 +74,9 @@ class WordIds:
     those of the present batch alone are kept.
     """
 
-    LIMIT = 400_000
+    LIMIT = 300_000
     #: Bytes of text worked on at once, beside at most one longer text.
-    STEP = 8 << 20
+    STEP = 4 << 20
     _MARKS = ".,;:!?%&$*#|"
     _LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
     _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$"
@@ -190,7 +190,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
     src = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     kind = src.schema["_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, chunk int, local long" + ", ids binary" * keep_ids
-    return src.mapInArrow(_pieces(path or tokenizer_path(), capacity, keep_ids), schema)
+    return src.mapInArrow(tidy(_pieces(path or tokenizer_path(), capacity, keep_ids)), schema)
 
 
 # ---- the plan ---------------------------------------------------------------------------------

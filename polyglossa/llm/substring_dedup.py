@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, Windows, compressed, decompressor, mixed, positions, table, word_chunks
+from .common import WordHashes, Windows, compressed, decompressor, mixed, positions, table, tidy, word_chunks
 
 WORDS = 35
 PERIOD = 21
@@ -185,7 +185,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     whole = docs.drop(*(c for c in ("_key", "_text", "_pos", "_role") if c in docs.columns))
     whole = whole.withColumn("_key", F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text)).withColumnRenamed(text, "_text")
     kept_columns = [f for f in whole.schema.fields if f.name not in ("_key", "_text")]
-    seeds = _repeated(whole.select("_key", "_text").mapInArrow(_anchors(words, period), _HASHED))
+    seeds = _repeated(whole.select("_key", "_text").mapInArrow(tidy(_anchors(words, period)), _HASHED))
     digests = whole.select("_key", F.unhex(F.sha2("_text", 256)).alias("digest"), "_text").where("_text <> ''").select("_key", "digest")
     many = digests.groupBy("digest").agg(F.min("_key").alias("first"), F.count("*").alias("n")).where("n > 1")
     roles = digests.join(many.hint("merge"), "digest").groupBy("_key").agg(F.max((F.col("_key") != F.col("first")).cast("int")).alias("_role"))
@@ -195,9 +195,9 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         """The same shuffle of the texts serves both joins."""
         return sent.join(found.join(roles.hint("merge"), "_key", "full").hint("merge"), "_key", "left")
 
-    around = beside(seeds).mapInArrow(_around(words, period), _HASHED)
+    around = beside(seeds).mapInArrow(tidy(_around(words, period)), _HASHED)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_columns), "`{text}` string, n_words long, n_removed long, kept_text string".format(text=text)])
-    return beside(_repeated(around)).select(*(f"`{f.name}`" for f in kept_columns), "_key", "_text", "_pos", "_role").mapInArrow(_cut(words, text), schema)
+    return beside(_repeated(around)).select(*(f"`{f.name}`" for f in kept_columns), "_key", "_text", "_pos", "_role").mapInArrow(tidy(_cut(words, text)), schema)
 
 
 def dedup_text(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, table
+from .common import crc_mod, table, tidy
 
 #: Most labelled rows that a model is fitted on; the rows with the smallest hash of their id.
 TRAIN_ROWS = 8_000
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
         if not bad or not good:
             return base
         odds = F.log((F.col("b") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("g") + 0.5) / F.lit(good + 1.0))
-        counts = rows_df.mapInPandas(_terms_of, "term string, b long, g long").groupBy("term").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
+        counts = rows_df.mapInPandas(tidy(_terms_of), "term string, b long, g long").groupBy("term").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
         seeds = list(base.weights)
         top = counts.where((F.col("b") >= 3) & (F.length("term") > 2)).withColumn("odds", odds).where("odds > 1.5")
         top = top.orderBy(F.desc(F.col("odds") * F.sqrt("b")), "term").limit(CANDIDATES)
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
             for pdf in batches:
                 yield pd.DataFrame({"toxic": pdf["toxic"], "terms": [sorted({t for _, _, t in trial.hits(fold(x))}) for x in pdf["text"]]})
 
-        seen = rows_df.mapInPandas(found, "toxic int, terms array<string>").collect()
+        seen = rows_df.mapInPandas(tidy(found), "toxic int, terms array<string>").collect()
         kept = _cover(seen, tried)
         weights = {t: float(max(0.1, tried[t][2])) for t in kept} | {t: 1.0 for t in seeds if t not in tried}
         model = Model(weights, base.exceptions)
@@ -179,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
                 x = [model.features(fold(t)) for t in pdf["text"]]
                 yield pd.DataFrame({"toxic": pdf["toxic"], "a": [v[0] for v in x], "b": [v[1] for v in x], "c": [v[2] for v in x]})
 
-        sample = rows_df.mapInPandas(measured, "toxic int, a double, b double, c double").toPandas()
+        sample = rows_df.mapInPandas(tidy(measured), "toxic int, a double, b double, c double").toPandas()
         return Model(weights, model.exceptions, _fitted_curve(sample[["a", "b", "c"]].to_numpy(), sample["toxic"].to_numpy(float)))
     finally:
         rows_df.unpersist()
@@ -219,7 +219,7 @@ def _learned_exceptions(rows: DataFrame, model: Model) -> list[str]:
                 out += [(p, toxic) for p in own]
             yield pd.DataFrame(out, columns=["phrase", "toxic"])
 
-    found = rows.mapInPandas(phrases, "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("b"), F.sum(1 - F.col("toxic")).alias("g"))
+    found = rows.mapInPandas(tidy(phrases), "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("b"), F.sum(1 - F.col("toxic")).alias("g"))
     return [r["phrase"] for r in found.where("g >= 3 AND b * 10 <= g").orderBy(F.desc("g"), "phrase").limit(TERMS).collect()]
 
 
