@@ -12,6 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The six ASCII characters that separate words; bytes.split() uses the same set.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -22,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share. Where the session names none, a local master gets a local one."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        at = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='shared-')}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at
 
@@ -43,12 +46,13 @@ def staged(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
 
 
 def told_apart(docs: DataFrame, doc_id: str) -> tuple[DataFrame, str]:
-    """docs and a column that tells its rows apart: doc_id if every id is unique and not null.
+    """docs and a column of whole numbers that tells its rows apart: doc_id if its ids are such, unique and not null.
 
     Else rows are numbered in the order of their ids, null last, in a column of a new name. docs is then written once, so
     that the numbers stay; rows of one id may be many, so a row's place breaks ties.
     """
-    if docs.groupBy(doc_id).count().where(f"count > 1 OR `{doc_id}` IS NULL").isEmpty():
+    whole = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
+    if whole and docs.groupBy(doc_id).count().where(f"count > 1 OR `{doc_id}` IS NULL").isEmpty():
         return docs, doc_id
     name = "_row"
     while name in docs.columns:
@@ -57,6 +61,27 @@ def told_apart(docs: DataFrame, doc_id: str) -> tuple[DataFrame, str]:
     return staged(placed.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def whole_ids(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame | None]:
+    """df with the ids of a column as whole numbers, and the table (n, name) of those numbers where ids are none themselves.
+
+    Numbers follow the order of the ids; null stays null.
+    """
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        return df.withColumn(column, F.col(column).cast("long")), None
+    names = df.select(F.col(column).alias("name")).where("name IS NOT NULL").distinct().orderBy("name")
+    names = staged(names.withColumn("n", F.monotonically_increasing_id()), "names")
+    return named(df, names.select(F.col("n").alias("name"), F.col("name").alias("n")), [column]), names
+
+
+def named(df: DataFrame, names: DataFrame | None, columns: list[str]) -> DataFrame:
+    """df with the names of the numbers in columns."""
+    for c in columns if names is not None else ():
+        told = names.select(F.col("n").alias("_n"), F.col("name").alias("_name"))
+        rest = [F.col("_name").alias(c) if own == c else F.col(f"`{own}`") for own in df.columns]
+        df = df.join(told, df[c] == told["_n"], "left").select(*rest)
+    return df
+
+
 def wide(spark: SparkSession) -> int:
     """Tasks for compute-heavy work on few bytes."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
@@ -96,14 +121,16 @@ _Q = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, kept for repeated words up to a bound."""
+    """64-bit hashes of words. Words of up to LONG bytes are kept, at most LIMIT of them, so that the bytes are bounded too."""
 
-    LIMIT = 250_000
+    LIMIT, LONG = 250_000, 48
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= self.LONG:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[word] = h
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:

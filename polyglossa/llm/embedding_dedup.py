@@ -1,11 +1,20 @@
-"""Near-duplicate vectors by collision counting on one-dimensional projections.
-
-In each of T tables the vectors of a label are split in cells by the signs of k random directions and sorted by one
-more random projection; two vectors collide in the table if they share the cell and each lies in the window centred at
-the other. k grows with the logarithm of the label's size, so that a cell of scattered vectors stays small; T and the
-count of collisions that a pair needs follow from the recall asked for at the threshold. A pair is counted over all
-tables in the first one in which it collides, verified there exactly, and leaves the task only as counts and spanning
-links. Cells with many vectors are met block by block.
+"""Near-duplicate vectors by collision counting on sorted one-dimensional projections.
+
+Unit vectors are projected on LINES random lines. On each line the vectors are sorted, and two of them collide if one lies
+in the window centred at the other. The difference of two projections is normal with the vectors' distance as its standard
+deviation, whatever their dimension, and lines are independent; so the collisions of a pair are binomial, and the count
+that a pair needs is the largest one that a pair of exactly the threshold reaches with the recall asked for. Pairs that
+reach it are verified by their cosine.
+
+Blocks. The vectors of a label are cut into blocks of bounded size by the quantiles of one projection after another (each
+level sorts the parts that are still too big by another line). Two blocks meet only if the ranges of their projections
+come within a window on as many lines as the count asks for, which no colliding pair can miss. A vector travels once for
+each block that its own block meets; pairs never travel: they are counted inside the meeting and leave it as counts and
+spanning links.
+
+What the method costs: a window holds a share of all vectors however narrow it is (one dimension separates near from far
+by the ratio of their distances alone), so scattered vectors of one label meet block by block, (size / block)² / 2
+meetings, of which clustered ones skip those of far blocks.
 """
 
 from __future__ import annotations
@@ -17,110 +26,166 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import components, local_roots, staged, table, whole_groups, wide
+from .common import components, local_roots, named, staged, table, tidy, told_apart, whole_groups, whole_ids, wide
 
 THRESHOLD, RECALL = 0.93, 0.9995
-#: Vectors that a cell should hold, collisions that a pair needs, half-width of a window in standard deviations.
-CELL, COUNT, WIDTH = 48, 2, 2.6
-BLOCK = 700
-MOST_BITS, MOST_TABLES = 24, 512
+#: Lines, and half the width of a window in distances of a pair of the threshold.
+LINES, WIDTH = 40, 1.0
+#: Vectors of a block, parts that one projection cuts a block into, and projections that cut.
+BLOCK, BRANCHES, LEVELS = 2048, 16, 5
 
 
-def chance(threshold: float, bits: int) -> float:
-    """The chance that two vectors of exactly this cosine collide in a table."""
-    return (1 - math.acos(threshold) / math.pi) ** bits * math.erf(WIDTH / math.sqrt(2))
+def half_window(threshold: float) -> float:
+    return WIDTH * math.sqrt(2 - 2 * threshold)
 
 
-@lru_cache(256)
-def tables(threshold: float, bits: int, recall: float, count: int = COUNT) -> int:
-    """The fewest tables in which such a pair collides `count` times with the chance asked for."""
-    q, t = chance(threshold, bits), count
-    while t < MOST_TABLES and sum(math.comb(t, i) * q**i * (1 - q) ** (t - i) for i in range(count)) > 1 - recall:
-        t += 1
-    return t
+def chance(cosine: float, threshold: float) -> float:
+    """The chance that two unit vectors of this cosine collide on a line."""
+    apart = math.sqrt(max(2 - 2 * cosine, 1e-300))
+    return math.erf(half_window(threshold) / apart / math.sqrt(2))
 
 
-def bits_for(n: int) -> int:
-    return min(MOST_BITS, max(0, math.ceil(math.log2(max(n, 1) / CELL))))
+def reached(q: float, count: int, lines: int) -> float:
+    """The chance of at least `count` collisions on the lines, for one of q a line."""
+    return sum(math.comb(lines, i) * q**i * (1 - q) ** (lines - i) for i in range(count, lines + 1))
 
 
-@lru_cache(16)
-def _directions(dim: int, n_tables: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(7_919)
-    return rng.standard_normal((dim, n_tables)), rng.standard_normal((dim, n_tables * bits))
-
-
-def _places(x: np.ndarray, n_tables: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, projection) of each unit vector in each table."""
-    lines, planes = _directions(x.shape[1], n_tables, bits)
-    signs = ((x @ planes) > 0).reshape(len(x), n_tables, bits)
-    return (signs * (1 << np.arange(bits))).sum(axis=2), x @ lines
-
+@lru_cache(64)
+def needed(threshold: float, recall: float, lines: int = LINES) -> int:
+    """The most collisions that a pair of exactly the threshold reaches with the recall; an error if that is none."""
+    if not -1 <= threshold < 1:
+        raise ValueError("the threshold must be from -1 to less than 1")
+    q = chance(threshold, threshold)
+    count = max((c for c in range(1, lines + 1) if reached(q, c, lines) >= recall), default=0)
+    if not count:
+        raise ValueError(f"{lines} lines cannot reach a recall of {recall}")
+    return count
 
-def _units(vectors) -> np.ndarray:
-    x = np.stack([np.asarray(v, np.float64) for v in vectors])
-    return x / np.sqrt((x * x).sum(axis=1))[:, None]
-
-
-def _cells(threshold: float, recall: float):
-    def of(batches):
-        for pdf in batches:
-            for (n, dim), own in pdf.groupby(["n", "dim"]):
-                bits = bits_for(int(n))
-                t = tables(threshold, bits, recall)
-                cell, _ = _places(_units(own["embedding"]), t, bits)
-                out = own.loc[np.repeat(own.index, t), ["label", "dim", "cid", "copies", "n", "embedding"]]
-                yield out.assign(tab=np.tile(np.arange(t), len(own)), cell=cell.ravel())
 
-    return of
-
-
-_MEETING = ["label", "dim", "tab", "cell", "x", "y"]
-
-
-def _linked(threshold: float, recall: float):
-    width = WIDTH * math.sqrt(2 - 2 * threshold)
+@lru_cache(16)
+def _lines(dim: int) -> np.ndarray:
+    return np.random.default_rng(7_919).standard_normal((dim, LINES))
+
+
+def _vectors(column) -> np.ndarray:
+    return np.stack([np.asarray(v, np.float64) for v in column])
+
+
+def _projected(x: np.ndarray) -> np.ndarray:
+    return (x / np.sqrt((x * x).sum(axis=1))[:, None]) @ _lines(x.shape[1])
+
+
+def _leads(batches):
+    """The projections that blocks are cut by."""
+    for pdf in batches:
+        for _, own in pdf.groupby("dim"):
+            p = _projected(_vectors(own["embedding"]))[:, :LEVELS]
+            yield own[["label", "dim", "cid"]].assign(lead=list(p))
+
+
+_BLOCK = ["label", "dim", "block"]
+
+
+def _ranges(batches):
+    """The smallest and the greatest projection on every line, of each block's rows in a batch."""
+    for pdf in batches:
+        for _, own in pdf.groupby(_BLOCK):
+            p = _projected(_vectors(own["embedding"]))
+            yield own[_BLOCK].iloc[:1].assign(low=[p.min(axis=0)], high=[p.max(axis=0)])
+
+
+def _blocks(placed: DataFrame, block: int) -> DataFrame:
+    """(label, dim, cid, block) for (label, dim, cid, lead)."""
+    at = placed.withColumn("block", F.lit(0).cast("long"))
+    quantiles = [i / BRANCHES for i in range(1, BRANCHES)]
+    for level in range(LEVELS):
+        own = F.col("lead")[level]
+        big = at.groupBy(*_BLOCK).agg(F.count("*").alias("n"), F.percentile_approx(own, quantiles, 1000).alias("cuts")).where(F.col("n") > block)
+        if big.isEmpty():
+            break
+        # approximate quantiles may repeat or miss; any cuts are right, they only decide sizes
+        part = F.coalesce(F.size(F.filter("cuts", lambda c: c < own)), F.lit(0))  # noqa: B023
+        at = at.join(big.drop("n"), _BLOCK, "left").select("label", "dim", "cid", "lead", (F.col("block") * BRANCHES + F.when(F.col("cuts").isNull(), 0).otherwise(part)).alias("block"))
+        at = staged(at, "cuts")
+    sizes = at.groupBy(*_BLOCK).agg(F.count("*").alias("n"))
+    # what lines cannot tell apart is dealt out by hash
+    parts = F.ceil(F.col("n") / (2 * block)).cast("long")
+    return at.join(sizes, _BLOCK).select("label", "dim", "cid", (F.col("block") * 2**24 + F.pmod(F.xxhash64("cid"), parts)).alias("block"))
+
+
+def _meetings(vectors: DataFrame, threshold: float, count: int) -> DataFrame:
+    """(label, dim, x, y): the pairs of blocks, each with itself too, that may hold a pair with enough collisions."""
+    spark, half, salts = vectors.sparkSession, half_window(threshold), wide(vectors.sparkSession)
+    blocks = vectors.select(*_BLOCK).distinct()
+    alone = blocks.select("label", "dim", F.col("block").alias("x"), F.col("block").alias("y"))
+    several = blocks.groupBy("label", "dim").agg(F.count("*").alias("n")).where("n > 1").select("label", "dim")
+    if several.isEmpty():
+        return alone
+    kind = dict(vectors.dtypes)["label"]
+    told = vectors.join(several, ["label", "dim"], "left_semi").select(*_BLOCK, "embedding").mapInPandas(tidy(_ranges), f"label {kind}, dim int, block long, low array<double>, high array<double>")
+    over = lambda f, c: F.array(*(f(F.col(c)[i]) for i in range(LINES))).alias(c)
+    ranges = staged(told.groupBy(*_BLOCK).agg(over(F.min, "low"), over(F.max, "high")), "ranges")
+    x = ranges.select("label", "dim", F.col("block").alias("x"), F.col("low").alias("xl"), F.col("high").alias("xh"), F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"))
+    y = ranges.select("label", "dim", F.col("block").alias("y"), F.col("low").alias("yl"), F.col("high").alias("yh"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    met = F.aggregate(F.sequence(F.lit(0), F.lit(LINES - 1)), F.lit(0), lambda n, i: n + F.when((F.get("xl", i) - half <= F.get("yh", i)) & (F.get("yl", i) - half <= F.get("xh", i)), 1).otherwise(0))
+    return alone.unionByName(x.join(y, ["label", "dim", "salt"]).where((F.col("x") < F.col("y")) & (met >= count)).select("label", "dim", "x", "y"))
+
+
+def collisions(p: np.ndarray, q: np.ndarray, half: float) -> np.ndarray:
+    """How often each row of p collides with each row of q: per line, q is sorted and p's windows are stretches of it."""
+    out = np.zeros((len(p), len(q)), np.int16)
+    rows = np.arange(len(p))
+    for k in range(p.shape[1]):
+        order = np.argsort(q[:, k], kind="stable")
+        line = q[order, k]
+        edge = np.zeros((len(p), len(q) + 1), np.int8)
+        edge[rows, np.searchsorted(line, p[:, k] - half, side="left")] += 1
+        edge[rows, np.searchsorted(line, p[:, k] + half, side="right")] -= 1
+        np.cumsum(edge, axis=1, dtype=np.int8, out=edge)
+        out[:, order] += edge[:, :-1]
+    return out
+
+
+_MEETING = ["label", "dim", "x", "y"]
+
+
+def _linked(threshold: float, count: int):
+    half = half_window(threshold)
 
     def of(batches):
-        for pdf, first in whole_groups(batches, _MEETING, 4_000):
-            n = np.diff(np.append(first, len(pdf)))
-            block, copies, cid = pdf["block"].to_numpy(), pdf["copies"].to_numpy(np.int64), pdf["cid"].to_numpy(np.int64)
+        for pdf, first in whole_groups(batches, _MEETING, 2_000):
+            ends = np.append(first, len(pdf))[1:]
+            block, xs, ys = (pdf[c].to_numpy() for c in ("block", "x", "y"))
+            copies, cid = pdf["copies"].to_numpy(np.int64), pdf["cid"].to_numpy(np.int64)
             links, root = np.zeros(len(pdf), np.int64), cid.copy()
-            for at, m in zip(first[n > 1].tolist(), n[n > 1].tolist(), strict=True):
-                head = pdf.iloc[at]
-                bits, tab = bits_for(int(head["n"])), int(head["tab"])
-                t = tables(threshold, bits, recall)
-                x = _units(pdf["embedding"].iloc[at : at + m])
-                cell, line = _places(x, t, bits)
-                order = np.argsort(line[:, tab], kind="stable")
-                p = line[order, tab]
-                # The window centred at each vector, upwards in the order of the projection; every pair is met from its lower end.
-                reach = np.searchsorted(p, p + width, side="right") - np.arange(m) - 1
-                i = np.repeat(np.arange(m), reach)
-                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(reach) - reach, reach)
-                i, j = order[i], order[j]
-                if head["x"] != head["y"]:
-                    across = block[at + i] != block[at + j]
-                    i, j = i[across], j[across]
-                degree, a_all, b_all = np.zeros(m, np.int64), [], []
-                own = copies[at : at + m]
-                for lo in range(0, len(i), 100_000):
-                    a, b = i[lo : lo + 100_000], j[lo : lo + 100_000]
-                    hit = (cell[a] == cell[b]) & (np.abs(line[a] - line[b]) <= width)
-                    take = (hit.argmax(axis=1) == tab) & (hit.sum(axis=1) >= COUNT)
-                    a, b = a[take], b[take]
-                    yes = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
-                    a, b = a[yes], b[yes]
-                    degree += np.bincount(a, own[b], m).astype(np.int64) + np.bincount(b, own[a], m).astype(np.int64)
-                    a_all.append(a)
-                    b_all.append(b)
-                links[at : at + m] = degree
-                a, b = np.concatenate(a_all or [i]), np.concatenate(b_all or [j])
+            for at, end in zip(first.tolist(), ends.tolist(), strict=True):
+                if end - at < 2:
+                    continue
+                x = _vectors(pdf["embedding"].iloc[at:end])
+                p, norm = _projected(x), np.sqrt((x * x).sum(axis=1))
+                apart = xs[at] != ys[at]
+                left = np.flatnonzero(block[at:end] == xs[at])
+                right = np.flatnonzero(block[at:end] == ys[at])
+                all_a, all_b = [], []
+                for lo in range(0, len(left), 256):
+                    some = left[lo : lo + 256]
+                    i, j = np.nonzero(collisions(p[some], p[right], half) >= count)
+                    a, b = some[i], right[j]
+                    if not apart:  # a block with itself: each pair once
+                        a, b = a[a < b], b[a < b]
+                    for k in range(0, len(a), 100_000):
+                        c, d = a[k : k + 100_000], b[k : k + 100_000]
+                        yes = np.einsum("ij,ij->i", x[c], x[d]) / (norm[c] * norm[d]) >= threshold
+                        all_a.append(c[yes])
+                        all_b.append(d[yes])
+                a, b = np.concatenate([np.zeros(0, int), *all_a]), np.concatenate([np.zeros(0, int), *all_b])
                 if len(a):
-                    v, r = local_roots(cid[at + a], cid[at + b])
-                    mine = cid[at : at + m]
-                    root[at : at + m] = np.where(np.isin(mine, v), r[np.searchsorted(v, mine).clip(0, len(v) - 1)], mine)
+                    own, mine = copies[at:end], cid[at:end]
+                    links[at:end] = np.bincount(a, own[b], end - at) + np.bincount(b, own[a], end - at)
+                    v, r = local_roots(mine[a], mine[b])
+                    root[at:end] = np.where(np.isin(mine, v), r[np.searchsorted(v, mine).clip(0, len(v) - 1)], mine)
             has = links > 0
             yield pd.DataFrame({"cid": cid[has], "root": root[has], "links": links[has]})
 
@@ -133,32 +198,36 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     Rows link when their labels are equal and not null and their cosine, in double precision, is the threshold or more.
     Null, empty and zero vectors and those with null or non-finite components link with nothing, as do rows without id;
     vectors of different length never link. Equal vectors are met once and count with their number. component_id is
-    the smallest vec_id reachable by links; the row whose id it is is kept. Ids should be unique.
+    the smallest vec_id reachable by links; the row whose id it is is kept. Rows that share an id are
+    rows of their own and link like others. Ids that are no whole numbers are ordered as they are. Raises an error where
+    the lines cannot reach the recall. Only the three columns are read.
     """
-    spark = vectors.sparkSession
-    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<float>").alias("embedding"))
+    spark, count = vectors.sparkSession, needed(threshold, recall)
+    kind = vectors.schema["embedding"].dataType.elementType
+    exact = kind if isinstance(kind, (T.FloatType, T.DoubleType)) else T.DoubleType()
+    rows, names = whole_ids(vectors.select("vec_id", "label", F.col("embedding").cast(T.ArrayType(exact)).alias("embedding")), "vec_id")
     fine = "label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('inf')) AND exists(embedding, v -> v <> 0)"
     rows = rows.withColumn("fine", F.expr(f"coalesce({fine}, false)"))
     classes = rows.where("fine").groupBy("label", "embedding").agg(F.min("vec_id").alias("cid"), F.count("*").alias("copies"))
-    classes = staged(classes.withColumn("dim", F.size("embedding")), "vectors")
-    sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("n"))
-    sized = classes.join(sizes, ["label", "dim"]).repartition(wide(spark), "cid")
-    kind = dict(rows.dtypes)["label"]
-    cells = sized.select("label", "dim", "cid", "copies", "n", "embedding").mapInPandas(_cells(threshold, recall), f"label {kind}, dim int, cid long, copies long, n long, embedding array<float>, tab int, cell long")
-    # Cells are counted before vectors travel: a cell of one vector has no pair.
-    counted = cells.groupBy("label", "dim", "tab", "cell").agg(F.count("*").alias("size")).where("size > 1")
-    met = cells.join(counted, ["label", "dim", "tab", "cell"]).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    met = met.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")).drop("other", "blocks", "size")
-    dealt = met.repartition(wide(spark), *_MEETING).sortWithinPartitions(*_MEETING)
-    told = staged(dealt.mapInPandas(_linked(threshold, recall), "cid long, root long, links long"), "links")
+    classes, key = told_apart(staged(classes.withColumn("dim", F.size("embedding")), "vectors"), "cid")
+    own = None if key == "cid" else classes.select(F.col(key).alias("n"), F.col("cid").alias("name"))
+    classes = classes.withColumn("cid", F.col(key)).select("label", "embedding", "cid", "copies", "dim")
+    label = dict(rows.dtypes)["label"]
+    # Projections alone, not vectors, decide the blocks.
+    placed = classes.select("label", "dim", "cid", "embedding").mapInPandas(tidy(_leads), f"label {label}, dim int, cid long, lead array<double>")
+    dealt = staged(classes.join(_blocks(staged(placed, "leads"), block), ["label", "dim", "cid"]), "blocks")
+    meetings = _meetings(dealt, threshold, count).withColumn("block", F.explode(F.array_distinct(F.array("x", "y"))))
+    met = dealt.join(meetings, _BLOCK).repartition(wide(spark), *_MEETING).sortWithinPartitions(*_MEETING)
+    told = met.select(*_MEETING, "block", "cid", "copies", "embedding").mapInPandas(tidy(_linked(threshold, count)), "cid long, root long, links long")
+    told = staged(told, "links")
     group = components(told.where("cid <> root"), "cid", "root").withColumnRenamed("node", "cid")
     links = told.groupBy("cid").agg(F.sum("links").alias("links"))
     answer = classes.join(links, "cid", "left").join(group, "cid", "left")
     answer = answer.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "cid").alias("component_id"), F.lit(True).alias("fine"))
-    out = rows.join(answer, ["label", "embedding", "fine"], "left")
+    out = rows.join(named(answer, own, ["component_id"]), ["label", "embedding", "fine"], "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    return named(out, names, ["vec_id", "component_id"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
