@@ -68,10 +68,13 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
 
     nodes: tree, node (unique in its tree), parent (null or unknown for a root), role, text, score; other columns are
     not read. A path's score is the mean score of its nodes; each tree's `branches` best leaves are taken (None: all),
-    ties by the longer path, then by the smaller leaf. Null role or text is empty, a null score 0. Rows without tree or
-    node are left out; equal rows must not share a node id. A tree whose parents form a circle raises an error.
+    ties by the longer path, then by the smaller leaf. Null role or text is empty, a null score 0. Rows with a null tree
+    are one tree of their own; rows without node are left out, and equal rows must not share a node id. A tree whose
+    parents form a circle raises an error.
     """
-    nodes = nodes.where("tree IS NOT NULL AND node IS NOT NULL")
+    kinds = dict(nodes.dtypes)
+    # As a structure the tree is equal to itself where it is null.
+    nodes = nodes.where("node IS NOT NULL").withColumn("tree", F.struct("tree"))
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     light = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum")).join(known, ["tree", "parent"], "left")
     open_ = staged(light.select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "sum", F.lit(1).cast("long").alias("n")), "jumps")
@@ -104,9 +107,8 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
     def formatted(batches):
         for pdf in batches:
             done = [format_turns([(t["role"], t["text"]) for t in turns], learned) for turns in pdf["turns"]]
-            yield pdf[["tree", "leaf", "path_score"]].assign(n_turns=[len(t) for t in pdf["turns"]], formatted=[f for f, _ in done], mask=[[{"start": a, "end": b} for a, b in m] for _, m in done])
+            yield pdf[["leaf", "path_score"]].assign(tree=pd.Series([t["tree"] for t in pdf["tree"]], dtype=object), n_turns=[len(t) for t in pdf["turns"]], formatted=[f for f, _ in done], mask=[[{"start": a, "end": b} for a, b in m] for _, m in done])
 
-    kinds = dict(nodes.dtypes)
     return whole.mapInPandas(formatted, f"tree {kinds['tree']}, leaf {kinds['node']}, path_score double, n_turns long, formatted string, mask array<struct<start:long,end:long>>")
 
 
@@ -124,15 +126,15 @@ def _digests(batches):
             turns = read_turns(text)
             loss = "".join(unescape(text[m["start"] : m["end"]]) for m in mask)
             all_turns = "".join(f"{r}\n{t}\n" for r, t in turns)
-            rows.append((tree, len(turns), hashlib.sha256(all_turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-        yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            rows.append((tree["tree"], len(turns), hashlib.sha256(all_turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+        yield pd.DataFrame(rows, dtype=object, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = F.lit("</s>[INST] ok [/INST]")
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
-    done = chat_format(chains(rows.unionByName(own)))
+    done = chat_format(chains(rows.unionByName(own))).withColumn("tree", F.struct("tree"))  # pandas keeps whole numbers so, beside nulls too
     return done.mapInPandas(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
