@@ -2,7 +2,7 @@
 
 A Misra-Gries sketch over all digests names candidates for frequent ones. Their exact counts and winners are
 aggregated map-side, which leaves at most TRACKED rows, and are broadcast: rows of a verified digest are answered where
-they stand. Only the rest is dealt out by digest, and none of its digests holds more than about rows / TRACKED rows.
+they stand. Only the rest is dealt out by digest, and none of its digests holds more than about 2 rows / TRACKED rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,12 @@ def normalised(text: Column) -> Column:
 
 
 def frequent(df: DataFrame, column: str, tracked: int = TRACKED) -> DataFrame:
-    """Candidates for frequent values of a string column, at most `tracked`: any value above rows / tracked is among them."""
+    """Candidates for frequent values of a string column, at most tracked / 2.
+
+    The sketch keeps 4 * tracked slots, of which three quarters are used before it is cut; every value that stands in more
+    than rows / (tracked / 2) rows is among them, and so is what is broadcast of a bounded size. A value that is missed is
+    dealt out like any other.
+    """
     return df.agg(F.expr(f"approx_top_k({column}, {tracked // 2}, {4 * tracked})").alias("top")).select(F.explode("top.item").alias(column)).where(F.col(column).isNotNull())
 
 

@@ -30,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_embedding_dedup": embedding_dedup.ORACLE,
         "op5_jaccard_join": jaccard_join.ORACLE,
         "op7_chat_format": chat_format.ORACLE,
+        "op8_substring_dedup": substring_dedup.ORACLE,
     }

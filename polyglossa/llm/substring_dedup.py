@@ -2,8 +2,10 @@
 
 Two equal windows of n words share an aligned anchor: with a difference cover D modulo v, any two positions i and j have
 a shift below v that takes both into D. So it is enough to hash runs of n - v + 1 words at positions in D. Runs that
-occur twice are the seeds; only the windows around a seed are then compared whole, by 95 bits. Of equal texts all words of
-all copies go (given n words), and one copy stands for them where windows are compared.
+occur twice are the seeds. Seeds are extended by whole windows: only the windows that hold a seed are hashed, to 95 bits (64 and
+31), and those whose hash occurs again are the repeated ones. They are not compared word by word, so "equal" means equal
+up to collisions of 95 bits. Of equal texts all words of all copies go (given n words), and one copy stands for them where
+windows are compared; frequent digests are answered by a broadcast of bounded size, the rest by a shuffle.
 
 Each task first removes repeats of its own block, so that the shuffle gets one row a block for any hash however hot it is.
 """
@@ -20,7 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, Windows, compressed, decompressor, mixed, positions, table, tidy, word_chunks
+from .common import WordHashes, Windows, compressed, decompressor, mixed, positions, staged, table, tidy, told_apart, word_chunks
+from .exact_dedup import frequent
 
 WORDS = 35
 PERIOD = 21
@@ -144,6 +147,21 @@ def _repeated(hashed: DataFrame) -> DataFrame:
     return told.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.shiftright("at", 1)).alias("_pos"))
 
 
+def _copies(digests: DataFrame) -> DataFrame:
+    """(_key, _role) for rows whose digest other rows have too: 0 for the row with the smallest key, 1 for the others.
+
+    Verified winners of frequent digests are broadcast (at most TRACKED rows), so that only rare digests are dealt out.
+    """
+    digests = staged(digests, "digests")
+    first = [F.min("_key").alias("first"), F.count("*").alias("n")]
+    hot = digests.join(F.broadcast(frequent(digests, "digest")), "digest", "left_semi").groupBy("digest").agg(*first).where("n > 1")
+    told = digests.join(F.broadcast(hot), "digest", "left")
+    rest = told.where("n IS NULL").select("_key", "digest")
+    many = rest.groupBy("digest").agg(*first).where("n > 1")
+    both = told.where("n IS NOT NULL").unionByName(rest.join(many.hint("merge"), "digest"))
+    return both.select("_key", (F.col("_key") != F.col("first")).cast("int").alias("_role"))
+
+
 def _cut(words: int, name: str):
     def of(batches):
         for batch in batches:
@@ -176,19 +194,18 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """docs with n_words, n_removed and kept_text: the words that no repeated window of `words` words covers, joined by one space.
 
     Words are runs without ASCII white space, unchanged. Windows are judged on the input. Null and empty texts have no
-    words and an empty kept_text. Rows are told apart by doc_id where every id is unique and not null, else by a 64-bit
-    hash of id and text; equal rows then share one result, and each counts as another place of the other's windows.
+    words and an empty kept_text. Rows are told apart by doc_id where its ids are whole numbers, unique and not null, else
+    they are numbered; equal rows are rows of their own, and each counts as another place of the other's windows.
     Columns of docs with the names that are added are replaced; other columns are carried along.
     """
     docs = docs.drop("n_words", "n_removed", "kept_text")
-    unique = docs.groupBy(doc_id).count().where(f"count > 1 OR `{doc_id}` IS NULL").isEmpty()
-    whole = docs.drop(*(c for c in ("_key", "_text", "_pos", "_role") if c in docs.columns))
-    whole = whole.withColumn("_key", F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text)).withColumnRenamed(text, "_text")
+    docs, key = told_apart(docs, doc_id)
+    whole = docs.withColumnRenamed(text, "__text").withColumn("__key", F.col(key).cast("long"))
+    whole = whole.drop(*(c for c in ("_key", "_text", "_pos", "_role", *([key] if key != doc_id else [])) if c in whole.columns))
+    whole = whole.withColumnsRenamed({"__text": "_text", "__key": "_key"})
     kept_columns = [f for f in whole.schema.fields if f.name not in ("_key", "_text")]
     seeds = _repeated(whole.select("_key", "_text").mapInArrow(tidy(_anchors(words, period)), _HASHED))
-    digests = whole.select("_key", F.unhex(F.sha2("_text", 256)).alias("digest"), "_text").where("_text <> ''").select("_key", "digest")
-    many = digests.groupBy("digest").agg(F.min("_key").alias("first"), F.count("*").alias("n")).where("n > 1")
-    roles = digests.join(many.hint("merge"), "digest").groupBy("_key").agg(F.max((F.col("_key") != F.col("first")).cast("int")).alias("_role"))
+    roles = _copies(whole.where("_text <> ''").select("_key", F.sha2("_text", 256).alias("digest")))
     sent = compressed(whole, "_text")
 
     def beside(found: DataFrame) -> DataFrame:
@@ -211,3 +228,14 @@ def dedup_text(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+v AS (SELECT doc_id, i::BIGINT AS i, array_to_string(l[i:i + 34], ' ') AS words FROM w, unnest(range(1, len(l) - 33)) AS r(i)),
+many AS (SELECT words FROM v GROUP BY words HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM v SEMI JOIN many USING (words), unnest(range(35)) AS r(j)),
+single AS (SELECT doc_id, i, l[i] AS word FROM w, unnest(range(1, len(l) + 1)) AS r(i)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM single ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, len(l)::BIGINT AS n_words, len(l)::BIGINT - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
