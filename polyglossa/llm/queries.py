@@ -28,6 +28,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": exact_dedup.ORACLE,
         "op3_embedding_dedup": embedding_dedup.ORACLE,
+        "op4_license_scan": license_scan.ORACLE,
         "op5_jaccard_join": jaccard_join.ORACLE,
         "op7_chat_format": chat_format.ORACLE,
         "op8_substring_dedup": substring_dedup.ORACLE,
