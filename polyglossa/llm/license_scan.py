@@ -239,6 +239,6 @@ size AS (SELECT license, count(*) AS total FROM ts GROUP BY license),
 d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS l FROM documents),
 h AS (SELECT doc_id, ts.license, p::BIGINT AS p, ts.s, ts.k FROM d, unnest(range(1, len(l) + 1)) AS r(p), (SELECT DISTINCT n FROM ts) AS m, ts
   WHERE p + m.n - 1 <= len(l) AND ts.n = m.n AND ts.s = array_to_string(l[p:p + m.n - 1], ' ')),
-c AS (SELECT a.doc_id, a.license, a.p, count(DISTINCT b.s) AS both FROM (SELECT DISTINCT doc_id, license, p FROM h) a JOIN h b ON a.doc_id = b.doc_id AND a.license = b.license AND b.p >= a.p AND b.p < a.p + b.k GROUP BY ALL)
-SELECT doc_id, license, max(both) / max(total)::DOUBLE AS containment, min(p) - 1 AS first_word FROM c JOIN size USING (license) WHERE both * 10 >= total * CASE WHEN total < {WHOLE} THEN 10 ELSE 8 END GROUP BY ALL
+c AS (SELECT a.doc_id, a.license, a.p, count(DISTINCT b.s) AS held FROM (SELECT DISTINCT doc_id, license, p FROM h) a JOIN h b ON a.doc_id = b.doc_id AND a.license = b.license AND b.p >= a.p AND b.p < a.p + b.k GROUP BY ALL)
+SELECT doc_id, license, max(held) / max(total)::DOUBLE AS containment, min(p) - 1 AS first_word FROM c JOIN size USING (license) WHERE held * 10 >= total * CASE WHEN total < {WHOLE} THEN 10 ELSE 8 END GROUP BY ALL
 """
