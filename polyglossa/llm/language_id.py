@@ -9,6 +9,7 @@ a subword, which gives the same mean. A temperature and a rejection level are ca
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, table
+from .common import crc_mod, table, tidy
 
 #: Most labelled rows that a model is fitted on: those with the smallest hash of their id.
 TRAIN_ROWS = 4_000
@@ -27,6 +28,8 @@ LEAST_STEPS = 400
 #: Share of the sample kept for calibration, and the accuracy that accepted rows of it should have.
 KEPT_BACK, ACCEPTED_ACCURACY = 5, 0.99
 UNKNOWN = "und"
+#: Characters that are worked on at once; a longer text is taken in pieces.
+PIECE = 500_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 #: Bytes that are no letters become blanks; bytes of longer characters stay.
@@ -52,6 +55,41 @@ def subwords(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return ids.astype(np.int32), np.concatenate([row[three], row[four]])
 
 
+def pieces(text: str | None) -> Iterator[str]:
+    """A text in pieces of at most PIECE characters, cut at blanks where there are some."""
+    text, at = text or "", 0
+    while len(text) - at > PIECE:
+        cut = text.rfind(" ", at + 1, at + PIECE)
+        cut = cut if cut > 0 else at + PIECE
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def blocks(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """(row of each piece, pieces) with about PIECE characters a block."""
+    rows, parts, size = [], [], 0
+    for row, text in enumerate(texts):
+        for part in pieces(text):
+            rows.append(row)
+            parts.append(part)
+            size += len(part)
+            if size >= PIECE:
+                yield rows, parts
+                rows, parts, size = [], [], 0
+    if parts:
+        yield rows, parts
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, share of the text's subwords in each): at most BUCKETS of them, however long the text is."""
+    n = np.zeros(BUCKETS, np.int64)
+    for part in pieces(text):
+        n += np.bincount(subwords([part])[0], minlength=BUCKETS)
+    there = np.flatnonzero(n)
+    return there.astype(np.int32), (n[there] / max(n.sum(), 1)).astype(np.float32)
+
+
 @dataclass(frozen=True)
 class Model:
     """Languages, the logits of each bucket and the bias, the temperature and the score below which a row is rejected."""
@@ -63,19 +101,18 @@ class Model:
     reject_below: float = 0.0
 
     def probabilities(self, texts: list[str | None]) -> np.ndarray:
-        """Softmax rows in blocks of a bounded number of bytes."""
-        out, at = np.zeros((len(texts), len(self.languages))), 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < 1_000_000):
-                size += len(texts[end] or "")
-                end += 1
-            ids, row = subwords(texts[at:end])
-            n = np.bincount(row, minlength=end - at)
+        """Softmax rows, from pieces of texts in blocks of a bounded number of characters."""
+        sums, n = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+        for rows, parts in blocks(texts):
+            ids, at = subwords(parts)
+            row = np.asarray(rows)[at]
+            n += np.bincount(row, minlength=len(texts))
             for c in range(len(self.languages)):
-                out[at:end, c] = np.bincount(row, self.logits[:, c][ids], end - at) / np.maximum(n, 1) + self.bias[c]
-            at = end
-        z = out / self.temperature
+                sums[:, c] += np.bincount(row, self.logits[:, c][ids], len(texts))
+        return self.softmax(sums / np.maximum(n, 1)[:, None] + self.bias)
+
+    def softmax(self, logits: np.ndarray) -> np.ndarray:
+        z = logits / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True)) if len(self.languages) else z
         return z / z.sum(axis=1, keepdims=True) if len(self.languages) else z
 
@@ -91,16 +128,15 @@ class Model:
 
 
 def train(texts: list[str], langs: list[str], seed: int = 11) -> Model:
-    """Mini-batch gradient descent on the softmax loss of the mean embedding; every fifth row calibrates."""
+    return train_rows([features(t) for t in texts], langs, seed)
+
+
+def train_rows(rows: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int = 11) -> Model:
+    """Mini-batch gradient descent on the softmax loss of the mean embedding of rows of features; every fifth row calibrates."""
     languages = tuple(sorted(set(langs)))
     if not languages:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     y = np.array([languages.index(v) for v in langs])
-    rows = []
-    for t in texts:
-        ids, _ = subwords([t])
-        u, n = np.unique(ids, return_counts=True)
-        rows.append((u, (n / max(n.sum(), 1)).astype(np.float32)))
     rng = np.random.default_rng(seed)
     kept = np.arange(len(y)) % KEPT_BACK == KEPT_BACK - 1
     fit = np.flatnonzero(~kept) if (~kept).any() else np.arange(len(y))
@@ -136,7 +172,8 @@ def train(texts: list[str], langs: list[str], seed: int = 11) -> Model:
     check = np.flatnonzero(kept)
     if not len(check):
         return model
-    raw = np.log(np.maximum(model.probabilities([texts[i] for i in check]), 1e-30))
+    means = np.stack([rows[i][1].astype(float) @ model.logits[rows[i][0]] for i in check])
+    raw = np.log(np.maximum(model.softmax(means + model.bias), 1e-30))
 
     def softmax(t):
         z = np.exp(raw / t - (raw / t).max(axis=1, keepdims=True))
@@ -151,32 +188,50 @@ def train(texts: list[str], langs: list[str], seed: int = 11) -> Model:
     return Model(languages, model.logits, model.bias, float(best), level if len(accurate) < len(order) else 0.0)
 
 
-def fit(docs: DataFrame, train_rows: Column, rows: int = TRAIN_ROWS) -> Model:
-    """A model from text and lang of the docs for which train_rows holds; at most `rows` of them come to the driver."""
-    some = docs.where(train_rows & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    ids = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text IS NOT NULL").toPandas().sort_values(["doc_id", "lang", "text"])
-    return train(picked["text"].tolist(), picked["lang"].tolist())
+def fit(docs: DataFrame, known: Column, rows: int = TRAIN_ROWS) -> Model:
+    """A model from text and lang of the docs for which known holds; the features of at most `rows` of them come to the driver.
+
+    Rows that share an id count once.
+    """
+    some = docs.where(known & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
+    ids = some.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    picked = docs.where("text IS NOT NULL").select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).dropDuplicates(["doc_id"])
+
+    def told(batches):
+        for pdf in batches:
+            found = [features(t) for t in pdf["text"]]
+            yield pdf[["doc_id", "lang"]].assign(buckets=[u for u, _ in found], shares=[s for _, s in found])
+
+    kinds = dict(docs.dtypes)
+    seen = picked.mapInPandas(tidy(told), f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, buckets array<int>, shares array<float>").collect()
+    seen = sorted(seen, key=lambda r: r["doc_id"])
+    return train_rows([(np.array(r["buckets"], np.int32), np.array(r["shares"], np.float32)) for r in seen], [r["lang"] for r in seen])
 
 
 def language_id(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with lang_pred, lang_score and lang_rejected.
 
     lang_pred is a learned language, or `und` with score 0 where the text is null or has no letter. A score below the
-    calibrated level marks the row as rejected, whatever lang_pred says. Equal texts get equal answers.
+    calibrated level marks the row as rejected, whatever lang_pred says. Equal texts get equal answers. Columns of docs
+    with the names that are added are replaced; all others are carried along. Very long texts are taken in pieces; a
+    subword across a cut inside a word is not seen.
     """
+    at = "_told"
+    while at in docs.columns:
+        at += "_"
 
     @F.pandas_udf("lang string, score double, rejected boolean")
     def told(texts: pd.Series) -> pd.DataFrame:
         lang, score, rejected = model.predict(texts.tolist())
         return pd.DataFrame({"lang": lang, "score": score, "rejected": rejected})
 
-    out = docs.withColumn("_told", told(F.col(text)))
-    return out.withColumns({"lang_pred": F.col("_told.lang"), "lang_score": F.col("_told.score"), "lang_rejected": F.col("_told.rejected")}).drop("_told")
+    out = docs.withColumn(at, told(F.col(text)))
+    return out.withColumns({"lang_pred": F.col(at)["lang"], "lang_score": F.col(at)["score"], "lang_rejected": F.col(at)["rejected"]}).drop(at)
 
 
 def held_out() -> Column:
-    return crc_mod("doc_id", 4) == 2
+    """Whether a row is kept from learning; a null id is not."""
+    return F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

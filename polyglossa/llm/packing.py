@@ -2,7 +2,7 @@
 
 Tokens are counted once, pieces (documents, or cuts of long ones) go to a histogram of at most `capacity` lengths, and
 the driver plans on that histogram alone: patterns of one to three lengths that fill a sequence exactly are enumerated,
-their repeats are fitted to the histogram by non-negative least squares, rounded down, and what remains is packed best
+their repeats are fitted to the histogram by non-negative least squares, rounded, and what remains is packed best
 fit first, longest pieces first. The plan is a table of runs (length, ranks, sequence, offset) whose size does not
 depend on the number of documents; every piece finds its run by its rank among the pieces of its length.
 """
@@ -70,11 +70,13 @@ class WordIds:
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its runs in order.
     Distinct runs are looked up a batch at a time. New runs of Latin letters with trailing punctuation are cut in two,
-    and unknown parts encoded many at a time and told apart by word-end tokens. Past a bounded number of known strings
-    those of the present batch alone are kept.
+    and unknown parts encoded many at a time and told apart by word-end tokens. Past a bounded number of known strings, or of
+    their bytes, those of the present batch alone are kept.
     """
 
     LIMIT = 300_000
+    #: Most bytes of known strings and of their ids.
+    BYTES = 48 << 20
     #: Bytes of text worked on at once, beside at most one longer text.
     STEP = 4 << 20
     _MARKS = ".,;:!?%&$*#|"
@@ -119,7 +121,7 @@ class WordIds:
         at = runs.find(names)
         new = at < 0
         if new.any():
-            if len(runs.names) + new.sum() > self.LIMIT:
+            if len(runs.names) + new.sum() > self.LIMIT or runs.names.nbytes + runs.pool.nbytes + names.nbytes > self.BYTES:
                 at = np.where(new, -1, np.searchsorted(runs.keep(at[~new]), at))
             before = len(runs.names)
             at[new] = before + learn(names.filter(pa.array(new)))
@@ -252,7 +254,7 @@ def plan(counts: np.ndarray) -> tuple[np.ndarray, int]:
         left[length] -= n
 
     p = patterns(left)
-    x = np.floor(fitted(p, left) + 1e-9).astype(np.int64)
+    x = np.rint(fitted(p, left)).astype(np.int64)  # where rounding up asks for more pieces than there are, fewer are taken
     for i in np.argsort(-x, kind="stable"):
         if x[i] < 1:
             break
@@ -333,6 +335,8 @@ def packed(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, **options) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset (and ids if keep_ids).
 
+    Patterns of three lengths are tried for at most MIDDLES middle lengths, which bounds the plan; it leaves no piece out.
+
     A null or empty text is a document of the end id alone. Documents longer than the capacity are cut into full pieces
     and one shorter last piece; no other is cut. Each row of docs is packed, rows with equal or null ids too. An empty
     table gives no rows. Sequences are filled from offset 0 without gaps. Only the id and text columns are read.

@@ -234,12 +234,13 @@ def score(model: Model, text: str = "text") -> Column:
 
 
 def toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with toxic_score and toxic_predicted (1 from 0.5)."""
+    """docs with toxic_score and toxic_predicted (1 from 0.5). Columns of docs with these names are replaced; others are carried along."""
     return docs.withColumn("toxic_score", score(model, text)).withColumn("toxic_predicted", (F.col("toxic_score") >= 0.5).cast("int"))
 
 
 def held_out() -> Column:
-    return crc_mod("doc_id", 5) == 0
+    """Whether a row is kept from learning; a null id is not (and has no label)."""
+    return F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
 
 
 def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
