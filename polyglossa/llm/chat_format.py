@@ -12,7 +12,7 @@ import hashlib
 import re
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from .common import staged, table
 READ, LEARNED = ("[INST]", "[/INST]"), ("<s>", "</s>")
 _CONTROL = r"(/?INST\]|/?s>)"
 _ESCAPE, _UNESCAPE = re.compile(r"([\[<])(\\*)" + _CONTROL), re.compile(r"([\[<])\\(\\*)" + _CONTROL)
+_MASK = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _TURN = re.compile(r"\[INST\](.*?)\[/INST\]|<s>(.*?)</s>", re.DOTALL)
 
 
@@ -105,11 +106,16 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
     whole = path.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf", "path_score").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
     def formatted(batches):
-        for pdf in batches:
-            done = [format_turns([(t["role"], t["text"]) for t in turns], learned) for turns in pdf["turns"]]
-            yield pdf[["leaf", "path_score"]].assign(tree=pd.Series([t["tree"] for t in pdf["tree"]], dtype=object), n_turns=[len(t) for t in pdf["turns"]], formatted=[f for f, _ in done], mask=[[{"start": a, "end": b} for a, b in m] for _, m in done])
+        for batch in batches:
+            rows = batch.column("turns").to_pylist()
+            done = [format_turns([(t["role"], t["text"]) for t in turns], learned) for turns in rows]
+            arrays = [*(batch.column(c) for c in names), pa.array([len(r) for r in rows], pa.int64()), pa.array([f for f, _ in done], pa.string()), pa.array([[{"start": a, "end": b} for a, b in m] for _, m in done], _MASK)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "n_turns", "formatted", "mask"])
 
-    return whole.mapInPandas(formatted, f"tree {kinds['tree']}, leaf {kinds['node']}, path_score double, n_turns long, formatted string, mask array<struct<start:long,end:long>>")
+    # Arrow keeps the ids as they are; pandas would round large ones beside a null.
+    names = ["tree", "leaf", "path_score"]
+    out = whole.mapInArrow(formatted, f"tree struct<tree:{kinds['tree']}>, leaf {kinds['node']}, path_score double, n_turns long, formatted string, mask array<struct<start:long,end:long>>")
+    return out.withColumn("tree", F.col("tree.tree"))
 
 
 def chains(conversations: DataFrame) -> DataFrame:
@@ -120,22 +126,24 @@ def chains(conversations: DataFrame) -> DataFrame:
 
 
 def _digests(batches):
-    for pdf in batches:
+    for batch in batches:
         rows = []
-        for tree, text, mask in zip(pdf["tree"], pdf["formatted"], pdf["mask"], strict=True):
+        for text, mask in zip(batch.column("formatted").to_pylist(), batch.column("mask").to_pylist(), strict=True):
             turns = read_turns(text)
             loss = "".join(unescape(text[m["start"] : m["end"]]) for m in mask)
             all_turns = "".join(f"{r}\n{t}\n" for r, t in turns)
-            rows.append((tree["tree"], len(turns), hashlib.sha256(all_turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-        yield pd.DataFrame(rows, dtype=object, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            rows.append((len(turns), hashlib.sha256(all_turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        yield pa.RecordBatch.from_arrays([batch.column("tree"), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names=names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = F.lit("</s>[INST] ok [/INST]")
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
-    done = chat_format(chains(rows.unionByName(own))).withColumn("tree", F.struct("tree"))  # pandas keeps whole numbers so, beside nulls too
-    return done.mapInPandas(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    done = chat_format(chains(rows.unionByName(own))).select("tree", "formatted", "mask")
+    return done.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 ORACLE = r"""

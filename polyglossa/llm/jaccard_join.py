@@ -88,7 +88,7 @@ def _signatures(shingle: int, trees: int, shortest: int, depth: int):
                             out[:, t, i + 1 - shortest] = prefix
                 mine = np.full(len(counts), -1)
                 mine[full] = np.arange(len(full))
-                flat = out.reshape(len(full), -1).view(np.int64)
+                flat = out.reshape(len(full), trees * levels).view(np.int64)
                 prefixes += [flat[m] if m >= 0 else np.empty(0, np.int64) for m in mine]
             keep = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(prefixes, pa.list_(pa.int64()))], names=[*keep, "prefixes"])

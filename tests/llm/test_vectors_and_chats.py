@@ -34,9 +34,64 @@ def test_embedding_dedup(spark):
 
 
 def test_recall_calibration():
-    for bits in (0, 4, 10):
-        t, q = embedding_dedup.tables(0.93, bits, 0.999), embedding_dedup.chance(0.93, bits)
-        assert 1 - (1 - q) ** t - t * q * (1 - q) ** (t - 1) >= 0.999
+    n, q = embedding_dedup.needed(0.93, 0.9995), embedding_dedup.chance(0.93, 0.93)
+    assert embedding_dedup.reached(q, n, embedding_dedup.LINES) >= 0.9995 > embedding_dedup.reached(q, n + 1, embedding_dedup.LINES)
+    assert embedding_dedup.reached(embedding_dedup.chance(0.0, 0.93), n, embedding_dedup.LINES) < 0.01  # few others are verified
+    with pytest.raises(ValueError, match="recall"):
+        embedding_dedup.needed(0.93, 0.9995, 3)
+
+
+def test_collisions_are_those_of_query_centred_windows():
+    rng = np.random.default_rng(2)
+    p, q = rng.normal(size=(30, 7)), rng.normal(size=(50, 7))
+    assert (embedding_dedup.collisions(p, q, 0.3) == (np.abs(p[:, None] - q[None]) <= 0.3).sum(axis=2)).all()
+
+
+def near(rng, x, cosine):
+    """A vector of exactly about this cosine with x."""
+    u = x / np.linalg.norm(x)
+    w = rng.normal(size=len(x))
+    w -= (w @ u) * u
+    return cosine * u + np.sqrt(1 - cosine**2) * w / np.linalg.norm(w)
+
+
+def test_links_near_the_threshold_over_many_blocks(spark):
+    """1,500 links of a cosine of 0.93 to 0.95 among 6,000 vectors of one label, cut into blocks of 256."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4500, 32))
+    twins = np.stack([near(rng, x[i], rng.uniform(0.9301, 0.95)) for i in range(1500)])
+    v = np.concatenate([x, twins])
+    df = spark.createDataFrame([(i, e.tolist(), 1) for i, e in enumerate(v)], "vec_id long, embedding array<double>, label int").repartition(8)
+    got = {r["vec_id"]: r for r in embedding_dedup.embedding_dedup(df, block=256).collect()}
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    want = (u @ u.T >= 0.93).sum(axis=1) - 1
+    lost = sum(int(want[i]) - got[i]["n_links"] for i in range(len(v)))
+    assert want.sum() >= 3000 and 0 <= lost <= 0.002 * want.sum()
+
+
+def test_sql_with_links(spark, tmp_path):
+    """The query's SQL gives the same rows on a table that holds links: the embeddings and near copies of them."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    t = pq.read_table(f"{SF}/embeddings.parquet").to_pylist()
+    rng = np.random.default_rng(4)
+    more = [{**r, "vec_id": r["vec_id"] + 10_000 * k, "embedding": near(rng, np.array(r["embedding"]), c).tolist()} for r in t[::3] for k, c in ((1, 0.95), (2, 0.97), (3, 0.9))]
+    pq.write_table(pa.table({"vec_id": [r["vec_id"] for r in t + more], "embedding": pa.array([r["embedding"] for r in t + more], pa.list_(pa.float32())), "label": [r["label"] for r in t + more]}), tmp_path / "embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    want = sorted(con.sql(f"SELECT vec_id, n_links, component_id, kept FROM ({embedding_dedup.ORACLE.strip()})").fetchall())
+    got = sorted(tuple(r) for r in embedding_dedup.query(spark, str(tmp_path)).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert got == want and sum(r[1] for r in want) > len(t)
+
+
+def test_vectors_with_text_and_repeated_ids(spark):
+    a, b = [1.0, 0.0], [0.0, 1.0]
+    rows = [("x", a, 1), ("w", a, 1), ("v", b, 1), ("v", a, 1), (None, a, 1)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<float>, label int").withColumn("dim", F.lit("own")).withColumn("fine", F.lit("own")).withColumn("block", F.lit(0))
+    got = sorted(((r["vec_id"] or "", r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.embedding_dedup(df).collect()), key=str)
+    assert got == sorted([("x", 2, "v", False), ("w", 2, "v", False), ("v", 0, "v", True), ("v", 2, "v", True), ("", 0, None, True)], key=str)
 
 
 def test_components(spark):
@@ -62,7 +117,7 @@ def test_reply_trees(spark):
     best = {r["tree"]: r for r in chat_format.chat_format(nodes).collect()}
     assert best[1]["leaf"] == 4 and chat_format.read_turns(best[1]["formatted"]) == [("user", "q"), ("assistant", "good"), ("user", "more")]
     assert chat_format.read_turns(best[2]["formatted"]) == [("user", "orphan")]
-    assert {(r["tree"], r["leaf"]) for r in chat_format.chat_format(nodes, None).collect()} == {(1, 2), (1, 4), (1, 5), (2, 1)}
+    assert {(r["tree"], r["leaf"]) for r in chat_format.chat_format(nodes, None).collect()} == {(1, 2), (1, 4), (1, 5), (2, 1), (None, 1)}
     long = spark.range(1, 301).select(F.lit(1).cast("long").alias("tree"), F.col("id").alias("node"), (F.col("id") - 1).alias("parent"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"), F.lit(0.0).alias("score"))
     got = chat_format.chat_format(long).first()
     assert [t for _, t in chat_format.read_turns(got["formatted"])] == [str(i) for i in range(1, 301)]
@@ -71,6 +126,17 @@ def test_reply_trees(spark):
     assert chat_format.chat_format(nodes.limit(0)).count() == 0
 
 
+def test_conversations_without_id(spark):
+    c = spark.createDataFrame([(None, 1, "user", "a"), (None, 2, "assistant", "b"), (2**60 + 1, 1, "user", "z")], "conv_id long, turn long, role string, text string")
+    got = {r["tree"]: chat_format.read_turns(r["formatted"]) for r in chat_format.chat_format(chat_format.chains(c)).collect()}
+    assert got == {None: [("user", "a"), ("assistant", "b")], 2**60 + 1: [("user", "z")]}
+
+
+def test_conversations_query_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert [r["conv_id"] for r in chat_format.query(spark, str(tmp_path)).collect()] == [-7]
+
+
 def test_chains_keep_repeated_rows(spark):
     c = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None)], "conv_id long, turn long, role string, text string")
     got = chat_format.chat_format(chat_format.chains(c)).first()
@@ -98,11 +164,26 @@ def test_query_equals_sql(spark, name):
 
 
 def test_held_out_accuracy(spark):
-    lab = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic").where("toxic IS NOT NULL")
-    tox = queries.queries()["op10_toxicity"](spark, SF).join(lab, "doc_id").where("held_out")
-    assert tox.where("predicted = toxic").count() >= 0.9 * tox.count()
-    lang = queries.queries()["op6_language_id"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL")
-    assert lang.where("lang_pred = lang").count() >= 0.9 * lang.count()
+    """Recall and the order of scores for toxicity, whose labels are rare; accuracy for languages."""
+    sf = SF.replace("0.001", "0.01")
+    lab = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic").where("toxic IS NOT NULL")
+    tox = queries.queries()["op10_toxicity"](spark, sf).join(lab, "doc_id").where("held_out").toPandas()
+    bad, good = tox[tox["toxic"] == 1], tox[tox["toxic"] == 0]
+    auc = np.mean([(b > good["score"]).mean() + (b == good["score"]).mean() / 2 for b in bad["score"]])
+    assert len(bad) >= 5 and auc >= 0.75 and bad["predicted"].mean() >= 0.5 and good["predicted"].mean() <= 0.05
+    lang = queries.queries()["op6_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL")
+    assert lang.where("lang_pred = lang").count() >= 0.97 * lang.count() > 0
+
+
+def test_pipeline_of_an_empty_table_and_of_odd_rows(spark, tmp_path):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, rows in (("empty", []), ("odd", [(1, "a b"), (1, "a b"), (None, None), (None, None), (2, ""), (3, "x " * 3000), (3, "y z")])):
+        at = f"{tmp_path}/{name}"
+        labels.write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{at}/documents.parquet")
+        got = corpus_pipeline.run(spark, at).collect()
+        # of the four empty texts the one with the smallest id stays
+        assert {r["doc_id"] for r in got} == ({1, 2, 3} if rows else set())
 
 
 def test_pipeline_stage_by_stage(spark, tmp_path):
