@@ -80,10 +80,13 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
     light = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum")).join(known, ["tree", "parent"], "left")
     open_ = staged(light.select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "sum", F.lit(1).cast("long").alias("n")), "jumps")
     jumps: list[DataFrame] = []
+    most = 0
     done = [open_.where("up IS NULL")]
     # Only nodes that have not met their root yet are joined again; those that have are set aside.
     while not open_.where("up IS NOT NULL").isEmpty():
-        if len(jumps) > 40:
+        # After k jumps a node has met its 2^k-th ancestor: more than there are nodes are a circle.
+        most = most or (light.count() if len(jumps) > 3 else 0)
+        if most and 2 ** len(jumps) > 2 * most:
             raise ValueError("the parents of a tree form a circle")
         still = open_.where("up IS NOT NULL")
         jumps.append(still.select("tree", "node", "up"))
