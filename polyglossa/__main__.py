@@ -25,6 +25,7 @@ COMMANDS = {
     "download": ("crawl chapter pages", ["url", "out", "count:int", "delay:float=3"]),
     "embed-align-pair": ("align two paragraph tables by vectors", ["left", "right", "out"]),
     "gap-align-pair": ("the same, rows may stand alone", ["left", "right", "out"]),
+    "window-align": ("align paragraphs by replies, a fixed window a request", ["paragraphs", "out", "model", "first:int=1", "last:int=1000000000"]),
     "sequential-align": ("align paragraphs by replies", ["paragraphs", "out", "model"]),
     "validate-pair": ("first weak group of an alignment", ["groups", "out", "minimum:float=0.65"]),
     "review-boundary": ("verdicts about weak groups", ["gates", "replies", "out"]),
@@ -76,6 +77,11 @@ def run(spark: SparkSession, command: str, args: argparse.Namespace) -> DataFram
         return web.crawl(spark, args.url, args.count, f"{args.out}/pages", delay=args.delay)
     if command in ("embed-align-pair", "gap-align-pair"):
         return alignment.align_blocks(_vectors(spark, args), gap=alignment.GAP_COST if command.startswith("gap") else None)
+    if command == "window-align":
+        asked = requests.window_requests(read(args.paragraphs), args.first, args.last)
+        told = requests.stored_replies(asked, requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", ["chapter", "window"], accept=requests.is_json, health=requests.service_health)
+        requests.window_report(told).write.mode("overwrite").json(f"{args.out}/report")
+        return requests.window_alignments(requests.stop_on_failure(told))
     if command == "sequential-align":
         return requests.sequential_alignment(read(args.paragraphs), requests.http_responder(args.model, json_mode=True))
     if command == "validate-pair":

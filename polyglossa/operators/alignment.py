@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 STEP_PENALTY, GAP_COST = 0.025, 0.2
 
 
-def block_scores(left: np.ndarray, right: np.ndarray, a: int, b: int) -> np.ndarray:
-    """cosine of the means of every block of a left and b right rows, [first left, first right]."""
+def block_means(x: np.ndarray, k: int) -> np.ndarray:
+    """The means of every k rows that follow each other, as unit vectors (zero where the mean is)."""
+    m = sum(x[i : len(x) - k + 1 + i] for i in range(k)) / k
+    n = np.sqrt((m * m).sum(axis=1))
+    return m / np.where(n > 0, n, np.inf)[:, None]
 
-    def means(x: np.ndarray, k: int) -> np.ndarray:
-        m = sum(x[i : len(x) - k + 1 + i] for i in range(k)) / k
-        n = np.sqrt((m * m).sum(axis=1))
-        return m / np.where(n > 0, n, np.inf)[:, None]
 
-    return means(left, a) @ means(right, b).T
+def block_scores(left: np.ndarray, right: np.ndarray, a: int, b: int) -> np.ndarray:
+    """cosine of the means of every block of a left and b right rows, [first left, first right]."""
+    return block_means(left, a) @ block_means(right, b).T
 
 
 def align(left: np.ndarray, right: np.ndarray, max_group: int = 3, penalty: float = STEP_PENALTY, gap: float | None = None) -> tuple[float, list[tuple[int, int, int, int, float | None]]] | None:
@@ -27,43 +28,48 @@ def align(left: np.ndarray, right: np.ndarray, max_group: int = 3, penalty: floa
 
     A group is (first left, how many, first right, how many, cosine), from 0. Every group scores its cosine less the
     penalty for each row beyond one a side; with `gap`, one row may also stand alone at that cost. Of equal scores the
-    larger left block, then the larger right block stays. Rows of the score table depend on rows before them alone, so
-    each is computed at once. None if the sides cannot be covered.
+    larger left block, then the larger right block stays. Rows of the score table depend on max_group rows before them
+    alone, so only those are kept, with one byte a cell for the way taken; the cosines of a row are computed when it is.
+    None if the sides cannot be covered.
     """
     n, m = len(left), len(right)
-    best = np.full((n + 1, m + 1), -np.inf)
-    took = np.zeros((n + 1, m + 1, 2), np.int16)
-    best[0, 0] = 0
+    if max_group > 15:
+        raise ValueError("groups have at most 15 rows")
+    took = np.zeros((n + 1, m + 1), np.uint8)  # 16 times the rows of the left block, plus those of the right one
     steps = [(a, b) for a in range(max_group, 0, -1) for b in range(max_group, 0, -1) if a <= n and b <= m]
-    score = {(a, b): block_scores(left, right, a, b) for a, b in steps}
+    lefts, rights = ({k: block_means(x, k) for k in range(1, max_group + 1) if k <= len(x)} for x in (left, right))
+    best: dict[int, np.ndarray] = {}
     for i in range(n + 1):
-        row = best[i]
+        best[i] = row = np.full(m + 1, -np.inf)
+        best.pop(i - max_group - 1, None)
+        if not i:
+            row[0] = 0
         for a, b in steps:
             if i < a:
                 continue
             value = np.full(m + 1, -np.inf)
-            value[b:] = best[i - a, : m + 1 - b] + score[a, b][i - a] - penalty * (a + b - 2)
+            value[b:] = best[i - a][: m + 1 - b] + rights[b] @ lefts[a][i - a] - penalty * (a + b - 2)
             better = value > row
             row[better] = value[better]
-            took[i][better] = (a, b)
+            took[i][better] = 16 * a + b
         if gap is not None:
             if i:
                 value = best[i - 1] - gap
                 better = value > row
                 row[better] = value[better]
-                took[i][better] = (1, 0)
+                took[i][better] = 16
             for j in range(1, m + 1):
                 if row[j - 1] - gap > row[j]:
                     row[j] = row[j - 1] - gap
-                    took[i, j] = (0, 1)
-    if not np.isfinite(best[n, m]):
+                    took[i, j] = 1
+    if not np.isfinite(best[n][m]):
         return None
     groups, i, j = [], n, m
     while i or j:
-        a, b = (int(v) for v in took[i, j])
-        groups.append((i - a, a, j - b, b, float(score[a, b][i - a, j - b]) if a and b else None))
+        a, b = divmod(int(took[i, j]), 16)
+        groups.append((i - a, a, j - b, b, float(lefts[a][i - a] @ rights[b][j - b]) if a and b else None))
         i, j = i - a, j - b
-    return float(best[n, m]), groups[::-1]
+    return float(best[n][m]), groups[::-1]
 
 
 def align_blocks(vectors: DataFrame, chapter: str = "chapter", max_group: int = 3, gap: float | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_story, first_paragraphs
+from .corpus import request_window_size, windows
 
 Responder = Callable[[list[str]], list[str]]
 ATTEMPTS, SLOW_SECONDS = 3, 120.0
@@ -49,23 +50,28 @@ def service_health(url: str = "http://127.0.0.1:11434/api/tags") -> dict:
         return {"error": str(error)}
 
 
-def respond(requests: DataFrame, responder: Responder, accept: Callable[[str], bool] | None = None, attempts: int = ATTEMPTS, slow: float = SLOW_SECONDS) -> DataFrame:
-    """requests (with prompt) with reply, failures, duration_s and slow; reply is null after `attempts` failures."""
+def respond(requests: DataFrame, responder: Responder, accept: Callable[[str], bool] | None = None, attempts: int = ATTEMPTS, slow: float = SLOW_SECONDS, health: Callable[[], dict] | None = None) -> DataFrame:
+    """requests (with prompt) with reply, failures, duration_s and slow; reply is null after `attempts` failures.
+
+    duration_s is the time of the last attempt. Where health is given, what it tells after a failure stands beside it.
+    """
 
     def of(batches):
         for pdf in batches:
             rows = []
             for prompt in pdf["prompt"]:
-                failures, reply, began = [], None, time.monotonic()
+                failures, reply, took = [], None, 0.0
                 while reply is None and len(failures) < attempts:
+                    began = time.monotonic()
                     try:
                         got = responder([prompt])[0]
                         if accept is not None and not accept(got):
                             raise ValueError("the reply does not pass the check")
                         reply = got
                     except Exception as error:  # noqa: BLE001  any failure of the service is recorded, not raised
-                        failures.append(f"{type(error).__name__}: {error}")
-                took = time.monotonic() - began
+                        told = f" ({json.dumps(health())})" if health else ""
+                        failures.append(f"{type(error).__name__}: {error}{told}")
+                    took = time.monotonic() - began
                 rows.append((reply, failures, took, took >= slow))
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=["reply", "failures", "duration_s", "slow"])], axis=1)
 
@@ -87,6 +93,52 @@ def stored_replies(requests: DataFrame, responder: Responder, path: str, key: li
     return spark.read.parquet(path)
 
 
+WINDOWS_TASK = 'Align these paragraphs by meaning, without changing them. Reply with JSON {"alignments":[{"zh":[],"en":[],"ru":[],"note":""}]}; an empty side is an omission.\n\n'
+LANGUAGES = (("zh", "Chinese"), ("en", "English"), ("ru", "Russian"))
+
+
+def is_json(reply: str) -> bool:
+    json.loads(reply)
+    return True
+
+
+def window_requests(paragraph_rows: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """(chapter, window, offset, window_size, zh_count, en_count, ru_count, prompt): fixed windows of the longest side.
+
+    A chapter's windows have 5 or 8 paragraphs, by its longest side and paragraph; chapters outside first..last, and those
+    that lack a language, are left out. Paragraphs are numbered from 1 in each window; a side that has ended gives no lines.
+    """
+    rows = paragraph_rows.where((F.col("chapter") >= first) if first is not None else F.lit(True)).where((F.col("chapter") <= last) if last is not None else F.lit(True))
+    counts = rows.groupBy("chapter").agg(*(F.count_if(F.col("lang") == n).alias(f"{n}_count") for n, _ in LANGUAGES)).where(" AND ".join(f"{n}_count > 0" for n, _ in LANGUAGES))
+    sized = rows.join(request_window_size(rows, ["chapter"], ["lang"]).join(counts, "chapter"), "chapter")
+    at = windows(sized, ["chapter"], "p", F.col("window_size")).withColumn("line", F.concat((F.col("p") - F.col("offset") + 1).cast("string"), F.lit(": "), F.col("paragraph")))
+
+    def side(name: str, told: str) -> list[Column]:
+        own = F.array_sort(F.collect_list(F.when(F.col("lang") == name, F.struct("p", "line"))))
+        return [F.lit(f"{told} paragraphs:\n"), F.array_join(F.transform(own, lambda x: x["line"]), "\n"), F.lit("\n\n")]
+
+    prompt = F.concat(F.lit(WINDOWS_TASK), *(c for n, told in LANGUAGES for c in side(n, told)))
+    return at.groupBy("chapter", "window", "offset", "window_size", *(f"{n}_count" for n, _ in LANGUAGES)).agg(prompt.alias("prompt"))
+
+
+def window_alignments(replies: DataFrame) -> DataFrame:
+    """(chapter, window, offset, alignment) from the replies to window_requests; numbers are those of the prompt."""
+    kind = "struct<zh:array<int>,en:array<int>,ru:array<int>,note:string>"
+    rows = F.transform(reply_rows(F.col("reply")), lambda v: F.try_variant_get(v, "$", kind))
+    return replies.select("chapter", "window", "offset", rows.alias("alignment"))
+
+
+def window_report(replies: DataFrame) -> DataFrame:
+    """One row a chapter: its status, windows, window size, paragraphs of each side, failed attempts and slow windows.
+
+    A chapter with a window that has no reply asks for a review, from the first such window on.
+    """
+    lost = F.min(F.when(F.col("reply").isNull(), F.col("window")))
+    told = [F.first("window_size").alias("window_size"), *(F.first(f"{n}_count").alias(f"{n}_count") for n, _ in LANGUAGES)]
+    out = replies.groupBy("chapter").agg(F.count("*").alias("windows"), *told, F.sum(F.size("failures")).alias("failed_attempts"), F.count_if("slow").alias("slow_windows"), lost.alias("first_failed_window"))
+    return out.withColumn("status", F.when(F.col("first_failed_window").isNull(), "assisted_needs_review").otherwise("review_required"))
+
+
 def stop_on_failure(replies: DataFrame) -> DataFrame:
     """replies, with an error at run time on the first request that has none."""
     message = F.concat(F.lit("review required: "), F.coalesce(F.array_join("failures", "; "), F.lit("no reply")))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ocr import clean_line, dehyphenate, lines, review_reasons
 
 FINAL = ("approved", "rejected")
+#: Most terms of a glossary, which goes to every task.
+TERMS = 200_000
 OCR_FINAL = ("approved", "manual_fix", "leave_as_is")
 
 
@@ -72,9 +75,37 @@ def pages_with_photos(pages: DataFrame, photos: DataFrame) -> DataFrame:
 
 
 def glossary_violations(units: DataFrame, glossary: DataFrame) -> DataFrame:
-    """Units whose source has a glossary term and whose Russian text lacks its translation. The glossary is small by nature; Spark decides how to join it."""
-    hit = units.join(glossary.where(F.col("en") != ""), F.col("en_text").contains(F.col("en")))
-    return hit.where(~F.col("ru_text").contains(F.col("ru")))
+    """Units whose source has a glossary term and whose Russian text lacks its translation, with the glossary's columns.
+
+    Terms may stand anywhere in a text, inside words too: an automaton of all terms finds them in one pass over a text. A
+    glossary of more than TERMS rows is an error.
+    """
+    terms = glossary.where(F.col("en") != "").dropDuplicates().limit(TERMS + 1).collect()
+    if len(terms) > TERMS:
+        raise ValueError(f"a glossary has at most {TERMS} terms")
+    own, added = units.columns, [f for f in glossary.schema.fields]
+
+    def of(batches):
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        by: dict[str, list[int]] = {}
+        for i, t in enumerate(terms):
+            by.setdefault(t["en"], []).append(i)
+        for term, which in by.items():
+            machine.add_word(term, which)
+        machine.make_automaton()
+        for pdf in batches:
+            hits = []
+            for k, (source, russian) in enumerate(zip(pdf["en_text"], pdf["ru_text"], strict=True)):
+                if by and source is not None and russian is not None:
+                    found = {i for _, which in machine.iter(source) for i in which}
+                    hits += [(k, i) for i in sorted(found) if terms[i]["ru"] is not None and terms[i]["ru"] not in russian]
+            out = pdf[own].iloc[[k for k, _ in hits]].reset_index(drop=True)
+            yield out.assign(**{f.name: pd.Series([terms[i][f.name] for _, i in hits], dtype=object) for f in added})
+
+    fields = [*units.schema.fields, *added]
+    return units.mapInPandas(of, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields))
 
 
 def duplicate_terms(glossary: DataFrame) -> DataFrame:

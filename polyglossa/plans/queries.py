@@ -41,6 +41,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _shared(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at}/{uuid.uuid4().hex[:12]}"
@@ -138,40 +140,65 @@ def page_names(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", text.safe_filename(F.col("url")).alias("file"), text.normalized_href(F.col("url"), F.lit("t/a.xhtml#s")).alias("href"))
 
 
-_FRAGMENT = r"""
-f AS (SELECT page_id, url, html, CASE WHEN regexp_matches(html, '(?is)<article[^>]*>(.*?)</article>') THEN regexp_replace(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), '(?is)<(?:div|p)[^>]*class="[^"]*(?:disclaimer|navigation|advert)[^"]*"[^>]*>.*?</(?:div|p)>', '', 'g') END AS fragment FROM pages),
+#: Pages with references beyond the frequent ones, an encoded ampersand, and links of every form; none of the tables' pages has them.
+_PAGES = [
+    (-1, "https://h.x/b/c/chapter-4?a=/z", '<article><p>&laquo;caf&eacute;&raquo; &mdash; &#8212;&#x2014;&hellip;</p>&amp;lt; &euro;5<br/>x</article><a href="//cdn.h/x">Следующая</a>', "https://cdn.h/x"),
+    (-2, "https://h.x/b/c/chapter-4", '<article><p>a &amp;amp; b</p></article><a class=n href="?p=2&amp;q=1">следующая <b>глава</b></a>', "https://h.x/b/c/chapter-4?p=2&q=1"),
+    (-3, "https://h.x/b/c/chapter-4", '<article>x</article><a href="../d">Следующая</a>', "https://h.x/b/d"),
+    (-4, "https://h.x/b/c/chapter-4", '<article><h1>t</h1>y</article><a href="/e/f">Следующая</a>', "https://h.x/e/f"),
+    (-5, "https://h.x/b/c/chapter-9/q", '<article>z</article><a href="g">other</a>', "https://h.x/b/c/chapter-10/q"),
+    (-6, "https://h.x/b", "<p>none</p>", None),
+]
+_PAGES_SQL = "given AS (SELECT page_id, url, html FROM pages UNION ALL VALUES " + ", ".join(f"({i}, '{u}', '{h}')" for i, u, h, _ in _PAGES) + ")"
+
+
+def _pages(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", "url", "html").unionByName(spark.createDataFrame([p[:3] for p in _PAGES], "page_id long, url string, html string"))
+
+
+_FRAGMENT = _PAGES_SQL + r""",
+f AS (SELECT page_id, url, html, CASE WHEN regexp_matches(html, '(?is)<article[^>]*>(.*?)</article>') THEN regexp_replace(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), '(?is)<(?:div|p)[^>]*class="[^"]*(?:disclaimer|navigation|advert)[^"]*"[^>]*>.*?</(?:div|p)>', '', 'g') END AS fragment FROM given),
 g AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(fragment, '(?i)<br\s*/?>', chr(10), 'g'), '(?i)</(?:p|h[1-6]|div|li)>', chr(10) || chr(10), 'g'), '<[^>]+>', '', 'g') AS bare FROM f),
-h AS (SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(bare, '&middot;', '·'), '&quot;', '"'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&#39;', ''''), '&amp;', '&') AS decoded FROM g),
+h AS (SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(bare, '&mdash;', '—'), '&laquo;', '«'), '&raquo;', '»'), '&hellip;', '…'), '&#8212;', '—'), '&#x2014;', '—'), '&eacute;', 'é'), '&euro;', '€'), '&middot;', '·'), '&quot;', '"'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&#39;', ''''), '&amp;', '&') AS decoded FROM g),
 i AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(decoded, '\n[ \t]+', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g') AS body FROM h)
 """
 
 
 @_query(f"WITH {_FRAGMENT} SELECT page_id, fragment FROM i")
 def story_container(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", web.story_container(F.col("html"), web.ANY_ARTICLE).alias("fragment"))
+    return _pages(spark, sf_dir).select("page_id", web.story_container(F.col("html"), web.ANY_ARTICLE).alias("fragment"))
 
 
 @_query(f"WITH {_FRAGMENT} SELECT page_id, body FROM i")
 def html_to_text(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", web.fragment_text(web.story_container(F.col("html"), web.ANY_ARTICLE)).alias("body"))
+    return _pages(spark, sf_dir).select("page_id", web.fragment_text(web.story_container(F.col("html"), web.ANY_ARTICLE)).alias("body"))
 
 
 @_query(rf"""WITH {_FRAGMENT}, p AS (SELECT page_id, list_filter(list_transform(string_split(body, chr(10) || chr(10)), lambda x: regexp_replace(x, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g')), lambda x: x <> '') AS l FROM i),
 q AS (SELECT page_id, list_filter(list_transform(string_split_regex(regexp_replace(array_to_string(l, chr(10) || chr(10)), '[\s\x{{a0}}]*\[\d{{1,3}}\]', '', 'g'), '\n\s*\n'), lambda x: array_to_string(list_filter(list_transform(string_split(x, chr(10)), lambda y: regexp_replace(y, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g')), lambda y: y <> ''), chr(10))), lambda x: x <> '') AS l FROM p)
 SELECT page_id, CASE WHEN l IS NULL THEN NULL WHEN len(l) > 0 THEN array_to_string(l, chr(10) || chr(10)) || chr(10) ELSE '' END AS story FROM q""")
 def story_text(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", web.story_text(web.story_container(F.col("html"), web.ANY_ARTICLE)).alias("story"))
+    return _pages(spark, sf_dir).select("page_id", web.story_text(web.story_container(F.col("html"), web.ANY_ARTICLE)).alias("story"))
 
 
-@_query()
+_PARSED = rf"""WITH {_PAGES_SQL},
+a AS (SELECT page_id, regexp_replace(html, '(?s)<!--.*?(?:-->|$)', '', 'g') AS t FROM given),
+b AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?is)<script[^>]*>.*?(?:</script\s*>|$)', '', 'g'), '(?is)<style[^>]*>.*?(?:</style\s*>|$)', '', 'g') AS t FROM a),
+c AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?i)</?(?:article|br|div|h1|h2|h3|li|p|section)(?:[\s/][^>]*)?>', chr(10), 'g'), '</?[A-Za-z!?][^>]*>', '', 'g') AS bare FROM b),
+d AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(bare, '&mdash;', '—'), '&laquo;', '«'), '&raquo;', '»'), '&hellip;', '…'), '&#8212;', '—'), '&#x2014;', '—'), '&eacute;', 'é'), '&euro;', '€'), '&middot;', '·'), '&quot;', '"'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&#39;', ''''), '&amp;', '&') AS t FROM c)
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(replace(t, chr(160), ' '), '[ \t]+', ' ', 'g'), '\n[ \t]*\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS body FROM d"""
+
+
+@_query(_PARSED)
 def html_parse_text(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", web.html_text("html").alias("body"))
+    return _pages(spark, sf_dir).select("page_id", web.html_text(F.col("html")).alias("body"))
 
 
-@_query(r"""SELECT page_id, regexp_replace(url, '[^/]*$', '') || 'chapter-' || (page_id + 1) AS next_url FROM pages""")
+@_query("SELECT page_id, regexp_replace(url, '[^/]*$', '') || 'chapter-' || (page_id + 1) AS next_url FROM pages UNION ALL VALUES " + ", ".join(f"({i}, {'NULL' if n is None else repr(n)})" for i, _, _, n in _PAGES))
 def next_link(spark, sf_dir):
-    url = F.concat(F.regexp_replace("url", "[^/]*$", ""), F.lit("chapter-"), F.col("page_id").cast("string"))
-    return _t(spark, sf_dir, "pages").select("page_id", web.next_url(F.col("html"), url).alias("next_url"))
+    made = F.concat(F.regexp_replace("url", "[^/]*$", ""), F.lit("chapter-"), F.col("page_id").cast("string"))
+    url = F.when(F.col("page_id") < 0, F.col("url")).otherwise(made)
+    return _pages(spark, sf_dir).select("page_id", web.next_url(F.col("html"), url).alias("next_url"))
 
 
 def _files(spark, sf_dir):
@@ -213,11 +240,11 @@ def missing_chapters(spark, sf_dir):
     return audit.missing_chapters(c.where("source = '0'").select("chapter").distinct(), c.where("source = '2'"))
 
 
-@_query("WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS rank FROM conversations) SELECT u.conv_id, u.rank::INT AS rank, u.text AS question, a.text AS answer FROM t u JOIN t a USING (conv_id, rank) WHERE u.role = 'user' AND a.role = 'assistant' AND rank <= 3")
+@_query("WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS rank FROM conversations) SELECT u.conv_id, u.rank::INT AS rank, u.text AS question, a.text AS answer FROM t u JOIN t a USING (conv_id, rank) WHERE u.role = 'user' AND a.role = 'assistant'")
 def positional_join(spark, sf_dir):
     c = _t(spark, sf_dir, "conversations").withColumnRenamed("text", "value")
     sides = [c.where(F.col("role") == r).select("conv_id", "turn", "value") for r in ("user", "assistant")]
-    return corpus.match_by_rank(sides, ["question", "answer"], ["conv_id"], ["turn"], 3)
+    return corpus.match_by_rank(sides, ["question", "answer"], ["conv_id"], ["turn"])
 
 
 @_query("""
@@ -247,11 +274,6 @@ s AS (SELECT label, g::INT AS g, round(list_dot_product(a, b) / sqrt(list_dot_pr
 """
 
 
-@_query(f"WITH {_SIMS} SELECT * FROM s")
-def block_scores(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("label", "g", "similarity")
-
-
 @_query(f"WITH {_SIMS} SELECT label, min(g) FILTER (similarity < -0.1) AS first_suspect_group, CASE WHEN min(g) FILTER (similarity < -0.1) IS NULL THEN 'passed' ELSE 'review_required' END AS status FROM s GROUP BY label")
 def first_weak_group(spark, sf_dir):
     return alignment.gate(_pairs(spark, sf_dir), "label", -0.1)
@@ -267,6 +289,24 @@ def _sides(spark, sf_dir):
     return v.withColumn("p", F.row_number().over(Window.partitionBy("label", "side").orderBy("vec_id"))).select("label", "side", "p", "embedding")
 
 
+@_query("""
+WITH v AS (SELECT label, vec_id % 2 AS side, row_number() OVER (PARTITION BY label, vec_id % 2 ORDER BY vec_id) AS p, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL),
+l AS (SELECT label, p AS i, e, lead(e) OVER (PARTITION BY label ORDER BY p) AS e2 FROM v WHERE side = 0)
+SELECT l.label, l.i::INT AS i, r.p::INT AS j, round(list_cosine_similarity(list_transform(list_zip(l.e, l.e2), lambda z: (z[1] + z[2]) / 2), r.e), 4) + 0.0 AS score FROM l JOIN v r ON r.label = l.label AND r.side = 1 WHERE l.e2 IS NOT NULL
+""")
+def block_scores(spark, sf_dir):
+    import numpy as np
+    import pandas as pd
+
+    def of(pdf):
+        x = [np.stack(pdf[pdf["side"] == s].sort_values("p")["embedding"].to_numpy()).astype(float) for s in ("left", "right")]
+        s = alignment.block_scores(*x, 2, 1)
+        i, j = np.indices(s.shape)
+        return pd.DataFrame({"label": pdf["label"].iloc[0], "i": i.ravel() + 1, "j": j.ravel() + 1, "score": s.ravel()})
+
+    return _sides(spark, sf_dir).groupBy("label").applyInPandas(of, "label int, i int, j int, score double").withColumn("score", F.round("score", 4) + F.lit(0.0))
+
+
 @_query()
 def align_groups(spark, sf_dir):
     return alignment.align_blocks(_sides(spark, sf_dir), "label")
@@ -371,10 +411,17 @@ _REPLIES = [
 ]
 
 
-@_query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {str(ok).lower()})" for i, _, ok in _REPLIES) + ") t(id, ok)")
+@_query("SELECT conv_id AS id, conv_id % 5 = 0 AS ok FROM conversations GROUP BY conv_id UNION ALL VALUES " + ", ".join(f"({-i}, {str(ok).lower()})" for i, _, ok in _REPLIES))
 def prefix_coverage_check(spark, sf_dir):
-    rows = spark.createDataFrame([(i, r) for i, r, _ in _REPLIES], "id int, reply string")
-    return rows.select("id", requests.check_alignment(F.col("reply"), {"zh": 8, "en": 8, "ru": 8})["ok"].alias("ok"))
+    """Replies about every conversation, a row a turn: right ones, and ones with a gap, a repeat, no JSON or a number too many."""
+    k, n = F.col("conv_id") % 5, F.col("n")
+    numbers = F.sequence(F.lit(1), n)
+    numbers = F.when(k == 1, F.filter(numbers, lambda v: v > 1)).when(k == 2, F.concat(numbers, F.array(F.lit(1)))).otherwise(numbers)
+    rows = F.transform(numbers, lambda v: F.struct(F.array(v).alias("zh"), F.array(v).alias("en"), F.array(v).alias("ru")))
+    made = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").cast("int").alias("n"))
+    made = made.select(F.col("conv_id").alias("id"), F.when(k == 3, "no json").otherwise(F.to_json(F.struct(rows.alias("alignments")))).alias("reply"), F.when(k == 4, n - 1).otherwise(n).alias("most"))
+    rows = made.unionByName(spark.createDataFrame([(-i, r, 8) for i, r, _ in _REPLIES], "id long, reply string, most int"))
+    return rows.select("id", requests.check_alignment(F.col("reply"), dict.fromkeys(("zh", "en", "ru"), "most"))["ok"].alias("ok"))
 
 
 @_query("""
@@ -390,9 +437,15 @@ def json_findings(spark, sf_dir):
 _NORMALISED = [(1, "[1, 2]", 2), (2, '{"alignments": [{}, {}, {}]}', 3), (3, '{"a": {}, "b": {}}', 2), (4, "{}", 0), (5, "oops", None)]
 
 
-@_query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if n is None else n})" for i, _, n in _NORMALISED) + ") t(id, n)")
+@_query("SELECT event_id AS id, CASE WHEN event_id % 4 = 3 THEN NULL ELSE event_id % 3 END::INT AS n FROM events UNION ALL VALUES " + ", ".join(f"({-i}, {'NULL' if n is None else n})" for i, _, n in _NORMALISED))
 def json_normalise(spark, sf_dir):
-    rows = spark.createDataFrame([(i, r) for i, r, _ in _NORMALISED], "id int, reply string")
+    """A reply for every event: a list, a list under a name, an object's members, or no JSON."""
+    k, n = F.col("event_id") % 4, (F.col("event_id") % 3).cast("int")
+    listed = F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit('{"a": 1}'), n), ","), F.lit("]"))
+    members = F.concat(F.lit("{"), F.array_join(F.transform(F.filter(F.array(F.lit(1), F.lit(2)), lambda v: v <= n), lambda v: F.concat(F.lit('"m'), v.cast("string"), F.lit('": {}'))), ","), F.lit("}"))
+    reply = F.when(k == 0, listed).when(k == 1, F.concat(F.lit('{"alignments": '), listed, F.lit("}"))).when(k == 2, members).otherwise("oops")
+    rows = _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), reply.alias("reply"))
+    rows = rows.unionByName(spark.createDataFrame([(-i, r) for i, r, _ in _NORMALISED], "id long, reply string"))
     found = requests.reply_rows(F.col("reply"))
     return rows.select("id", F.when(found.isNotNull(), F.size(found)).alias("n"))
 
@@ -556,15 +609,111 @@ def glossary_violations(spark, sf_dir):
     return review.glossary_violations(d, _glossary(spark)).select("doc_id", "en", "ru")
 
 
-@_query(f"WITH {_GLOSSARY_SQL} SELECT zh, array_to_string(list_sort(list_distinct(list(ru))), ',') AS forms FROM g GROUP BY zh HAVING count(DISTINCT ru) > 1")
+_NAMES_SQL = "g AS (SELECT r_name AS zh, lower(n_name) AS en, (n_nationkey % 3)::VARCHAR AS ru FROM nation JOIN region ON n_regionkey = r_regionkey)"
+
+
+def _names(spark, sf_dir):
+    """Nations as a glossary: several forms for each region."""
+    n, r = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(F.col("r_name").alias("zh"), F.lower("n_name").alias("en"), (F.col("n_nationkey") % 3).cast("string").alias("ru"))
+
+
+@_query(f"WITH {_NAMES_SQL} SELECT zh, array_to_string(list_sort(list_distinct(list(ru))), ',') AS forms FROM g GROUP BY zh HAVING count(DISTINCT ru) > 1")
 def duplicate_terms(spark, sf_dir):
-    return review.duplicate_terms(_glossary(spark)).select("zh", F.array_join("forms", ",").alias("forms"))
+    return review.duplicate_terms(_names(spark, sf_dir)).select("zh", F.array_join("forms", ",").alias("forms"))
 
 
-@_query(f"WITH {_GLOSSARY_SQL} SELECT '甲 | the | foo' || chr(10) || '乙 | and | en' || chr(10) || '甲 | that | bar' AS body")
+@_query(f"WITH {_NAMES_SQL} SELECT string_agg(zh || ' | ' || en || ' | ' || ru, chr(10) ORDER BY zh, en, ru) AS body FROM g")
 def glossary_render(spark, sf_dir):
-    entries = F.transform(F.array(*(F.struct(F.lit(z).alias("zh"), F.lit(e).alias("en"), F.lit(r).alias("ru")) for z, e, r in _GLOSSARY)), lambda x: x)
-    return spark.range(1).select(text.glossary_lines(entries).alias("body"))
+    return _names(spark, sf_dir).agg(text.glossary_lines(F.array_sort(F.collect_list(F.struct("zh", "en", "ru")))).alias("body"))
+
+
+def _window_reply(prompts):
+    return ['{"alignments":[{"zh":[1],"en":[1],"ru":[1],"note":""}]}' if len(p) % 5 else "no json" for p in prompts]
+
+
+_ASKED = _SPOKEN + f""",
+n AS (SELECT chapter, count(*) AS langs, CASE WHEN max(n) >= 80 OR max(longest) >= 1200 THEN 5 ELSE 8 END AS size FROM (SELECT chapter, lang, count(*) AS n, max(length(paragraph)) AS longest FROM s GROUP BY ALL) GROUP BY chapter),
+w AS (SELECT s.*, size, floor((p - 1) / size)::INT AS "window" FROM s JOIN n USING (chapter) WHERE langs = 3 AND chapter >= 3),
+side AS (SELECT chapter, "window", size, lang, sum(length((p - "window" * size) || ': ' || paragraph)) + count(*) - 1 AS n FROM w GROUP BY ALL),
+q AS (SELECT chapter, "window", size, sum(n) + {len(requests.WINDOWS_TASK) + sum(len(t) + len(" paragraphs:") + 3 for _, t in requests.LANGUAGES)} AS n FROM side GROUP BY ALL)
+"""
+
+
+@_query(f"WITH {_ASKED} SELECT chapter, count(*) AS windows, any_value(size)::INT AS window_size, (3 * count(*) FILTER (n % 5 = 0))::BIGINT AS failed_attempts, 0::BIGINT AS slow_windows, min(\"window\") FILTER (n % 5 = 0) AS first_failed_window, CASE WHEN count(*) FILTER (n % 5 = 0) > 0 THEN 'review_required' ELSE 'assisted_needs_review' END AS status FROM q GROUP BY chapter")
+def window_alignment_report(spark, sf_dir):
+    """Window alignment of the chapters from 3 on, by a canned responder that fails on some prompts."""
+    asked = requests.window_requests(_spoken(spark, sf_dir), first=3)
+    told = requests.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
+    return requests.window_report(told).drop("zh_count", "en_count", "ru_count")
+
+
+@_query(f"WITH {_ASKED} SELECT chapter, \"window\", 1 AS unit, CASE WHEN chapter <= 50 THEN 'early' ELSE 'late' END AS source, \"window\" * size + 1 AS number FROM q WHERE n % 5 <> 0")
+def window_alignment_units(spark, sf_dir):
+    """The rows of those replies as units with global numbers, from one source up to chapter 50 and from another beyond."""
+    asked = requests.window_requests(_spoken(spark, sf_dir), first=3)
+    told = requests.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
+    flat = audit.flatten_window_units(requests.window_alignments(told))
+    both = audit.route(flat.withColumn("source", F.lit("early")), flat.withColumn("source", F.lit("late")), 50)
+    return both.select("chapter", "window", "unit", "source", F.col("zh")[0].alias("number"))
+
+
+@_query(f"WITH {_SIMS}, f AS (SELECT label AS chapter, min(g) FILTER (similarity < -0.1) AS boundary_group FROM s GROUP BY label) SELECT chapter, boundary_group, CASE WHEN boundary_group IS NULL THEN 'not_needed' WHEN chapter % 2 = 0 THEN 'confirmed' ELSE 'uncertain' END AS verdict, CASE WHEN boundary_group IS NOT NULL AND chapter % 2 = 0 THEN 'r' END AS reason FROM f")
+def boundary_verdicts(spark, sf_dir):
+    gates = alignment.gate(_pairs(spark, sf_dir), "label", -0.1).withColumnRenamed("label", "chapter")
+    replies = gates.select("chapter", F.when(F.col("chapter") % 2 == 0, '{"status":"confirmed","reason_ru":"r"}').otherwise("no json").alias("reply"))
+    return requests.boundary_verdicts(gates, replies)
+
+
+@_query("SELECT user_id AS chapter, event_id AS id, CASE WHEN user_id % 3 = 0 THEN event_type END AS verdict, CASE WHEN event_id % 4 = 0 THEN 'approved' END AS decision FROM events")
+def candidate_reviews(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select(F.col("user_id").alias("chapter"), F.col("event_id").cast("int").alias("id"), "event_type")
+    item = F.struct("id", F.col("event_type").alias("verdict"))
+    replies = e.where("chapter % 3 = 0").groupBy("chapter").agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("reply"))
+    decisions = e.where("id % 4 = 0").select("chapter", "id", F.lit("approved").alias("decision"), F.lit(1).alias("at"))
+    return review.candidate_reviews(e.drop("event_type"), replies, decisions).select("chapter", F.col("id").cast("long").alias("id"), "verdict", "decision")
+
+
+@_query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/photos/a/p' || page_id || '.jpg' END AS photo FROM pages")
+def pages_with_photos(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("stem"))
+    photos = p.where("page_id % 2 = 0").select(F.explode(F.array(*(F.concat(F.lit(f"/photos/{d}/"), F.col("stem"), F.lit(".jpg")) for d in "ab"))).alias("path"))
+    return review.pages_with_photos(p, photos).select("page_id", "photo")
+
+
+def _event_stream(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _run(spark, rows, mode):
+    """The rows that a stream gives to its sink when it is worked off once."""
+    at = _shared(spark)
+    monitor.run_once(rows, f"{at}/checkpoint", mode, lambda df, i: df.write.mode("append").parquet(f"{at}/out"))
+    return spark.read.parquet(f"{at}/out")
+
+
+@_query("SELECT DISTINCT event_type || '/' || user_id AS url FROM events")
+def stream_new_pages(spark, sf_dir):
+    rows = _event_stream(spark, sf_dir).select(F.concat_ws("/", "event_type", F.col("user_id").cast("string")).alias("url"), F.col("ts").alias("at"))
+    return _run(spark, monitor.new_pages(rows, late="3650 days").select("url"), "append")
+
+
+@_query("""
+WITH e AS (SELECT user_id, event_id, event_id % 3 = 0 AS ok FROM events), g AS (SELECT *, count(*) FILTER (ok) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM e),
+r AS (SELECT user_id, run, count(*) FILTER (NOT ok) AS n FROM g GROUP BY ALL)
+SELECT user_id AS job, arg_max(n, run)::INT AS failed, max(n) >= 3 AS stopped FROM r GROUP BY user_id
+""")
+def stream_failure_gate(spark, sf_dir):
+    rows = _event_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("job"), F.col("event_id").alias("seq"), (F.col("event_id") % 3 == 0).alias("ok"))
+    return _run(spark, monitor.failure_gate(rows), "update").withColumn("job", F.col("job").cast("long"))
+
+
+@_query("SELECT event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 40 = 0)")
+def stream_pending(spark, sf_dir):
+    """Findings of a stream without a stored decision; what a restart finds again is the same."""
+    decided = _t(spark, sf_dir, "events").where("event_id % 40 = 0").select("user_id").distinct()
+    return _run(spark, monitor.pending_stream(_event_stream(spark, sf_dir).select("event_id", "user_id"), decided, ["user_id"]).select("event_id"), "append")
 
 
 @_query("SELECT user_id, max(event_id) AS seq, arg_max(event_type, event_id) AS status, arg_max(value, event_id) AS value FROM events GROUP BY user_id")

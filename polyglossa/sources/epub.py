@@ -58,7 +58,7 @@ def epub_chapters(spark: SparkSession, path: str) -> DataFrame:
 
 def extract(chapters: DataFrame, count: int, start: int = 1) -> DataFrame:
     """Chapters start .. start + count - 1 of each archive as text: order, title, file and body with its heading."""
-    own = chapters.where(F.col("order").between(start, start + count - 1)).withColumn("text", html_text("markup"))
+    own = chapters.where(F.col("order").between(start, start + count - 1)).withColumn("text", html_text(F.col("markup")))
     name = F.regexp_replace(F.element_at(F.split("href", "/"), -1), r"\.[^.]*$", "")
     body = drop_leading_lines(F.col("text"), F.col("title"), name)
     file = F.concat(F.lpad(F.col("order").cast("string"), 4, "0"), F.lit("_"), safe_filename(F.col("title")), F.lit(".txt"))

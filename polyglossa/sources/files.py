@@ -11,9 +11,11 @@ IMAGES = r"(?i)\.(jpe?g|png|tiff?|webp)$"
 
 
 def text_files(spark: SparkSession, path: str, source: str, lang: str = "") -> DataFrame:
-    """*.txt of a folder: source, lang, file, body and rank by name."""
+    """*.txt of a folder: source, lang, file, body and rank by name. Names alone are sorted; bodies join their ranks."""
     rows = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select(F.lit(source).alias("source"), F.lit(lang).alias("lang"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("source").orderBy("file")))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    ranks = listed.select(F.url_decode("file").alias("file")).withColumn("rank", F.row_number().over(Window.orderBy("file")))
+    return rows.join(ranks, "file").select("source", "lang", "file", "body", "rank")
 
 
 def import_text(spark: SparkSession, path: str, out: str, language: str, label: str) -> DataFrame:
@@ -27,9 +29,12 @@ def import_text(spark: SparkSession, path: str, out: str, language: str, label:
 
 
 def images(spark: SparkSession, path: str, content: bool = True) -> DataFrame:
-    """Images of a folder by suffix; without content no bytes are read."""
+    """Images of a folder by suffix, in the order of their names; without content no bytes are read. None at all is an error."""
     rows = spark.read.format("binaryFile").load(path).where(F.col("path").rlike(IMAGES))
-    return rows if content else rows.select("path", "modificationTime", "length")
+    names = rows.select("path", "modificationTime", "length")
+    if names.isEmpty():
+        raise ValueError(f"no images in {path}")
+    return (rows if content else names).orderBy("path")
 
 
 def recent_files(spark: SparkSession, path: str, n: int = 12) -> DataFrame:
@@ -49,13 +54,18 @@ def json_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_chapters(chapters: DataFrame, path: str) -> None:
-    """Text files under one folder a chapter: "# title", a blank line, the body."""
-    named = chapters.select("chapter", safe_filename(F.col("title")).alias("title"), F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("body")).alias("value"))
-    named.select("chapter", "value").write.mode("overwrite").partitionBy("chapter").text(path)
-
-
-def write_report(report: DataFrame, path: str) -> None:
-    report.write.mode("overwrite").json(path)
+    """Text files in one folder a chapter, named by number and safe title: "# title", a blank line, the body."""
+    name = F.concat(F.lpad(F.col("chapter").cast("string"), 4, "0"), F.lit("_"), safe_filename(F.col("title")))
+    chapters.select(name.alias("file"), F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("body")).alias("value")).write.mode("overwrite").partitionBy("file").text(path)
+
+
+def write_report(report: DataFrame, path: str, indent: bool = False) -> None:
+    """A report as JSON lines, or with `indent` each row as an indented document."""
+    if indent:
+        report = report.select(F.to_json(F.struct(*report.columns), {"pretty": "true"}).alias("value"))
+        report.write.mode("overwrite").option("lineSep", "\n").text(path)
+    else:
+        report.write.mode("overwrite").json(path)
 
 
 def append_progress(rows: DataFrame, path: str) -> None:

@@ -13,11 +13,16 @@ from ..functions.web import CONTAINER, next_url, story_container, story_text
 LEAST_CHARS, LEAST_DELAY = 500, 2.0
 
 
-def download(url: str) -> str:
+#: What a request says of the reader; a crawl may be given other headers.
+HEADERS = {"User-Agent": "Mozilla/5.0 (compatible; polyglossa)", "Accept-Language": "ru,en;q=0.8"}
+
+
+def download(url: str, headers: dict[str, str] = HEADERS, timeout: int = 30) -> str:
     from urllib.request import Request, urlopen
 
-    with urlopen(Request(url, headers={"User-Agent": "Mozilla/5.0", "Accept-Language": "ru,en;q=0.8"}), timeout=30) as r:
-        return r.read().decode("utf-8", "replace")
+    with urlopen(Request(url, headers=headers), timeout=timeout) as reply:
+        charset = reply.headers.get_content_charset() or "utf-8"
+        return reply.read().decode(charset, "replace")
 
 
 def stories(pages: DataFrame, container: str = CONTAINER) -> DataFrame:
@@ -25,33 +30,40 @@ def stories(pages: DataFrame, container: str = CONTAINER) -> DataFrame:
     return pages.withColumn("story", story_text(story_container(F.col("html"), container))).withColumn("next_url", next_url(F.col("html"), F.col("url")))
 
 
+def _checked(count: int, delay: float) -> None:
+    for wrong, why in ((count < 1, "a crawl has at least one chapter (count)"), (delay < LEAST_DELAY, f"a crawl waits at least {LEAST_DELAY} seconds between pages (delay)")):
+        if wrong:
+            raise ValueError(why)
+
+
+def stored_page(spark: SparkSession, path: str, url: str):
+    """The stored row of a url, or None: one row comes to the driver, however many are stored."""
+    try:
+        return spark.read.parquet(path).where(F.col("url") == url).first()
+    except Exception as error:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+
+
 def crawl(spark: SparkSession, url: str, count: int, path: str, fetch: Callable[[str], str] = download, delay: float = 3.0, container: str = CONTAINER, refresh: bool = False) -> DataFrame:
     """Follows next links from url for `count` chapters, appends what is new under path and returns all of it.
 
     A chain of links is sequential by nature; a page is fetched unless its row is stored. Short stories stop the crawl.
     """
-    if count < 1:
-        raise ValueError("count must be at least 1")
-    if delay < LEAST_DELAY:
-        raise ValueError(f"the delay must be at least {LEAST_DELAY} seconds")
-    try:
-        stored = {r["url"]: r for r in spark.read.parquet(path).select("url", "next_url").limit(100_000).collect()}
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        stored = {}
-    for i in range(count):
-        if url in stored and not refresh:
-            nxt = stored[url]["next_url"]
-        else:
-            row = stories(spark.createDataFrame([(url, fetch(url))], "url string, html string"), container).withColumn("chapter", F.lit(i + 1)).first()
-            if row["story"] is None or len(row["story"]) < LEAST_CHARS:
-                raise ValueError(f"no story of {LEAST_CHARS} characters at {url}")
-            spark.createDataFrame([(url, row["story"], row["next_url"])], "url string, story string, next_url string").write.mode("append").parquet(path)
-            nxt = row["next_url"]
-            if i + 1 < count:
+    _checked(count, delay)
+    fetched = 0
+    for left in range(count - 1, -1, -1):
+        row = None if refresh else stored_page(spark, path, url)
+        if row is None:
+            if fetched:
                 time.sleep(delay)
-        if i + 1 < count and not nxt:
-            raise ValueError(f"no next page after {url}")
-        url = nxt
+            page = spark.createDataFrame([(url, fetch(url))], "url string, html string")
+            row, fetched = stories(page, container).select("url", "story", "next_url").first(), fetched + 1
+            if len(row["story"] or "") < LEAST_CHARS:
+                raise ValueError(f"{url} has no story of at least {LEAST_CHARS} characters")
+            spark.createDataFrame([row], "url string, story string, next_url string").write.mode("append").parquet(path)
+        url = row["next_url"]
+        if left and not url:
+            raise ValueError(f"{row['url']} leads to no further page")
     return spark.read.parquet(path).dropDuplicates(["url"])

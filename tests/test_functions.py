@@ -87,5 +87,7 @@ def test_web(spark):
     assert row.asDict() == {"raised": "https://a.b/chapter-10", "linked": "https://a.b/c/2?a=1&b", "middle": "https://a.b/9/chapter-10/x", "none": None, "story": "AB", "no_story": None, "text": "One\ntwo\n\n<x> &\n"}
 
 
-def test_parse_html():
-    assert web.parse_html("<p>a<b>b</p><script>x</p></script><div>c&amp; d</div>") == "ab\n\nc& d"
+def test_html_text(spark):
+    html = "<p>a<b>b</p><script>x</p></script><div title='a>b'>c&amp; d &mdash; &amp;lt;</div><!-- no\n --><STYLE x>y</style >e<br/>f<style>rest"
+    rows = spark.createDataFrame([(html,), (None,), ("plain\u00a0 text",), ("a < b",)], "h string")
+    assert [r[0] for r in rows.select(web.html_text(F.col("h"))).collect()] == ["ab\n\nc& d — &lt;\ne\nf", None, "plain text", "a < b"]

@@ -156,3 +156,41 @@ def test_reviews(spark):
 def test_chapters(spark):
     f = spark.createDataFrame([("zh", "b/0001_a.txt", "# Chapter 7: x\n"), ("zh", "b/0007_z.txt", "y"), ("zh", "b/none.txt", "")], "source string, file string, body string")
     assert [tuple(r) for r in corpus.numbered_chapters(f).collect()] == [("zh", 7, "b/0007_z.txt")]
+
+
+def test_window_alignment_stops_and_reports(spark):
+    """Windows of a chapter range, three attempts with the service's state beside each failure, and the gate."""
+    import pytest
+
+    from polyglossa.operators import requests
+
+    rows = [(c, lang, p, f"{lang}{p}") for c in (1, 2, 3) for lang in ("zh", "en", "ru") for p in range(1, 10) if not (c == 3 and lang == "ru")]
+    asked = requests.window_requests(spark.createDataFrame(rows, "chapter int, lang string, p int, paragraph string"), first=2)
+    assert [(r["chapter"], r["window"], r["offset"], r["window_size"]) for r in asked.orderBy("window").collect()] == [(2, 0, 1, 8), (2, 1, 9, 8)]
+    assert "1: zh9" in asked.where("window = 1").first()["prompt"]
+    reply = '[{"zh":[1],"en":[1],"ru":[1]}]'
+    told = requests.respond(asked, lambda ps: [reply if "zh9" in p else "oops" for p in ps], requests.is_json, health=lambda: {"models": []})
+    failed = told.where("window = 0").first()
+    assert failed["reply"] is None and len(failed["failures"]) == 3 and '{"models": []}' in failed["failures"][0]
+    report = requests.window_report(told).first()
+    assert (report["status"], report["first_failed_window"], report["failed_attempts"], report["zh_count"]) == ("review_required", 0, 3, 9)
+    assert requests.window_alignments(told).where("window = 1").first()["alignment"][0]["zh"] == [1]
+    with pytest.raises(Exception, match="review required"):
+        requests.stop_on_failure(told).collect()
+
+
+def test_glossary_terms_inside_words(spark):
+    from polyglossa.operators import review
+
+    units = spark.createDataFrame([(1, "cat", "x"), (2, "concatenate", "кот"), (3, None, "x"), (4, "a", None)], "unit int, en_text string, ru_text string")
+    terms = spark.createDataFrame([("甲", "cat", "кот"), ("乙", "on", "на"), ("丙", "", "z"), ("甲", "cat", "кот")], "zh string, en string, ru string")
+    assert sorted((r["unit"], r["en"]) for r in review.glossary_violations(units, terms).collect()) == [(1, "cat"), (2, "on")]
+    assert review.glossary_violations(units, terms.limit(0)).count() == 0
+
+
+def test_positional_join_counts(spark):
+    from polyglossa.operators import corpus
+
+    a = spark.createDataFrame([(1, i, f"a{i}") for i in range(5)], "g int, i int, value string")
+    b = spark.createDataFrame([(1, i, f"b{i}") for i in range(4)], "g int, i int, value string")
+    assert corpus.match_by_rank([a, b], ["x", "y"], ["g"], ["i"], 2).count() == 2 and corpus.match_by_rank([a, b], ["x", "y"], ["g"], ["i"]).count() == 4

@@ -110,7 +110,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(plans.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("events", "documents", "embeddings", "pages", "benchmark", "conversations"):
+    for t in ("events", "nation", "region", "documents", "embeddings", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = plans.queries()[name](spark, SF)
     want = con.sql(plans.oracle_sql()[name])
