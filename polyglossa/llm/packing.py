@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table, tidy
+from .common import give_back, staged, table, tidy
 
 CAPACITY = 4096
 END = 1
@@ -74,11 +74,11 @@ class WordIds:
     their bytes, those of the present batch alone are kept.
     """
 
-    LIMIT = 300_000
+    LIMIT = 150_000
     #: Most bytes of known strings and of their ids.
     BYTES = 48 << 20
     #: Bytes of text worked on at once, beside at most one longer text.
-    STEP = 4 << 20
+    STEP = 2 << 20
     _MARKS = ".,;:!?%&$*#|"
     _LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
     _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?%&$*#|]*$"
@@ -183,6 +183,7 @@ def _pieces(path: str, capacity: int, keep_ids: bool):
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "chunk", "local", "ids")
             arrays = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays if keep_ids else arrays[:-1], names=names[: 7 + keep_ids])
+            give_back()
 
     return of
 
