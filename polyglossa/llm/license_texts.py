@@ -1,11 +1,13 @@
 """License templates: whole texts of short licenses, standard headers of long ones, and notices built from names.
 
-Texts stand without copyright lines, whose names and years differ. Long licenses are recognised by their headers, preambles
-and titles here; their whole texts can be added as templates by license_scan.templates_from.
+Texts here stand without copyright lines, whose names and years differ. Whole texts of long licenses are the files of
+licenses/, unchanged; license_scan.templates_from reads others.
 """
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 # Words by which a work is put under a license, and names of licenses as they follow "under".
 VERBS = ("licensed", "released", "distributed", "published", "available", "provided")
 NAMES = {
@@ -114,6 +116,9 @@ def templates() -> dict[str, str]:
         for i, form in enumerate(forms):
             for verb in VERBS:
                 out[f"{key}:{verb}-{i}"] = f"{verb} under {form}"
+    for file in sorted(files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name):
+        if file.name.endswith(".txt"):
+            out[f"{file.name.removesuffix('.txt')}-text"] = file.read_text("utf-8")
     return out
 
 

@@ -307,6 +307,20 @@ def test_license_scan(docs, words):
     assert not {i for i, _ in got} & {0, 1, 2, 6, 7, 10} and (12, "gpl-2.0:licensed-0") not in got and got[5, "mit"][0] < 1
 
 
+def test_whole_licenses(docs, words):
+    """Bodies of long licenses with every 40th word changed, in the midst of other words and without their last tenth."""
+    long = {n: license_scan.TEMPLATES[n] for n in ("gpl-2.0-text", "gpl-3.0-text", "lgpl-2.1-text", "apache-2.0-text", "mpl-2.0-text", "cc0-1.0-text")}
+    texts = []
+    for text in long.values():
+        own = text.split()
+        own[::40] = ["changed"] * len(own[::40])
+        texts.append(f"{words(700)} {' '.join(own[: len(own) * 19 // 20])} {words(300)}")
+    texts.append(" ".join(long["gpl-3.0-text"].split()[:3000]))
+    got = {(r["doc_id"], r["license"]): (r["containment"], r["first_word"]) for r in license_scan.license_scan(docs(texts)).collect() if r["license"].endswith("-text")}
+    assert set(enumerate(long)) <= set(got) and 6 not in {i for i, _ in got}
+    assert all(0.8 <= got[i, n][0] < 1 and 700 <= got[i, n][1] < 760 for i, n in enumerate(long))
+
+
 def test_license_bands(words):
     b = license_scan.bands_for(100, 120, 0.8, 0.999)
     s = 80 / 140
