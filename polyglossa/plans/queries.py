@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import html
+import io
 import json
+import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ocr, text, web
 from ..operators import alignment, audit, corpus, requests, review
+from ..sources import epub
 from ..streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -307,19 +313,49 @@ def block_scores(spark, sf_dir):
     return _sides(spark, sf_dir).groupBy("label").applyInPandas(of, "label int, i int, j int, score double").withColumn("score", F.round("score", 4) + F.lit(0.0))
 
 
-@_query()
+def _flat_groups(groups):
+    c = lambda n: F.array_join(F.col(n).cast("array<string>"), ",").alias(n)
+    return groups.select("label", "g", c("left"), c("right"), (F.col("similarity") + F.lit(0.0)).alias("similarity"))
+
+
+# align_totals' recursion with the way taken kept in every cell; of equal scores the larger left block, then the larger right.
+_CELL = "{'s': %s::DOUBLE, 'a': 0::BIGINT, 'b': 0::BIGINT, 'way': []::STRUCT(a BIGINT, b BIGINT, c DOUBLE)[]}"
+_BEFORE = "CASE WHEN j - x.b + 1 < 1 THEN d.r0 WHEN x.a = 1 THEN d.r1[j - x.b + 1] WHEN x.a = 2 THEN d.r2[j - x.b + 1] ELSE d.r3[j - x.b + 1] END"
+_ALIGNED = f"""
+WITH RECURSIVE v AS (SELECT label, vec_id % 2 AS side, row_number() OVER (PARTITION BY label, vec_id % 2 ORDER BY vec_id) AS p, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL),
+w AS (SELECT *, lag(e, 1) OVER o AS e1, lag(e, 2) OVER o AS e2 FROM v WINDOW o AS (PARTITION BY label, side ORDER BY p)),
+k AS (SELECT label, side, p, 1 AS n, e AS m FROM w UNION ALL SELECT label, side, p, 2, list_transform(list_zip(e, e1), lambda z: (z[1] + z[2]) / 2) FROM w WHERE e1 IS NOT NULL
+  UNION ALL SELECT label, side, p, 3, list_transform(list_zip(e, e1, e2), lambda z: (z[1] + z[2] + z[3]) / 3) FROM w WHERE e2 IS NOT NULL),
+c AS (SELECT l.label, l.p AS i, r.p AS j, l.n::BIGINT AS a, r.n::BIGINT AS b, list_cosine_similarity(l.m, r.m) AS c FROM k l JOIN k r ON l.label = r.label WHERE l.side = 0 AND r.side = 1),
+g AS (SELECT label, i, j, list({{'a': a, 'b': b, 'c': c}}) AS o FROM c GROUP BY ALL),
+rows AS (SELECT label, i, list(o ORDER BY j) AS cells FROM g GROUP BY ALL),
+n AS (SELECT label, max(p) FILTER (side = 0) AS r, max(p) FILTER (side = 1) AS c FROM v GROUP BY label),
+z AS (SELECT label, {_CELL % "'-infinity'"} AS r0, list_transform(range(c + 1), lambda x: {_CELL % "'-infinity'"}) AS none, list_transform(range(c + 1), lambda x: CASE WHEN x = 0 THEN {_CELL % "0"} ELSE {_CELL % "'-infinity'"} END) AS first FROM n),
+d AS (
+  SELECT label, 0::BIGINT AS i, r0, first AS r1, none AS r2, none AS r3 FROM z
+  UNION ALL
+  SELECT d.label, rows.i, d.r0, list_concat([d.r0], list_transform(rows.cells, lambda o, j: list_max(list_transform(o, lambda x: {{'s': struct_extract({_BEFORE}, 's') + x.c - 0.025 * (x.a + x.b - 2), 'a': x.a, 'b': x.b, 'way': list_append(struct_extract({_BEFORE}, 'way'), {{'a': x.a, 'b': x.b, 'c': x.c}})}})))), d.r1, d.r2
+  FROM d JOIN rows ON rows.label = d.label AND rows.i = d.i + 1
+),
+f AS (SELECT d.label, d.r1[n.c + 1].way AS way FROM d JOIN n ON n.label = d.label AND d.i = n.r),
+h AS (SELECT label, g::INT AS g, way[g] AS x, coalesce(list_sum(list_transform(way[1:g - 1], lambda y: y.a)), 0)::BIGINT AS i, coalesce(list_sum(list_transform(way[1:g - 1], lambda y: y.b)), 0)::BIGINT AS j FROM f, unnest(range(1, len(way) + 1)) AS t(g))
+SELECT label, g, array_to_string(range(i + 1, i + x.a + 1), ',') AS "left", array_to_string(range(j + 1, j + x.b + 1), ',') AS "right", round(x.c, 4) + 0.0 AS similarity FROM h
+"""
+
+
+@_query(_ALIGNED)
 def align_groups(spark, sf_dir):
-    return alignment.align_blocks(_sides(spark, sf_dir), "label")
+    return _flat_groups(alignment.align_blocks(_sides(spark, sf_dir), "label"))
 
 
 @_query()
 def align_groups_with_gaps(spark, sf_dir):
-    return alignment.align_blocks(_sides(spark, sf_dir), "label", 5, alignment.GAP_COST)
+    return _flat_groups(alignment.align_blocks(_sides(spark, sf_dir), "label", 5, alignment.GAP_COST))
 
 
 @_query("SELECT label, count(*) FILTER (vec_id % 2 = 0) AS left_covered, count(*) FILTER (vec_id % 2 = 1) AS right_covered FROM embeddings WHERE label IS NOT NULL GROUP BY label")
 def align_coverage(spark, sf_dir):
-    return alignment.coverage(align_groups(spark, sf_dir), "label").select("label", "left_covered", "right_covered")
+    return alignment.coverage(alignment.align_blocks(_sides(spark, sf_dir), "label"), "label").select("label", "left_covered", "right_covered")
 
 
 _TOTALS = """
@@ -393,7 +429,19 @@ def bridge_components(spark, sf_dir):
     return _flat(alignment.bridge(*_groupings(spark, sf_dir), "doc_id"))
 
 
-@_query()
+# Groups are runs of paragraphs, so that components are runs too: one ends where no kept group holds both neighbours.
+_EXTRAS = _PARAGRAPHS + """,
+r AS (SELECT doc_id, p, coalesce(sum(length(paragraph)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM ps),
+z AS (SELECT doc_id, p, dense_rank() OVER (PARTITION BY doc_id ORDER BY floor(run / 400)) AS a, dense_rank() OVER (PARTITION BY doc_id ORDER BY floor(run / 550)) AS b FROM r),
+k AS (SELECT *, a % 3 <> 0 AS kept, b IS DISTINCT FROM lag(b) OVER w AND (a % 3 = 0 OR a IS DISTINCT FROM lag(a) OVER w) AS cut FROM z WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+c AS (SELECT *, count(*) FILTER (cut) OVER (PARTITION BY doc_id ORDER BY p) AS part FROM k),
+m AS (SELECT doc_id, part, array_to_string(list_sort(list_distinct(list(a) FILTER (kept))), ',') AS zh, array_to_string(list_sort(list(p)), ',') AS en, array_to_string(list_sort(list_distinct(list(b))), ',') AS ru, bool_or(kept) AS reached FROM c GROUP BY ALL),
+x AS (SELECT DISTINCT c.doc_id, c.b FROM c JOIN m ON m.doc_id = c.doc_id AND m.part = c.part WHERE NOT m.reached),
+u AS (SELECT doc_id, 0 AS late, part AS place, zh, en, ru FROM m WHERE reached UNION ALL SELECT doc_id, 1, b, '', '', b::VARCHAR FROM x)
+"""
+
+
+@_query(f"WITH {_EXTRAS} SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY late, place))::INT AS unit, zh, en, ru FROM u")
 def bridge_with_extras(spark, sf_dir):
     a, b = _groupings(spark, sf_dir)
     return _flat(alignment.bridge(a.where("g % 3 <> 0"), b, "doc_id", extras=True))
@@ -568,12 +616,27 @@ def homoglyph_repair(spark, sf_dir):
     return _lines(spark, sf_dir).select("doc_id", "i", ocr.repair_lookalikes(F.col("line")).alias("line"))
 
 
-_OCR = [(1, "| Привет, сло- |\nво мир\n~~ ab ~~\n\nДа\n", "Привет, слово мир\nДа\n"), (2, "", "\n"), (3, "а-\nб-\nв", "\n")]
+_OCR = [(-1, "| Привет, сло- |\nво мир\n~~ ab ~~\n\nДа\n"), (-2, ""), (-3, "а-\nб-\nв"), (-4, "OH сказал|нет.Да кто-то\nпросто текст\nPas\n"), (-5, "об'явил  ©<b>\n \nрусский   текст. Да")]
+_LATIN, _WRITTEN = "abcdefghijklmnopqrstuvwxyz", "абцдефгхижклмнопярстувщхыз"
+
+
+def _recognised(spark, sf_dir):
+    """Documents as recognised pages: small letters are Cyrillic ones, and lines break inside words."""
+    made = F.translate(F.replace("text", F.lit("er"), F.lit("e-\nr")), _LATIN, _WRITTEN)
+    return _t(spark, sf_dir, "documents").select("doc_id", made.alias("body")).unionByName(spark.createDataFrame(_OCR, "doc_id long, body string"))
+
+
+_RECOGNISED = rf"""r AS (SELECT doc_id, translate(replace(text, 'er', 'e-' || chr(10) || 'r'), '{_LATIN}', '{_WRITTEN}') AS body FROM documents UNION ALL SELECT i, replace(b, '\n', chr(10)) FROM (VALUES {", ".join("({}, '{}')".format(i, b.replace(chr(10), chr(92) + "n").replace("'", "''")) for i, b in _OCR)}) t(i, b))"""
 
 
-@_query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{o}')" for i, _, o in _OCR) + ") t(id, body)")
+@_query(rf"""WITH {_RECOGNISED}, l AS (SELECT doc_id, list_transform(string_split(body, chr(10)), lambda x: regexp_replace(x, '^[ \t|`~#_]+|[ \t|`~#_]+$', '', 'g')) AS l FROM r),
+k AS (SELECT doc_id, list_filter(l, lambda x: NOT (length(regexp_replace(x, '[^А-Яа-яЁё]', '', 'g')) < 3 AND (x = '' OR NOT regexp_matches(x, '[А-Яа-яЁё]{{2}}')))
+  AND NOT (regexp_matches(x, '[A-Za-zА-Яа-яЁё]') AND length(regexp_replace(x, '[^А-Яа-яЁё]', '', 'g')) < 0.35 * length(regexp_replace(x, '[^A-Za-zА-Яа-яЁё]', '', 'g')))) AS l FROM l),
+j AS (SELECT doc_id, regexp_replace(array_to_string(l, chr(10)), '([А-Яа-яЁё])-[ \t]*\n[ \t]*([А-Яа-яЁё])', '\1\2', 'g') AS b FROM k),
+m AS (SELECT doc_id, regexp_replace(b, '([А-Яа-яЁё])-[ \t]*\n[ \t]*([А-Яа-яЁё])', '\1\2', 'g') AS b FROM j)
+SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10)) AS body FROM m""")
 def ocr_page_clean(spark, sf_dir):
-    return spark.createDataFrame([(i, b) for i, b, _ in _OCR], "id int, body string").select("id", ocr.clean_page(F.col("body")).alias("body"))
+    return _recognised(spark, sf_dir).select("doc_id", F.md5(ocr.clean_page(F.col("body"))).alias("body"))
 
 
 @_query("SELECT doc_id, text FROM documents")
@@ -582,11 +645,34 @@ def dehyphenate(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", ocr.dehyphenate(broken, "A-Za-zÀ-ÿ").alias("text"))
 
 
-@_query("""SELECT 1 AS chapter, 1 AS line, 'ОН сказалнет.Да кто-то' AS cleaned, 'missing_space_after_sentence,hyphenated_word_requires_photo_check' AS reasons, 'a.txt' AS ocr_page UNION ALL SELECT 1, 3, 'Pas', 'latin_letters_remain', NULL""")
+@_query(rf"""WITH {_RECOGNISED}, l AS (SELECT doc_id, CASE WHEN ends_with(body, chr(10)) THEN string_split(left(body, length(body) - 1), chr(10)) ELSE string_split(body, chr(10)) END AS l FROM r WHERE body <> ''),
+n AS (SELECT doc_id, i::INT AS line, regexp_replace(translate(translate(l[i], '|©', ''), '®', ' '), '([А-Яа-яЁё])[''`‘’]([А-Яа-яЁё])', '\1 \2', 'g') AS x FROM l, unnest(range(1, len(l) + 1)) AS t(i)),
+h AS (SELECT doc_id, line, array_to_string(list_transform(regexp_extract_all(x, '([A-Za-zА-Яа-яЁё]+|[^A-Za-zА-Яа-яЁё]+)'), lambda v: CASE WHEN regexp_matches(v, '^[{ocr.LATIN_ALIKE}]+$') THEN translate(v, '{ocr.LATIN_ALIKE}', '{ocr.CYRILLIC_ALIKE}') ELSE v END), '') AS x FROM n),
+c AS (SELECT doc_id, line, regexp_replace(regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), '^\s+|\s+$', '', 'g'), '^[\s|`~#_]+|[\s|`~#_]+$', '', 'g') AS cleaned FROM h),
+q AS (SELECT *, array_to_string(list_filter([CASE WHEN regexp_matches(cleaned, '[A-Za-z]') THEN 'latin_letters_remain' END, CASE WHEN regexp_matches(cleaned, '[#$%^&*_+=<>|]') THEN 'ocr_symbols_remain' END, CASE WHEN regexp_matches(cleaned, '[.!?…][А-ЯЁ]') THEN 'missing_space_after_sentence' END, CASE WHEN regexp_matches(cleaned, '(^|[^\p{{L}}\p{{M}}\p{{N}}_])[А-Яа-яЁё]+-[А-Яа-яЁё]+($|[^\p{{L}}\p{{M}}\p{{N}}_])') THEN 'hyphenated_word_requires_photo_check' END], lambda y: y IS NOT NULL), ',') AS reasons FROM c)
+SELECT doc_id AS chapter, (row_number() OVER (PARTITION BY doc_id ORDER BY line))::INT AS id, line, cleaned, reasons, CASE WHEN line = 1 THEN 'p' || doc_id END AS ocr_page FROM q WHERE reasons <> ''""")
 def ocr_candidates(spark, sf_dir):
-    draft = spark.createDataFrame([(1, "OH сказал|нет.Да кто-то\nпросто текст\nPas\n")], "chapter int, body string")
-    at = spark.createDataFrame([(1, 1, "a.txt", 1)], "chapter int, draft_line int, ocr_page string, ocr_page_line int")
-    return review.ocr_candidates(draft, at).select("chapter", "line", "cleaned", F.array_join("reasons", ",").alias("reasons"), "ocr_page")
+    drafts = _recognised(spark, sf_dir).withColumnRenamed("doc_id", "chapter")
+    at = drafts.select("chapter", F.lit(1).alias("draft_line"), F.concat(F.lit("p"), F.col("chapter").cast("string")).alias("ocr_page"), F.lit(1).alias("ocr_page_line"))
+    return review.ocr_candidates(drafts, at).select("chapter", "id", "line", "cleaned", F.array_join("reasons", ",").alias("reasons"), "ocr_page")
+
+
+#: What running headers of the made chapter hold, and those of its first page.
+_HEADERS, _FIRST_HEADERS = ("тхат", "леч"), ("ион",)
+
+
+@_query(rf"""WITH c AS (SELECT conv_id, string_agg(translate(text, '{_LATIN}', '{_WRITTEN}'), chr(10) || chr(10) ORDER BY turn) || chr(10) AS body FROM conversations GROUP BY conv_id),
+l AS (SELECT conv_id, i, string_split(body, chr(10))[i] AS line FROM c, unnest(range(1, len(string_split(body, chr(10))) + 1)) AS t(i)),
+h AS (SELECT *, lower(regexp_replace(line, '[^А-Яа-яЁё]', '', 'g')) AS bare FROM l),
+k AS (SELECT * FROM h WHERE NOT ({" OR ".join(f"contains(bare, '{t}')" for t in _HEADERS)} OR (conv_id = (SELECT min(conv_id) FROM c) AND ({" OR ".join(f"contains(bare, '{t}')" for t in _FIRST_HEADERS)})))),
+e AS (SELECT *, min(i) FILTER (trim(line) <> '') OVER (PARTITION BY conv_id) AS lo, max(i) FILTER (trim(line) <> '') OVER (PARTITION BY conv_id) AS hi FROM k)
+SELECT (row_number() OVER (ORDER BY conv_id, i) + dense_rank() OVER (ORDER BY conv_id) + 1)::INT AS draft_line, conv_id AS ocr_page, (row_number() OVER (PARTITION BY conv_id ORDER BY i))::INT AS ocr_page_line, line AS text FROM e WHERE i BETWEEN lo AND hi""")
+def assembled_chapter(spark, sf_dir):
+    """All conversations as the recognised pages of one chapter, with lines that count as running headers."""
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page"), "turn", F.translate("text", _LATIN, _WRITTEN).alias("body"))
+    pages = corpus.ordered_join(c, ["page"], "turn", "body", "\n\n").withColumn("body", F.concat("body", F.lit("\n"))).withColumn("stem", F.lpad(F.col("page").cast("string"), 12, "0"))
+    first, last = pages.agg(F.min("stem"), F.max("stem")).first()
+    return corpus.assemble_chapter(pages, first, last, "all", list(_HEADERS), list(_FIRST_HEADERS))
 
 
 @_query("SELECT conv_id % 10 AS chapter, conv_id AS page, turn AS line, (row_number() OVER (PARTITION BY conv_id % 10 ORDER BY conv_id, turn) + dense_rank() OVER (PARTITION BY conv_id % 10 ORDER BY conv_id) + 1)::INT AS draft_line FROM conversations")
@@ -681,6 +767,71 @@ def pages_with_photos(spark, sf_dir):
     return review.pages_with_photos(p, photos).select("page_id", "photo")
 
 
+def _one_by_one(prompts):
+    """Aligns the paragraphs of each prompt one by one, as far as all three languages go."""
+    out = []
+    for prompt in prompts:
+        parts = re.split(r"(?m)^(zh|en|ru):$", prompt)
+        n = dict.fromkeys(("zh", "en", "ru"), 0)
+        for lang, part in zip(parts[1::2], parts[2::2], strict=True):
+            for line in part.split("\n"):
+                n[lang] += line.startswith(f"{n[lang] + 1}: ")
+        out.append(json.dumps({"alignments": [{"zh": [i], "en": [i], "ru": [i]} for i in range(1, min(n.values()) + 1)]}))
+    return out
+
+
+@_query("""
+WITH n AS (SELECT conv_id AS chapter, count(*) FILTER (turn % 3 = 0) AS z, count(*) FILTER (turn % 3 = 1) AS e, count(*) FILTER (turn % 3 = 2) AS r FROM conversations GROUP BY conv_id)
+SELECT chapter, g::INT AS g, g AS zh, g AS en, g AS ru FROM n, unnest(range(1, least(z, e, r) + 1)) AS t(g) UNION ALL SELECT chapter, 0, NULL, NULL, NULL FROM n WHERE NOT (z = e AND e = r)
+""")
+def sequential_alignment(spark, sf_dir):
+    """Turns as paragraphs of three languages, two a request; a side that ends before the others fails its chapter."""
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("chapter"), F.element_at(F.array(*map(F.lit, ("zh", "en", "ru"))), (F.col("turn") % 3 + 1).cast("int")).alias("lang"), "turn", F.col("text").alias("paragraph"))
+    c = c.withColumn("p", F.row_number().over(Window.partitionBy("chapter", "lang").orderBy("turn")))
+    found = requests.sequential_alignment(c, _one_by_one, size=2)
+    return found.select("chapter", "g", *(F.get(n, 0).cast("long").alias(n) for n in ("zh", "en", "ru")))
+
+
+def _archives(spark, sf_dir):
+    """Every conversation as an e-book archive whose chapters are its turns."""
+
+    def of(batches):
+        for pdf in batches:
+            made = []
+            for rows in pdf["rows"]:
+                at = io.BytesIO()
+                with zipfile.ZipFile(at, "w") as z:
+                    z.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="b/p.opf"/></rootfiles></container>')
+                    z.writestr("b/p.opf", '<package><manifest><item href="t.ncx" media-type="application/x-dtbncx+xml"/></manifest></package>')
+                    points = "".join(f'<navPoint><navLabel><text>{html.escape(r["role"])}</text></navLabel><content src="c%20{r["turn"]}.xhtml#s"/></navPoint>' for r in rows)
+                    z.writestr("b/t.ncx", f"<ncx><navMap>{points}</navMap></ncx>")
+                    for r in rows:
+                        z.writestr(f"b/c {r['turn']}.xhtml", f"<html><head><style>x</style></head><body><h1>{html.escape(r['role'])}</h1><p>{html.escape(r['text'] or '')}</p></body></html>")
+                made.append(at.getvalue())
+            yield pd.DataFrame({"path": pdf["path"], "content": made})
+
+    c = _t(spark, sf_dir, "conversations").groupBy(F.col("conv_id").cast("string").alias("path")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("rows"))
+    return c.mapInPandas(of, "path string, content binary")
+
+
+_EXTRACTED = r"""
+t AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[ \t]+', ' ', 'g'), '\n[ \t]*\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS body FROM conversations),
+x AS (SELECT * FROM t WHERE n BETWEEN 2 AND 4)
+"""
+
+
+@_query(f"""WITH {_EXTRACTED} SELECT conv_id::VARCHAR AS path, n::INT AS "order", role AS title, 'b/c%20' || turn || '.xhtml' AS href, lpad(n::VARCHAR, 4, '0') || '_' || role || '.txt' AS file, '# ' || role || chr(10) || chr(10) || body || chr(10) AS body FROM x""")
+def epub_extract(spark, sf_dir):
+    """The second to fourth chapter of every archive as text."""
+    return epub.extract(epub.chapters_of(_archives(spark, sf_dir)), 3, 2)
+
+
+@_query(f"""WITH {_EXTRACTED} SELECT conv_id::VARCHAR AS source_epub, 'en' AS language, 2 AS toc_start, count(*)::INT AS chapter_count, string_agg(n || ' ' || role || ' b/c%20' || turn || '.xhtml', ',' ORDER BY n) AS chapters FROM x GROUP BY conv_id""")
+def epub_manifest(spark, sf_dir):
+    m = epub.manifest(epub.extract(epub.chapters_of(_archives(spark, sf_dir)), 3, 2), "en", 2)
+    return m.withColumn("chapters", F.array_join(F.transform("chapters", lambda c: F.concat_ws(" ", c["order"].cast("string"), c["title"], c["href"])), ","))
+
+
 def _event_stream(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))

@@ -45,15 +45,20 @@ def contents(data: bytes) -> list[tuple[int, str, str, str]]:
         return out
 
 
-def epub_chapters(spark: SparkSession, path: str) -> DataFrame:
-    """path, order, title, href and markup of every chapter of the archives under path."""
+def chapters_of(archives: DataFrame) -> DataFrame:
+    """path, order, title, href and markup of every chapter of archives (path, content)."""
 
     def of(batches):
         for pdf in batches:
             rows = [(p, *c) for p, d in zip(pdf["path"], pdf["content"], strict=True) for c in contents(d)]
             yield pd.DataFrame(rows, columns=["path", "order", "title", "href", "markup"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(of, "path string, order int, title string, href string, markup string")
+    return archives.select("path", "content").mapInPandas(of, "path string, order int, title string, href string, markup string")
+
+
+def epub_chapters(spark: SparkSession, path: str) -> DataFrame:
+    """The chapters of the archives under path."""
+    return chapters_of(spark.read.format("binaryFile").load(path))
 
 
 def extract(chapters: DataFrame, count: int, start: int = 1) -> DataFrame:
