@@ -109,18 +109,18 @@ def bridge_by_cuts(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter")
     """Units of two groupings that cover the pivot contiguously: (chapter, unit, zh, en, ru).
 
     zh_en: (chapter, g, left: zh, right: en), en_ru: (chapter, g, left: en, right: ru). A unit ends where a group of
-    both sides ends; ends are matched by an equi-join, units numbered by a running count of cuts.
+    both sides ends. Groups of both sides run in one order of their ends, so that one pass over a chapter finds the ends
+    that both have and numbers the units by those before; a chapter is shuffled once.
     """
-    ends = lambda df, c: df.select(chapter, F.array_max(c).alias("cut"))
-    cuts = ends(zh_en, "right").join(ends(en_ru, "left"), [chapter, "cut"], "left_semi")
-
-    def units(df: DataFrame, pivot: str, keep: list[tuple[str, str]]) -> DataFrame:
-        ended = df.withColumn("cut", F.array_max(pivot)).join(cuts.withColumn("is_cut", F.lit(1)), [chapter, "cut"], "left")
-        before = Window.partitionBy(chapter).orderBy("cut", "g").rowsBetween(Window.unboundedPreceding, -1)
-        at = ended.withColumn("unit", F.coalesce(F.sum("is_cut").over(before), F.lit(0)) + 1)
-        return at.groupBy(chapter, "unit").agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(n) for c, n in keep))
-
-    return units(zh_en, "right", [("left", "zh"), ("right", "en")]).join(units(en_ru, "left", [("right", "ru")]), [chapter, "unit"])
+    none = F.lit(None)
+    both = zh_en.select(chapter, F.lit(0).alias("side"), F.array_max("right").alias("cut"), F.col("left").alias("zh"), F.col("right").alias("en"), none.cast("array<int>").alias("ru"))
+    both = both.unionByName(en_ru.select(chapter, F.lit(1).alias("side"), F.array_max("left").alias("cut"), none.cast("array<int>").alias("zh"), none.cast("array<int>").alias("en"), F.col("right").alias("ru")))
+    ends = Window.partitionBy(chapter).orderBy("cut", "side")
+    before = Window.partitionBy(chapter).orderBy("cut").rangeBetween(Window.unboundedPreceding, -1)
+    closes = (F.col("side") == 1) & (F.lag("side").over(ends) == 0) & (F.lag("cut").over(ends) == F.col("cut"))
+    at = both.withColumn("closes", F.coalesce(closes.cast("int"), F.lit(0))).withColumn("unit", F.coalesce(F.sum("closes").over(before), F.lit(0)) + 1)
+    sides = at.groupBy(chapter, "unit").agg(F.min("side").alias("lo"), F.max("side").alias("hi"), *(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("zh", "en", "ru")))
+    return sides.where("lo = 0 AND hi = 1").select(chapter, "unit", "zh", "en", "ru")
 
 
 def bridge(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter", extras: bool = False, keep_en: bool = False) -> DataFrame:

@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 from .corpus import windows
 
 WINDOW = 5
+SIDES = ("zh", "en", "ru")
 UNITS_TASK = 'Audit the Russian translation of these fixed units. Reply with JSON {"findings":[{"unit","type","severity","reason"}]}.\n\n'
 PARAGRAPHS_TASK = 'Audit the Russian translation. Reply with JSON {"findings":[{"zh","en","ru","type","severity","reason"}]}.\n\n'
 
 
 def unit_texts(units: DataFrame, paragraph_rows: DataFrame) -> DataFrame:
-    """units (chapter, unit, zh, en, ru) with the text of each side, looked up by an equi-join on paragraph numbers."""
-    out = units
-    for side in ("zh", "en", "ru"):
-        numbers = units.select("chapter", "unit", F.posexplode(side).alias("i", "p"))
-        own = paragraph_rows.where(F.col("lang") == side).select("chapter", "p", "paragraph")
-        text = numbers.join(own, ["chapter", "p"]).groupBy("chapter", "unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "paragraph"))), lambda s: s["paragraph"]), "\n\n").alias(f"{side}_text"))
-        out = out.join(text, ["chapter", "unit"], "left").withColumn(f"{side}_text", F.coalesce(f"{side}_text", F.lit("")))
-    return out
+    """units (chapter, unit, zh, en, ru) with the text of each side: one equi-join looks up the numbers of all sides."""
+    sides = F.explode(F.array(*(F.struct(F.lit(s).alias("lang"), F.col(s).cast("array<bigint>").alias("numbers")) for s in SIDES)))
+    numbers = units.select("chapter", "unit", sides.alias("s")).select("chapter", "unit", "s.lang", F.posexplode("s.numbers").alias("i", "p"))
+    found = numbers.join(paragraph_rows.select("chapter", "lang", "p", "paragraph"), ["chapter", "lang", "p"])
+
+    def text(side: str):
+        own = F.array_sort(F.collect_list(F.when(F.col("lang") == side, F.struct("i", "paragraph"))))
+        return F.array_join(F.transform(own, lambda s: s["paragraph"]), "\n\n").alias(f"{side}_text")
+
+    out = units.join(found.groupBy("chapter", "unit").agg(*map(text, SIDES)), ["chapter", "unit"], "left")
+    return out.withColumns({f"{s}_text": F.coalesce(f"{s}_text", F.lit("")) for s in SIDES})
 
 
 def unit_requests(texts: DataFrame, size: int = WINDOW) -> DataFrame:
