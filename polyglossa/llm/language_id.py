@@ -191,7 +191,7 @@ def train_rows(rows: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed
 def fit(docs: DataFrame, known: Column, rows: int = TRAIN_ROWS) -> Model:
     """A model from text and lang of the docs for which known holds; the features of at most `rows` of them come to the driver.
 
-    Rows that share an id count once.
+    Rows that share an id count once. Features travel as packed bytes, which the driver holds without an object a number.
     """
     some = docs.where(known & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
     ids = some.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -200,12 +200,12 @@ def fit(docs: DataFrame, known: Column, rows: int = TRAIN_ROWS) -> Model:
     def told(batches):
         for pdf in batches:
             found = [features(t) for t in pdf["text"]]
-            yield pdf[["doc_id", "lang"]].assign(buckets=[u for u, _ in found], shares=[s for _, s in found])
+            yield pdf[["doc_id", "lang"]].assign(buckets=[u.tobytes() for u, _ in found], shares=[s.tobytes() for _, s in found])
 
     kinds = dict(docs.dtypes)
-    seen = picked.mapInPandas(tidy(told), f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, buckets array<int>, shares array<float>").collect()
+    seen = picked.mapInPandas(tidy(told), f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, buckets binary, shares binary").collect()
     seen = sorted(seen, key=lambda r: r["doc_id"])
-    return train_rows([(np.array(r["buckets"], np.int32), np.array(r["shares"], np.float32)) for r in seen], [r["lang"] for r in seen])
+    return train_rows([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in seen], [r["lang"] for r in seen])
 
 
 def language_id(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
