@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, language_id, license_scan, packing, substring_dedup, toxicity
+from . import byte_bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, language_id, license_scan, packing, periodic_runs, substring_dedup, top_k, toxicity, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": substring_dedup.query,
         "op9_byte_bpe": byte_bpe.query,
         "op10_toxicity": toxicity.query,
+        "op11_periodic_runs": periodic_runs.query,
+        "op12_vector_codes": vector_codes.query,
+        "op13_top_k": top_k.query,
     }
 
 
@@ -32,4 +35,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_jaccard_join": jaccard_join.ORACLE,
         "op7_chat_format": chat_format.ORACLE,
         "op8_substring_dedup": substring_dedup.ORACLE,
+        "op11_periodic_runs": periodic_runs.ORACLE,
+        "op12_vector_codes": vector_codes.ORACLE,
+        "op13_top_k": top_k.ORACLE,
     }
