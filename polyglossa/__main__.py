@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text
-from .operators import alignment, audit, corpus, requests, review
+from .operators import alignment, audit, corpus, replies, requests, review
 from .sources import epub, files, recognition, web
 
 #: command: (help, arguments)
@@ -40,7 +40,7 @@ COMMANDS = {
 
 
 def _answered(asked: DataFrame, args: argparse.Namespace, key: list[str]) -> DataFrame:
-    return requests.stored_replies(asked, requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", key)
+    return replies.stored_replies(asked, requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", key, model=args.model)
 
 
 def _vectors(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -62,7 +62,7 @@ def run(spark: SparkSession, command: str, args: argparse.Namespace) -> DataFram
         zh, en = (files.text_files(spark, p, "s").select("rank", F.col("body").alias(n)) for p, n in ((args.zh, "zh"), (args.en, "en")))
         terms = spark.read.json(args.glossary, multiLine=True).agg(text.glossary_lines(F.collect_list(F.struct("zh", "en", "ru"))).alias("g"))
         asked = zh.join(en, "rank").crossJoin(F.broadcast(terms)).select("rank", requests.translation_requests(F.col("zh"), F.col("en"), F.col("g"), args.n).alias("prompt"))
-        return requests.translations(requests.stored_replies(asked, requests.http_responder(args.model, temperature=0.2, timeout=300), f"{args.out}/replies", ["rank"]))
+        return requests.translations(replies.stored_replies(asked, requests.http_responder(args.model, temperature=0.2, timeout=300), f"{args.out}/replies", ["rank"], model=args.model))
     if command == "ocr":
         tool = recognition.find_executable(args.executable or None)
         return recognition.recognised_pages(files.images(spark, args.path), recognition.tesseract(tool))
@@ -79,11 +79,11 @@ def run(spark: SparkSession, command: str, args: argparse.Namespace) -> DataFram
         return alignment.align_blocks(_vectors(spark, args), gap=alignment.GAP_COST if command.startswith("gap") else None)
     if command == "window-align":
         asked = requests.window_requests(read(args.paragraphs), args.first, args.last)
-        told = requests.stored_replies(asked, requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", ["chapter", "window"], accept=requests.is_json, health=requests.service_health)
+        told = replies.queued_replies(asked, requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", ["chapter", "window"], "chapter", ["window"], model=args.model, accept=requests.is_json, health=requests.service_health)
         requests.window_report(told).write.mode("overwrite").json(f"{args.out}/report")
         return requests.window_alignments(requests.stop_on_failure(told))
     if command == "sequential-align":
-        return requests.sequential_alignment(read(args.paragraphs), requests.http_responder(args.model, json_mode=True))
+        return replies.sequential_alignment(read(args.paragraphs), requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", model=args.model)
     if command == "validate-pair":
         return alignment.gate(read(args.groups), minimum=args.minimum)
     if command == "review-boundary":

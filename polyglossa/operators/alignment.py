@@ -58,10 +58,7 @@ def align(left: np.ndarray, right: np.ndarray, max_group: int = 3, penalty: floa
                 better = value > row
                 row[better] = value[better]
                 took[i][better] = 16
-            for j in range(1, m + 1):
-                if row[j - 1] - gap > row[j]:
-                    row[j] = row[j - 1] - gap
-                    took[i, j] = 1
+            _alone(row, took[i], gap)
     if not np.isfinite(best[n][m]):
         return None
     groups, i, j = [], n, m
@@ -72,19 +69,106 @@ def align(left: np.ndarray, right: np.ndarray, max_group: int = 3, penalty: floa
     return float(best[n][m]), groups[::-1]
 
 
-def align_blocks(vectors: DataFrame, chapter: str = "chapter", max_group: int = 3, gap: float | None = None) -> DataFrame:
+def _alone(row: np.ndarray, took: np.ndarray, gap: float) -> None:
+    """Lets rows of the right side stand alone: a cell is at least its left neighbour's value less the gap's cost."""
+    cost = gap * np.arange(len(row))
+    before = np.maximum.accumulate(np.r_[-np.inf, (row + cost)[:-1]])
+    better = before > row + cost
+    row[better] = (before - cost)[better]
+    took[better] = 1
+
+
+def first_pass(left: np.ndarray, right: np.ndarray, k: int = 3) -> list[tuple[int, int]]:
+    """The chain of pairs, rising on both sides, with the greatest sum of cosines among the k nearest right rows of each left row.
+
+    Cosines are taken for some left rows at a time; a Fenwick tree of the best chain up to a right row finds each
+    pair's predecessor, so n left rows take n * k * log m steps and no table of all pairs.
+    """
+    u, v = block_means(left, 1), block_means(right, 1)
+    n, m, k = len(u), len(v), min(k, len(v))
+    pairs: list[tuple[int, int, int]] = []  # left, right, pair before
+    tree: list[tuple[float, int]] = [(0.0, -1)] * (m + 1)
+    for at in range(0, n, 256):
+        s = u[at : at + 256] @ v.T
+        near = np.argpartition(-s, k - 1, axis=1)[:, :k] if k else np.empty((len(s), 0), int)
+        for i, js in enumerate(near.tolist()):
+            # from right to left, so that no pair of a row follows another one of it
+            for j in sorted((j for j in js if s[i, j] > 0), reverse=True):
+                best, x = (0.0, -1), j
+                while x > 0:
+                    best, x = max(best, tree[x]), x & (x - 1)
+                told, x = (best[0] + float(s[i, j]), len(pairs)), j + 1
+                pairs.append((at + i, j, best[1]))
+                while x <= m:
+                    tree[x], x = max(tree[x], told), x + (x & -x)
+    last, x, out = (0.0, -1), m, []
+    while x > 0:
+        last, x = max(last, tree[x]), x & (x - 1)
+    p = last[1]
+    while p >= 0:
+        out.append(pairs[p][:2])
+        p = pairs[p][2]
+    return out[::-1]
+
+
+def align_two_pass(left: np.ndarray, right: np.ndarray, most: int = 5, penalty: float = STEP_PENALTY, gap: float = GAP_COST, k: int = 3, margin: int = 64) -> tuple[float, list[tuple[int, int, int, int, float | None]]]:
+    """(total, groups) as of align, by blocks of at most `most` rows of both sides together and single rows that stand alone.
+
+    The first pass finds a chain of near pairs, the second looks only at cells within `margin` right rows of it (wider
+    where the chain jumps). It needs max(n, m) * margin steps and bytes, and gives the best cover of all if the band
+    holds it, as it does wherever no side has more than `margin` rows.
+    """
+    n, m = len(left), len(right)
+    pairs = first_pass(left, right, k) if n and m else []
+    path = np.interp(np.arange(n + 1), [0, *(i + 1 for i, _ in pairs if i + 1 < n), n], [0, *(j + 1 for i, j in pairs if i + 1 < n), m])
+    lo, hi = np.maximum(np.floor(path).astype(int) - margin, 0), np.minimum(np.ceil(path).astype(int) + margin, m)
+    lo[0], hi[n] = 0, m
+    lo[1:] = np.minimum(lo[1:], hi[:-1])
+    steps = [(a, b) for a in range(most - 1, 0, -1) for b in range(most - a, 0, -1) if a <= n and b <= m]
+    lefts, rights = ({c: block_means(x, c) for c in range(1, most) if c <= len(x)} for x in (left, right))
+    best: dict[int, np.ndarray] = {}
+    took: list[np.ndarray] = []
+    for i in range(n + 1):
+        best[i] = row = np.full(hi[i] - lo[i] + 1, -np.inf)
+        way = np.zeros(len(row), np.uint8)
+        best.pop(i - most, None)
+        if not i:
+            row[0] = 0
+        for a, b in [*steps, (1, 0)]:
+            if i < a:
+                continue
+            first, last = max(lo[i], lo[i - a] + b), min(hi[i], hi[i - a] + b)
+            if first > last:
+                continue
+            own, before = slice(first - lo[i], last - lo[i] + 1), best[i - a][first - b - lo[i - a] : last - b - lo[i - a] + 1]
+            value = before - gap if not b else before + rights[b][first - b : last - b + 1] @ lefts[a][i - a] - penalty * (a + b - 2)
+            better = value > row[own]
+            row[own] = np.where(better, value, row[own])
+            way[own] = np.where(better, 16 * a + b, way[own])
+        _alone(row, way, gap)
+        took.append(way)
+    groups, i, j = [], n, m
+    while i or j:
+        a, b = divmod(int(took[i][j - lo[i]]), 16)
+        groups.append((i - a, a, j - b, b, float(lefts[a][i - a] @ rights[b][j - b]) if a and b else None))
+        i, j = i - a, j - b
+    return float(best[n][m - lo[n]]), groups[::-1]
+
+
+def align_blocks(vectors: DataFrame, chapter: str = "chapter", max_group: int = 3, gap: float | None = None, two_pass: bool = False, **options) -> DataFrame:
     """Pair groups (chapter, g, left, right, similarity) of vectors (chapter, side 'left'/'right', p, embedding).
 
-    Chapters are independent: one grouped-map task aligns a chapter, whose state is its score table. A chapter that
-    cannot be covered gives one row with g 0 and no paragraphs.
+    Chapters are independent: one grouped-map task aligns a chapter, whose state is its score table; with two_pass a band
+    of it (options are those of align_two_pass). A chapter that cannot be covered gives one row with g 0 and no paragraphs.
     """
+    method = (lambda x, y: align_two_pass(x, y, **options)) if two_pass else lambda x, y: align(x, y, max_group, gap=gap)
 
     def of(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("p")
         sides = {s: pdf[pdf["side"] == s] for s in ("left", "right")}
         x = {s: np.stack([np.asarray(v, float) for v in d["embedding"]]) if len(d) else np.zeros((0, 1)) for s, d in sides.items()}
         key = pdf[chapter].iloc[0]
-        found = align(x["left"], x["right"], max_group, gap=gap) if len(x["left"]) and len(x["right"]) else None
+        found = method(x["left"], x["right"]) if len(x["left"]) and len(x["right"]) else None
         if found is None:
             return pd.DataFrame({chapter: [key], "g": [0], "left": [[]], "right": [[]], "similarity": [None]})
         p = {s: d["p"].to_numpy() for s, d in sides.items()}

@@ -1,7 +1,6 @@
 """Requests to a language model: windows become prompts, replies are kept by key, checked and flattened.
 
-A responder is any function list[str] -> list[str]. Replies are written once, keyed by request, before anything reads
-them, so that neither a retried task nor a second action asks again for what is stored.
+A responder is any function list[str] -> list[str]. replies.py stores replies, so that nothing is asked again that is stored.
 """
 
 from __future__ import annotations
@@ -9,6 +8,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -50,49 +50,70 @@ def service_health(url: str = "http://127.0.0.1:11434/api/tags") -> dict:
         return {"error": str(error)}
 
 
-def respond(requests: DataFrame, responder: Responder, accept: Callable[[str], bool] | None = None, attempts: int = ATTEMPTS, slow: float = SLOW_SECONDS, health: Callable[[], dict] | None = None) -> DataFrame:
+class Asked(NamedTuple):
+    """What came of a request: a reply or none, why each attempt failed, and the time of the last one."""
+
+    reply: str | None
+    failures: list[str]
+    duration_s: float
+    slow: bool
+
+
+def asker(responder: Responder, accept: Callable[[str], bool] | None = None, attempts: int = ATTEMPTS, slow: float = SLOW_SECONDS, health: Callable[[], dict] | None = None) -> Callable[..., Asked]:
+    """A function that asks one prompt up to `attempts` times; a check of the reply may be given with the prompt."""
+
+    def ask(prompt: str, check: Callable[[str], bool] | None = None) -> Asked:
+        failures, reply, took = [], None, 0.0
+        while reply is None and len(failures) < attempts:
+            began = time.monotonic()
+            try:
+                got = responder([prompt])[0]
+                if not all(fine(got) for fine in (accept, check) if fine is not None):
+                    raise ValueError("the reply does not pass the check")
+                reply = got
+            except Exception as error:  # noqa: BLE001  any failure of the service is recorded, not raised
+                told = f" ({json.dumps(health())})" if health else ""
+                failures.append(f"{type(error).__name__}: {error}{told}")
+            took = time.monotonic() - began
+        return Asked(reply, failures, took, took >= slow)
+
+    return ask
+
+
+def respond(requests: DataFrame, responder: Responder, accept: Callable[[str], bool] | None = None, attempts: int = ATTEMPTS, slow: float = SLOW_SECONDS, health: Callable[[], dict] | None = None, check: Callable[[str, dict], bool] | None = None, batch: int = 1) -> DataFrame:
     """requests (with prompt) with reply, failures, duration_s and slow; reply is null after `attempts` failures.
 
     duration_s is the time of the last attempt. Where health is given, what it tells after a failure stands beside it.
+    check gets a reply and the row of its request. With batch above 1 so many prompts go to the responder in one call;
+    those without a fine reply are then asked alone, with all their attempts.
     """
+    ask = asker(responder, accept, attempts, slow, health)
+
+    def fine(reply: str, row: dict) -> bool:
+        return (accept is None or accept(reply)) and (check is None or check(reply, row))
+
+    def together(rows: list[dict]) -> list[Asked | None]:
+        began = time.monotonic()
+        try:
+            replies = responder([r["prompt"] for r in rows])
+            took = (time.monotonic() - began) / len(rows)
+            return [Asked(got, [], took, took >= slow) if fine(got, r) else None for got, r in zip(replies, rows, strict=True)]
+        except Exception:  # noqa: BLE001  each is asked alone then, and its failures recorded
+            return [None] * len(rows)
 
     def of(batches):
         for pdf in batches:
-            rows = []
-            for prompt in pdf["prompt"]:
-                failures, reply, took = [], None, 0.0
-                while reply is None and len(failures) < attempts:
-                    began = time.monotonic()
-                    try:
-                        got = responder([prompt])[0]
-                        if accept is not None and not accept(got):
-                            raise ValueError("the reply does not pass the check")
-                        reply = got
-                    except Exception as error:  # noqa: BLE001  any failure of the service is recorded, not raised
-                        told = f" ({json.dumps(health())})" if health else ""
-                        failures.append(f"{type(error).__name__}: {error}{told}")
-                    took = time.monotonic() - began
-                rows.append((reply, failures, took, took >= slow))
-            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=["reply", "failures", "duration_s", "slow"])], axis=1)
+            rows, told = pdf.to_dict("records"), []
+            for at in range(0, len(rows), batch):
+                some = rows[at : at + batch]
+                known = together(some) if batch > 1 else [None] * len(some)
+                told += [k or ask(r["prompt"], (lambda reply, r=r: check(reply, r)) if check else None) for k, r in zip(known, some, strict=True)]
+            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(told, columns=Asked._fields)], axis=1)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields)
     return requests.mapInPandas(of, f"{fields}, reply string, failures array<string>, duration_s double, slow boolean")
 
 
-def stored_replies(requests: DataFrame, responder: Responder, path: str, key: list[str], **options) -> DataFrame:
-    """Replies under `path`, after those of requests whose key is not stored yet have been added."""
-    spark = requests.sparkSession
-    try:
-        stored = spark.read.parquet(path)
-        todo = requests.join(stored.select(*key), key, "left_anti")
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        todo = requests
-    respond(todo, responder, **options).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
-
-
 WINDOWS_TASK = 'Align these paragraphs by meaning, without changing them. Reply with JSON {"alignments":[{"zh":[],"en":[],"ru":[],"note":""}]}; an empty side is an omission.\n\n'
 LANGUAGES = (("zh", "Chinese"), ("en", "English"), ("ru", "Russian"))
 
@@ -190,48 +211,6 @@ def findings(replies: DataFrame, key: list[str]) -> DataFrame:
     return replies.select(*key, F.explode(F.when(broken, failed).otherwise(told)).alias("f")).select(*key, "f.*")
 
 
-def sequential_alignment(paragraph_rows: DataFrame, responder: Responder, size: int = 8, attempts: int = ATTEMPTS) -> DataFrame:
-    """Groups (chapter, g, zh, en, ru) of global paragraph numbers from replies about the next `size` paragraphs.
-
-    Each reply moves the cursors by what it consumes, so a chapter is sequential and chapters are parallel. A chapter
-    that fails gives a row with g 0.
-    """
-    langs = ("zh", "en", "ru")
-
-    def valid(reply: str, have: dict[str, int]) -> list[dict] | None:
-        try:
-            rows = json.loads(reply)["alignments"]
-            seen = {n: [v for r in rows for v in r[n]] for n in langs}
-            fine = rows and all(len(r[n]) <= 3 and (r[n] or str(r.get("note") or "").strip().startswith("unmatched:")) for r in rows for n in langs)
-            fine = fine and all(s and sorted(s) == list(range(1, len(s) + 1)) and len(s) <= have[n] for n, s in seen.items())
-            return rows if fine else None
-        except (ValueError, TypeError, KeyError, AttributeError):
-            return None
-
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        chapter, pdf = pdf["chapter"].iloc[0], pdf.sort_values("p")
-        text = {n: pdf.loc[pdf["lang"] == n, "paragraph"].tolist() for n in langs}
-        cursor, out = dict.fromkeys(langs, 0), []
-        while any(cursor[n] < len(text[n]) for n in langs):
-            part = {n: text[n][cursor[n] : cursor[n] + size] for n in langs}
-            prompt = "Align these paragraphs. Reply with JSON {\"alignments\":[{\"zh\":[],\"en\":[],\"ru\":[],\"note\":\"\"}]}.\n" + "\n".join(f"{n}:\n" + "\n".join(f"{i}: {t}" for i, t in enumerate(part[n], 1)) for n in langs)
-            rows = None
-            for _ in range(attempts):
-                if rows is None and all(part.values()):
-                    rows = valid(responder([prompt])[0], {n: len(p) for n, p in part.items()})
-            if rows is None:
-                out.append({"chapter": chapter, "g": 0, "zh": [], "en": [], "ru": []})
-                break
-            for r in rows:
-                out.append({"chapter": chapter, "g": len(out) + 1, **{n: [v + cursor[n] for v in r[n]] for n in langs}})
-            for n in langs:
-                cursor[n] += max(v for r in rows for v in r[n])
-        return pd.DataFrame(out, columns=["chapter", "g", *langs])
-
-    kind = dict(paragraph_rows.dtypes)["chapter"]
-    return paragraph_rows.select("chapter", "lang", "p", "paragraph").groupBy("chapter").applyInPandas(of, f"chapter {kind}, g int, zh array<int>, en array<int>, ru array<int>")
-
-
 def translation_requests(zh: Column, en: Column, glossary: Column, n: int) -> Column:
     """A prompt for a sample: glossary lines and the first n paragraphs of both sides."""
     return F.concat(F.lit("Translate into Russian, faithful to the Chinese text.\nGlossary:\n"), glossary, F.lit("\nChinese:\n"), first_paragraphs(zh, n), F.lit("\nEnglish:\n"), first_paragraphs(en, n))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ocr, text, web
-from ..operators import alignment, audit, corpus, requests, review
+from ..operators import alignment, audit, corpus, replies, requests, review
 from ..sources import epub
 from ..streaming import monitor
 
@@ -348,11 +348,50 @@ def align_groups(spark, sf_dir):
     return _flat_groups(alignment.align_blocks(_sides(spark, sf_dir), "label"))
 
 
-@_query()
+def _gapped(most: int, fits: str) -> str:
+    """The full recursion over left rows for blocks of up to `most` rows a side that fit, with rows that stand alone at 0.2."""
+    means = " UNION ALL ".join(f"SELECT label, side, p, {n} AS n, list_transform(range(1, 1 + len(e)), lambda q: list_sum(list_transform(e{n}, lambda x: x[q])) / {n}) AS m FROM w WHERE len(e{n}) = {n}" for n in range(1, most + 1))
+    lags = ", ".join(f"list(e) OVER (PARTITION BY label, side ORDER BY p ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS e{n}" for n in range(1, most + 1))
+    before = lambda a, j: "CASE " + " ".join(f"WHEN {a} = {n} THEN d.r{n}[{j}]" for n in range(1, most + 1)) + " END"
+    put = lambda c, s, a, b, x: f"{{'s': ({c}).s + {s}, 'way': list_append(({c}).way, {{'a': {a}, 'b': {b}, 'c': {x}}})}}"
+    block = put(before("x.a", "j - x.b + 1"), "x.c - 0.025 * (x.a + x.b - 2)", "x.a", "x.b", "x.c")
+    cell = f"list_max(list_append(list_transform(list_filter(o, lambda x: x.b <= j AND x.a <= d.i + 1), lambda x: {block}), {put('d.r1[j + 1]', '-0.2::DOUBLE', '1::BIGINT', '0::BIGINT', 'NULL::DOUBLE')}))"
+    none = "{'s': '-infinity'::DOUBLE, 'way': []::STRUCT(a BIGINT, b BIGINT, c DOUBLE)[]}"
+    run = "list_transform(range(y - q), lambda z: {'a': 0::BIGINT, 'b': 1::BIGINT, 'c': NULL::DOUBLE})"
+    spread = lambda cells: f"list_transform({cells}, lambda own, y: list_max(list_transform(range(1, y + 1), lambda q: {{'s': t[q].s - 0.2 * (y - q), 'way': list_concat(t[q].way, {run})}})))"
+    return f"""
+WITH RECURSIVE v AS (SELECT label, vec_id % 2 AS side, row_number() OVER (PARTITION BY label, vec_id % 2 ORDER BY vec_id) AS p, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL),
+w AS (SELECT label, side, p, e, {lags} FROM v), k AS ({means}),
+c AS (SELECT l.label, l.p AS i, r.p AS j, l.n::BIGINT AS a, r.n::BIGINT AS b, list_cosine_similarity(l.m, r.m) AS c FROM k l JOIN k r ON l.label = r.label WHERE l.side = 0 AND r.side = 1 AND {fits}),
+g AS (SELECT label, i, j, list({{'a': a, 'b': b, 'c': c}}) AS o FROM c GROUP BY ALL),
+rows AS (SELECT label, i, list(o ORDER BY j) AS cells FROM g GROUP BY ALL),
+n AS (SELECT label, max(p) FILTER (side = 0) AS r, max(p) FILTER (side = 1) AS c FROM v GROUP BY label),
+d AS (
+  SELECT label, 0::BIGINT AS i, list_transform(range(c + 1), lambda y: {{'s': -0.2::DOUBLE * y, 'way': list_transform(range(y), lambda z: {{'a': 0::BIGINT, 'b': 1::BIGINT, 'c': NULL::DOUBLE}})}}) AS r1,
+    {", ".join(f"list_transform(range(c + 1), lambda y: {none}) AS r{n}" for n in range(2, most + 1))} FROM n
+  UNION ALL
+  SELECT label, i, {spread("t")}, {", ".join(f"r{n}" for n in range(1, most))} FROM (
+    SELECT d.label, rows.i, list_concat([{put('d.r1[1]', '-0.2::DOUBLE', '1::BIGINT', '0::BIGINT', 'NULL::DOUBLE')}], list_transform(rows.cells, lambda o, j: {cell})) AS t, {", ".join(f"d.r{n}" for n in range(1, most))}
+    FROM d JOIN rows ON rows.label = d.label AND rows.i = d.i + 1
+  )
+),
+f AS (SELECT d.label, d.r1[n.c + 1].way AS way FROM d JOIN n ON n.label = d.label AND d.i = n.r),
+h AS (SELECT label, g::INT AS g, way[g] AS x, coalesce(list_sum(list_transform(way[1:g - 1], lambda y: y.a)), 0)::BIGINT AS i, coalesce(list_sum(list_transform(way[1:g - 1], lambda y: y.b)), 0)::BIGINT AS j FROM f, unnest(range(1, len(way) + 1)) AS t(g))
+SELECT label, g, array_to_string(range(i + 1, i + x.a + 1), ',') AS "left", array_to_string(range(j + 1, j + x.b + 1), ',') AS "right", round(x.c, 4) + 0.0 AS similarity FROM h
+"""
+
+
+@_query(_gapped(5, "true"))
 def align_groups_with_gaps(spark, sf_dir):
     return _flat_groups(alignment.align_blocks(_sides(spark, sf_dir), "label", 5, alignment.GAP_COST))
 
 
+@_query(_gapped(4, "l.n + r.n <= 5"))
+def align_two_pass(spark, sf_dir):
+    """Two passes over every label; the SQL has the full table, which the band holds on tables of up to 64 rows a side."""
+    return _flat_groups(alignment.align_blocks(_sides(spark, sf_dir), "label", two_pass=True))
+
+
 @_query("SELECT label, count(*) FILTER (vec_id % 2 = 0) AS left_covered, count(*) FILTER (vec_id % 2 = 1) AS right_covered FROM embeddings WHERE label IS NOT NULL GROUP BY label")
 def align_coverage(spark, sf_dir):
     return alignment.coverage(alignment.align_blocks(_sides(spark, sf_dir), "label"), "label").select("label", "left_covered", "right_covered")
@@ -547,7 +586,7 @@ def _canned(prompts):
 def audit_findings(spark, sf_dir):
     asked = audit.unit_requests(audit.unit_texts(_units(spark, sf_dir), _spoken(spark, sf_dir)))
     path = _shared(spark)
-    told = requests.stored_replies(asked, _canned, path, ["chapter", "window"])
+    told = replies.stored_replies(asked, _canned, path, ["chapter", "window"])
     return requests.findings(told, ["chapter", "window"]).select("chapter", "window", "type", "reason")
 
 
@@ -730,7 +769,7 @@ q AS (SELECT chapter, "window", size, sum(n) + {len(requests.WINDOWS_TASK) + sum
 def window_alignment_report(spark, sf_dir):
     """Window alignment of the chapters from 3 on, by a canned responder that fails on some prompts."""
     asked = requests.window_requests(_spoken(spark, sf_dir), first=3)
-    told = requests.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
+    told = replies.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
     return requests.window_report(told).drop("zh_count", "en_count", "ru_count")
 
 
@@ -738,7 +777,7 @@ def window_alignment_report(spark, sf_dir):
 def window_alignment_units(spark, sf_dir):
     """The rows of those replies as units with global numbers, from one source up to chapter 50 and from another beyond."""
     asked = requests.window_requests(_spoken(spark, sf_dir), first=3)
-    told = requests.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
+    told = replies.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
     flat = audit.flatten_window_units(requests.window_alignments(told))
     both = audit.route(flat.withColumn("source", F.lit("early")), flat.withColumn("source", F.lit("late")), 50)
     return both.select("chapter", "window", "unit", "source", F.col("zh")[0].alias("number"))
@@ -747,17 +786,17 @@ def window_alignment_units(spark, sf_dir):
 @_query(f"WITH {_SIMS}, f AS (SELECT label AS chapter, min(g) FILTER (similarity < -0.1) AS boundary_group FROM s GROUP BY label) SELECT chapter, boundary_group, CASE WHEN boundary_group IS NULL THEN 'not_needed' WHEN chapter % 2 = 0 THEN 'confirmed' ELSE 'uncertain' END AS verdict, CASE WHEN boundary_group IS NOT NULL AND chapter % 2 = 0 THEN 'r' END AS reason FROM f")
 def boundary_verdicts(spark, sf_dir):
     gates = alignment.gate(_pairs(spark, sf_dir), "label", -0.1).withColumnRenamed("label", "chapter")
-    replies = gates.select("chapter", F.when(F.col("chapter") % 2 == 0, '{"status":"confirmed","reason_ru":"r"}').otherwise("no json").alias("reply"))
-    return requests.boundary_verdicts(gates, replies)
+    told = gates.select("chapter", F.when(F.col("chapter") % 2 == 0, '{"status":"confirmed","reason_ru":"r"}').otherwise("no json").alias("reply"))
+    return requests.boundary_verdicts(gates, told)
 
 
 @_query("SELECT user_id AS chapter, event_id AS id, CASE WHEN user_id % 3 = 0 THEN event_type END AS verdict, CASE WHEN event_id % 4 = 0 THEN 'approved' END AS decision FROM events")
 def candidate_reviews(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select(F.col("user_id").alias("chapter"), F.col("event_id").cast("int").alias("id"), "event_type")
     item = F.struct("id", F.col("event_type").alias("verdict"))
-    replies = e.where("chapter % 3 = 0").groupBy("chapter").agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("reply"))
+    told = e.where("chapter % 3 = 0").groupBy("chapter").agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("reply"))
     decisions = e.where("id % 4 = 0").select("chapter", "id", F.lit("approved").alias("decision"), F.lit(1).alias("at"))
-    return review.candidate_reviews(e.drop("event_type"), replies, decisions).select("chapter", F.col("id").cast("long").alias("id"), "verdict", "decision")
+    return review.candidate_reviews(e.drop("event_type"), told, decisions).select("chapter", F.col("id").cast("long").alias("id"), "verdict", "decision")
 
 
 @_query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/photos/a/p' || page_id || '.jpg' END AS photo FROM pages")
@@ -788,10 +827,41 @@ def sequential_alignment(spark, sf_dir):
     """Turns as paragraphs of three languages, two a request; a side that ends before the others fails its chapter."""
     c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("chapter"), F.element_at(F.array(*map(F.lit, ("zh", "en", "ru"))), (F.col("turn") % 3 + 1).cast("int")).alias("lang"), "turn", F.col("text").alias("paragraph"))
     c = c.withColumn("p", F.row_number().over(Window.partitionBy("chapter", "lang").orderBy("turn")))
-    found = requests.sequential_alignment(c, _one_by_one, size=2)
+    found = replies.sequential_alignment(c, _one_by_one, _shared(spark), size=2)
     return found.select("chapter", "g", *(F.get(n, 0).cast("long").alias(n) for n in ("zh", "en", "ru")))
 
 
+def _some_fail(prompts):
+    """Answers by the length of the prompt; every eleventh length fails."""
+    out = [str(len(p)) for p in prompts if len(p) % 11]
+    if len(out) < len(prompts):
+        raise TimeoutError("late")
+    return out
+
+
+_QUEUED = """
+t AS (SELECT conv_id, turn, length(coalesce(text, '')) AS n FROM conversations),
+f AS (SELECT conv_id, min(turn) FILTER (n % 11 = 0) AS lost FROM t GROUP BY conv_id),
+q AS (SELECT *, CASE WHEN lost IS NULL OR turn < lost THEN 'done' WHEN turn = lost THEN 'failed' ELSE 'held' END AS state FROM t JOIN f USING (conv_id))
+"""
+
+
+def _queued(spark, sf_dir):
+    """Turns as requests, a queue a conversation."""
+    asked = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("prompt"))
+    return replies.queued_replies(asked, _some_fail, _shared(spark), ["conv_id", "turn"], "conv_id", ["turn"])
+
+
+@_query(f"WITH {_QUEUED} SELECT conv_id, turn, CASE WHEN state = 'done' THEN n::VARCHAR END AS reply, CASE state WHEN 'failed' THEN 3 WHEN 'done' THEN 0 END AS failures, state FROM q")
+def reply_queue(spark, sf_dir):
+    return _queued(spark, sf_dir).select("conv_id", "turn", "reply", F.size("failures").alias("failures"), "state")
+
+
+@_query(f"WITH {_QUEUED} SELECT conv_id, count(*) FILTER (state = 'done') AS done, count(*) FILTER (state = 'held') AS held, 3 * count(*) FILTER (state = 'failed') AS failed_attempts, CASE WHEN count(*) FILTER (state = 'failed') > 0 THEN 'review_required' ELSE 'complete' END AS status FROM q GROUP BY conv_id")
+def reply_queue_report(spark, sf_dir):
+    return replies.queue_report(_queued(spark, sf_dir), "conv_id")
+
+
 def _archives(spark, sf_dir):
     """Every conversation as an e-book archive whose chapters are its turns."""
 

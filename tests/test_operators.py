@@ -97,35 +97,6 @@ def test_replies(spark):
         requests.stop_on_failure(told).collect()
 
 
-def test_stored_replies_are_asked_once(spark, tmp_path):
-    marks = tmp_path / "asked"
-    marks.mkdir()
-
-    def responder(prompts, at=str(marks)):
-        import pathlib
-        import uuid
-
-        pathlib.Path(at, uuid.uuid4().hex).touch()
-        return ["{}"]
-
-    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, prompt string")
-    requests.stored_replies(rows, responder, f"file://{tmp_path}/replies", ["id"])
-    assert requests.stored_replies(rows, responder, f"file://{tmp_path}/replies", ["id"]).count() == 2
-    assert len(list(marks.iterdir())) == 2
-
-
-def test_sequential_alignment(spark):
-    rows = [(1, n, p, f"{n}{p}") for n in ("zh", "en", "ru") for p in range(1, 11)] + [(2, "zh", 1, "x")]
-    p = spark.createDataFrame(rows, "chapter int, lang string, p int, paragraph string")
-
-    def responder(prompts):
-        return [json.dumps({"alignments": [{n: [1] for n in ("zh", "en", "ru")}, {n: [2] for n in ("zh", "en", "ru")}]})]
-
-    out = requests.sequential_alignment(p, responder).collect()
-    assert [r["ru"] for r in sorted((r for r in out if r["chapter"] == 1), key=lambda r: r["g"])] == [[i] for i in range(1, 11)]
-    assert [r["g"] for r in out if r["chapter"] == 2] == [0]
-
-
 def test_audit_requests(spark):
     p = spark.createDataFrame([(1, n, i, f"{n}{i}") for n in ("zh", "en", "ru") for i in range(1, 8)], "chapter int, lang string, p int, paragraph string")
     u = spark.createDataFrame([(1, i, [i], [i], [i] if i < 7 else []) for i in range(1, 8)], "chapter int, unit int, zh array<int>, en array<int>, ru array<int>")
