@@ -106,7 +106,8 @@ def gated_stream(requests: DataFrame, responder: Responder, pause_ms: int | None
 
     A job asks its requests by seq. After one has failed its attempts the job stops: it and all later ones wait in the
     job's state, unasked, until a row of the job without prompt tells it to go on, or pause_ms have passed. One job's
-    requests are asked one after the other; a task works on many jobs.
+    requests are asked one after the other; a task works on many jobs. A pause makes Spark start batches without data as
+    well; a run that is to end by itself turns those off (spark.sql.streaming.noDataMicroBatches.enabled).
     """
     ask = asker(responder, **options)
     columns = ["job", "seq", "state", "reply", "failures"]
