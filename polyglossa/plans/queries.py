@@ -15,9 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import ocr, text, web
+from ..functions import images, ocr, text, web
 from ..operators import alignment, audit, corpus, replies, requests, review
-from ..sources import epub
+from ..sources import epub, recognition
 from ..streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -831,6 +831,52 @@ def sequential_alignment(spark, sf_dir):
     return found.select("chapter", "g", *(F.get(n, 0).cast("long").alias(n) for n in ("zh", "en", "ru")))
 
 
+#: Size of a drawn page, and first row, step and height of its lines.
+_PAGE = {"width": 210, "height": 300, "first": 20, "step": 14, "tall": 8, "lines": 18, "left": 15, "most": 180}
+
+
+def _drawn(spark, sf_dir):
+    """Documents as pages of print: a bar for every line, as long as the line has characters; 18 lines a page."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    d = d.select("doc_id", F.floor(F.col("i") / _PAGE["lines"]).alias("page"), F.struct((F.col("i") % _PAGE["lines"]).alias("k"), F.least(F.length("line"), F.lit(_PAGE["most"])).alias("n")).alias("line"))
+    pages = d.groupBy("doc_id", "page").agg(F.collect_list("line").alias("lines"))
+
+    def of(batches):
+        import numpy as np
+
+        at = _PAGE
+        for pdf in batches:
+            made = []
+            for lines in pdf["lines"]:
+                gray = np.full((at["height"], at["width"]), 255, np.uint8)
+                for r in lines:
+                    y = at["first"] + at["step"] * r["k"]
+                    gray[y : y + at["tall"], at["left"] : at["left"] + r["n"]] = 0
+                made.append(images.write_png(gray))
+            yield pd.DataFrame({"path": pdf["path"], "content": made})
+
+    return pages.select(F.concat_ws("/", "doc_id", "page").alias("path"), "lines").mapInPandas(of, "path string, content binary")
+
+
+_BOXES = """
+l AS (SELECT doc_id, i, least(length(string_split(text, chr(10))[i + 1]), 180)::INT AS n FROM documents, unnest(range(len(string_split(text, chr(10))))) AS t(i)),
+b AS (SELECT doc_id || '/' || i // 18 AS path, CASE WHEN n > 0 THEN 3 END AS x, CASE WHEN n > 0 THEN (19 + 14 * (i % 18))::INT END AS y, CASE WHEN n > 0 THEN n + 24 END AS w, CASE WHEN n > 0 THEN 10 END AS h FROM l)
+"""
+
+
+@_query(f"WITH {_BOXES} SELECT path, x, y, w, h FROM b WHERE x IS NOT NULL UNION ALL SELECT path, NULL, NULL, NULL, NULL FROM b GROUP BY path HAVING count(x) = 0")
+def page_boxes(spark, sf_dir):
+    """The lines of drawn pages, found as connected components."""
+    return recognition.page_boxes(_drawn(spark, sf_dir)).select("path", "x", "y", "w", "h")
+
+
+@_query(f"""WITH {_BOXES}, f AS (SELECT path, count(*) FILTER (w >= 37.8) AS lines, greatest(min(y) FILTER (w >= 37.8) - 6, 0) AS lo, least(max(y + h) FILTER (w >= 37.8) + 8, 300) AS hi FROM b GROUP BY path)
+SELECT path, lines, CASE WHEN lines >= 3 AND hi - lo >= 105 THEN lo ELSE 0 END AS top, CASE WHEN lines >= 3 AND hi - lo >= 105 THEN hi ELSE 300 END AS bottom FROM f""")
+def text_regions(spark, sf_dir):
+    """The rows of drawn pages that hold their print."""
+    return recognition.text_regions(recognition.page_boxes(_drawn(spark, sf_dir)))
+
+
 def _some_fail(prompts):
     """Answers by the length of the prompt; every eleventh length fails."""
     out = [str(len(p)) for p in prompts if len(p) % 11]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import images
 from ..functions.ocr import clean_page
 
 
@@ -32,36 +33,55 @@ def tesseract(executable: str, languages: str = "rus+eng", mode: int = 6) -> Cal
     return recognise
 
 
-def text_region(gray: np.ndarray, min_boxes: int = 3, min_share: float = 0.35) -> np.ndarray:
-    """The rows and columns of a grey page that hold text; the page itself if too little is found.
+Decoder = Callable[[bytes], np.ndarray]
 
-    Ink is what lies below Otsu's level; runs of inked rows of a line's height are boxes.
+
+def page_boxes(pages: DataFrame, decode: Decoder = images.read_png) -> DataFrame:
+    """(path, page_width, page_height, x, y, w, h): the boxes of what is printed on pages (path, content).
+
+    Letters that stand near are one box. A page without any has one row whose box is null; a null content has none.
+    """
+
+    def of(batches):
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                gray = decode(bytes(content))
+                found = images.joined_boxes(gray).tolist() or [[None] * 4]
+                rows += [(path, gray.shape[1], gray.shape[0], *box) for box in found]
+            out = pd.DataFrame(rows, columns=["path", "page_width", "page_height", "x", "y", "w", "h"])
+            yield out.astype({c: "Int32" for c in out.columns[1:]})
+
+    return pages.select("path", "content").where("content IS NOT NULL").mapInPandas(of, "path string, page_width int, page_height int, x int, y int, w int, h int")
+
+
+def text_regions(boxes: DataFrame) -> DataFrame:
+    """(path, lines, top, bottom): the rows of a page from its first to its last line of print.
+
+    Pages with fewer than three lines, or with lines over less than a share of their height, are kept whole.
     """
-    h, w = gray.shape
-    count = np.bincount(gray.ravel(), minlength=256).astype(float)
-    below, level = np.cumsum(count), np.arange(256)
-    mean = np.cumsum(count * level)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        spread = (mean[-1] * below / below[-1] - mean) ** 2 / (below * (below[-1] - below))
-    ink = gray <= np.nanargmax(np.where(np.isfinite(spread), spread, -1))
-    inner = slice(int(0.05 * w), w - int(0.05 * w))
-    rows = ink[:, inner].mean(axis=1) > 0.02
-    edges = np.flatnonzero(np.diff(np.r_[0, rows.astype(int), 0]))
-    boxes = [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if 8 <= b - a <= 0.045 * h and a > 0.04 * h and b < 0.96 * h]
-    if len(boxes) < min_boxes or boxes[-1][1] - boxes[0][0] < min_share * h:
-        return gray
-    cols = np.flatnonzero(ink[boxes[0][0] : boxes[-1][1]].any(axis=0))
-    return gray[boxes[0][0] : boxes[-1][1], cols[0] : cols[-1] + 1]
-
-
-def recognised_pages(images: DataFrame, recogniser: Callable[[bytes], str], prepare: Callable[[bytes], bytes] | None = None) -> DataFrame:
-    """(stem, page, body) of images (path, content): prepared, recognised and cleaned."""
+    line = images.is_line(*(F.col(c) for c in ("x", "y", "w", "h", "page_width", "page_height")))
+    own = lambda c: F.when(line, c)
+    found = boxes.groupBy("path").agg(F.first("page_height").alias("height"), F.count_if(line).alias("lines"), F.min(own(F.col("y"))).alias("lo"), F.max(own(F.col("y") + F.col("h"))).alias("hi"))
+    top = F.greatest(F.col("lo") - F.bround(F.col("height") * images.PAD_TOP).cast("int"), F.lit(0))
+    bottom = F.least(F.col("hi") + F.bround(F.col("height") * images.PAD_BOTTOM).cast("int"), F.col("height"))
+    enough = (F.col("lines") >= images.LEAST_LINES) & (bottom - top >= F.col("height") * images.LEAST_HEIGHT)
+    return found.select("path", "lines", F.when(enough, top).otherwise(0).alias("top"), F.when(enough, bottom).otherwise(F.col("height")).alias("bottom"))
+
+
+def prepared_png(content: bytes) -> bytes:
+    """A PNG prepared for recognition; other formats, for which there is no decoder here, stay as they are."""
+    return images.write_png(images.prepared(images.read_png(content))) if content[:4] == b"\x89PNG" else content
+
+
+def recognised_pages(pages: DataFrame, recogniser: Callable[[bytes], str], prepare: Callable[[bytes], bytes] | None = prepared_png) -> DataFrame:
+    """(stem, page, body) of images (path, content): prepared (unless prepare is None), recognised and cleaned."""
 
     def of(batches):
         for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"], "body": [recogniser(prepare(c) if prepare else c) for c in pdf["content"]]})
+            yield pd.DataFrame({"path": pdf["path"], "body": [recogniser(prepare(bytes(c)) if prepare else bytes(c)) for c in pdf["content"]]})
 
-    rows = images.select("path", "content").mapInPandas(of, "path string, body string")
+    rows = pages.select("path", "content").mapInPandas(of, "path string, body string")
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     return rows.select(stem.alias("stem"), F.concat(stem, F.lit(".txt")).alias("page"), clean_page(F.col("body")).alias("body"))
 

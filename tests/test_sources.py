@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from polyglossa.functions import web as functions_web
 from polyglossa.plans import queries as plans
 from polyglossa.sources import epub, files, recognition, web
 from polyglossa.streaming import monitor
@@ -76,16 +77,76 @@ def test_crawl(spark, tmp_path):
         web.crawl(spark, "u", 1, at, fetch, delay=1)
 
 
+def test_crawl_refreshed(spark, tmp_path):
+    told, at = ["old"], tmp_path / "pages"
+    at.mkdir()  # an empty folder has no pages
+    run = lambda **o: web.crawl(spark, "https://a.b/chapter-1", 1, f"file://{at}", lambda url: f"<article><p>{told[-1]} {'word ' * 150}</p></article>", container=functions_web.ANY_ARTICLE, **o).first()["story"].split()[0]
+    assert run() == "old"
+    told.append("new")
+    assert run() == "old" and run(refresh=True) == "new" and run() == "new"
+    told.append("newer")
+    assert run(refresh=True) == "newer" and web.stored_page(spark, f"file://{at}", "https://a.b/chapter-1")["story"].startswith("newer")
+
+
+def test_chapter_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def fetch(url, at=str(calls)):
+        import pathlib
+        import uuid
+
+        pathlib.Path(at, uuid.uuid4().hex).write_text(url)
+        n = int(url.rsplit("-", 1)[1])
+        link = "" if n == 3 else f'<a class="n" href="/b/chapter-{n + 1}?x=1&amp;y=-{n + 1}">Следующая глава</a>'
+        return f"<html>{link if n != 4 else ''}page {n}</html>"
+
+    spark.dataSource.register(web.chapter_stream(fetch, delay=2.0))
+
+    def run(count):
+        q = spark.readStream.format("chapter_pages").option("url", "https://a.b/b/chapter-1").option("count", str(count)).load().writeStream.option("checkpointLocation", f"{tmp_path}/c").format("parquet").option("path", f"{tmp_path}/out").start()
+        q.processAllAvailable()
+        q.stop()
+        return sorted(r["html"][-13:-7].strip() for r in spark.read.parquet(f"{tmp_path}/out").collect()), len(list(calls.iterdir()))
+
+    assert run(2) == (["page 1", "page 2"], 2)
+    assert run(3) == (["page 1", "page 2", "page 3"], 3)  # each page was fetched once over both runs
+
+
+def test_next_link_of_a_page_is_that_of_the_column(spark):
+    pages = [('<a href="x?a&amp;b">Следующая</a>', "https://a.b/c/"), ('<a\nclass="q" href="/z">&lt;<b>следующая</b></a>', "https://a.b/c/d"), ("", "https://a.b/chapter-9?p=1"), ("", "https://a.b/chapter-19"), ("", "https://a.b/"), ('<a href="q">other</a>', "https://chapter-1/chapter-2#x")]
+    from polyglossa.functions.web import next_link, next_url
+
+    got = [r[0] for r in spark.createDataFrame(pages, "html string, url string").coalesce(1).select(next_url(F.col("html"), F.col("url"))).collect()]
+    assert got == [next_link(*p) for p in pages]
+
+
 def test_recognition(spark):
     images = spark.createDataFrame([("/x/p1.png", bytearray("Привет, мир".encode()))], "path string, content binary")
     assert tuple(recognition.recognised_pages(images, lambda b: b.decode()).first()) == ("p1", "p1.txt", "Привет, мир\n")
     v = spark.createDataFrame([("a b",), ("",)], "t string").select(recognition.embedded(F.col("t"), recognition.hashing_encoder(8)).alias("v")).collect()
     assert np.linalg.norm(v[0]["v"]) == pytest.approx(1, abs=1e-6) and not any(v[1]["v"])
-    page = np.full((400, 300), 255, np.uint8)
-    for y in range(60, 340, 20):
-        page[y : y + 10, 80:220] = 0
-    assert recognition.text_region(page).shape == (270, 140)
-    assert recognition.text_region(np.full((50, 50), 255, np.uint8)).shape == (50, 50)
+
+
+def test_regions_of_pages_equal_the_crop_of_each(spark):
+    from polyglossa.functions import images as pages
+
+    rng, rows = np.random.default_rng(1), [("blank", pages.write_png(np.full((40, 50), 255, np.uint8))), ("none", None)]
+    for i in range(12):
+        gray = np.full((400, 300), 255, np.uint8)
+        for y in range(int(rng.integers(5, 200)), int(rng.integers(210, 395)), 20):
+            gray[y : y + int(rng.integers(4, 14)), 20 : 20 + int(rng.integers(10, 260))] = 0
+        rows.append((str(i), pages.write_png(gray)))
+    df = spark.createDataFrame(rows, "path string, content binary")
+    got = {r["path"]: (r["top"], r["bottom"]) for r in recognition.text_regions(recognition.page_boxes(df)).collect()}
+    for path, content in rows:
+        if content is not None:
+            gray = pages.read_png(content)
+            top, bottom = got.pop(path)
+            assert (pages.cropped(gray) == gray[top:bottom]).all() and len(pages.cropped(gray)) == bottom - top
+    assert not got
+    seen = recognition.recognised_pages(df.where("path = '3'"), lambda png: f"ширина {pages.read_png(png).shape[1]} точек").first()
+    assert seen["body"].strip() == f"ширина {300 - 2 * round(300 * pages.MARGIN)} точек"
 
 
 def test_failure_gate(spark, tmp_path):
