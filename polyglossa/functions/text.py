@@ -48,7 +48,9 @@ def clean_story(text: Column, separator: str = r"(?U)\n\s*\n", between: str = "\
         return (b != "") & ~bad
 
     blocks = F.filter(F.transform(_parts(F.regexp_replace(text, FOOTNOTE, ""), separator), block), keep)
-    return F.concat(joined(blocks, between), F.when(F.size(blocks) > 0, "\n").otherwise(""))
+    # bound once: each mention of blocks would repeat the whole chain
+    ended = lambda bs: F.concat(joined(bs, between), F.when(F.size(bs) > 0, "\n").otherwise(""))
+    return F.get(F.transform(F.array(blocks), ended), 0)
 
 
 def paragraphs(text: Column, separator: str = "\n\n") -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import chapter_number, paragraphs, window_size
+from ..shared import staged
 
 
 def explode_paragraphs(docs: DataFrame, text: str = "text", separator: str = "\n\n") -> DataFrame:
@@ -83,11 +84,38 @@ def page_range(pages: DataFrame, first: str, last: str, stem: str = "stem") -> D
     return chosen.join(F.broadcast(ok), F.col("_complete")).drop("_complete")
 
 
+def running_totals(rows: DataFrame, group: list[str], order: list[str], values: dict[str, Column]) -> DataFrame:
+    """rows with the sums of values over the rows before each, within `group` and in `order`, which tells rows apart.
+
+    No task holds a group: rows are dealt by ranges of their order, each range adds up its own, and the sums of whole
+    ranges, one row a group and range, are added up apart. The dealt rows are written once, so that ranges stay as they are.
+    """
+    keys, own = [*group, *order], {name: f"_own_{name}" for name in values}
+    dealt = rows.withColumns({own[n]: v.cast("long") for n, v in values.items()}).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    dealt = staged(dealt)
+    before = lambda partition, by: Window.partitionBy(*partition).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(*group, "_range").agg(*(F.sum(c).alias(c) for c in own.values()))
+    sums = sums.select(*group, "_range", *(F.coalesce(F.sum(c).over(before(group, ["_range"])), F.lit(0)).alias(f"{c}_before") for c in own.values()))
+    near = dealt.withColumns({n: F.coalesce(F.sum(c).over(before(["_range", *group], order)), F.lit(0)) for n, c in own.items()})
+    match = F.lit(True)
+    for c in (*group, "_range"):
+        match = match & near[c].eqNullSafe(sums[c])
+    out = near.join(sums, match, "left").select(*(near[c] for c in near.columns if c not in (*values, "_range")), *((near[n] + sums[f"{own[n]}_before"]).alias(n) for n in values))
+    return out.drop(*own.values())
+
+
 def draft_lines(page_lines: DataFrame, chapter: str = "chapter", page: str = "page", line: str = "line") -> DataFrame:
-    """page_lines with draft_line: line numbers of the assembled chapter (title, blank, pages parted by a blank line)."""
-    by_line = Window.partitionBy(chapter).orderBy(page, line)
-    by_page = Window.partitionBy(chapter).orderBy(page)
-    return page_lines.withColumn("draft_line", F.row_number().over(by_line) + F.dense_rank().over(by_page) + 1)
+    """page_lines with draft_line: line numbers of the assembled chapter (title, blank, pages parted by a blank line).
+
+    Lines are numbered within their page; what stands before a page comes from the running totals of pages, so the
+    lines of a chapter never meet in one task.
+    """
+    pages = page_lines.groupBy(chapter, page).agg(F.count("*").alias("_n"))
+    pages = running_totals(pages, [chapter], [page], {"_lines": F.col("_n"), "_pages": F.lit(1)})
+    told = pages.select(F.col(chapter).alias("_chapter"), F.col(page).alias("_page"), (F.col("_lines") + F.col("_pages") + 2).alias("_before"))
+    at = page_lines.withColumn("_k", F.row_number().over(Window.partitionBy(chapter, page).orderBy(line)))
+    out = at.join(told, at[chapter].eqNullSafe(told["_chapter"]) & at[page].eqNullSafe(told["_page"]))
+    return out.withColumn("draft_line", (F.col("_before") + F.col("_k")).cast("int")).drop("_chapter", "_page", "_before", "_k")
 
 
 def running_header(line: Column, terms: list[str], letters: str = "А-Яа-яЁё") -> Column:

@@ -6,8 +6,6 @@ import html
 import io
 import json
 import re
-import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import images, ocr, text, web
 from ..operators import alignment, audit, corpus, replies, requests, review
+from ..shared import shared_dir
 from ..sources import epub, recognition
 from ..streaming import monitor
 
@@ -44,16 +43,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared(spark: SparkSession) -> str:
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        at = f"file://{tempfile.mkdtemp(prefix='shared-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return f"{at}/{uuid.uuid4().hex[:12]}"
-
-
 _PARAGRAPHS = r"""
 d AS (SELECT *, list_filter(string_split(text, chr(10)), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g') <> '' AND NOT starts_with(p, '# ')) AS l FROM documents),
 ps AS (SELECT doc_id, lang, source, i::INT AS p, regexp_replace(l[i], '^\s+|\s+$', '', 'g') AS paragraph FROM d, unnest(range(1, len(l) + 1)) AS r(i))
@@ -585,7 +574,7 @@ def _canned(prompts):
 @_query(f"WITH {_UNITS}, n AS (SELECT chapter, \"window\", length(body) + {len(audit.UNITS_TASK)} AS n FROM q) SELECT chapter, \"window\", CASE WHEN n % 2 = 1 THEN 'omission' ELSE 'review_required' END AS type, CASE WHEN n % 2 = 1 THEN n::VARCHAR ELSE 'the request failed' END AS reason FROM n")
 def audit_findings(spark, sf_dir):
     asked = audit.unit_requests(audit.unit_texts(_units(spark, sf_dir), _spoken(spark, sf_dir)))
-    path = _shared(spark)
+    path = shared_dir(spark)
     told = replies.stored_replies(asked, _canned, path, ["chapter", "window"])
     return requests.findings(told, ["chapter", "window"]).select("chapter", "window", "type", "reason")
 
@@ -769,7 +758,7 @@ q AS (SELECT chapter, "window", size, sum(n) + {len(requests.WINDOWS_TASK) + sum
 def window_alignment_report(spark, sf_dir):
     """Window alignment of the chapters from 3 on, by a canned responder that fails on some prompts."""
     asked = requests.window_requests(_spoken(spark, sf_dir), first=3)
-    told = replies.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
+    told = replies.stored_replies(asked, _window_reply, shared_dir(spark), ["chapter", "window"], accept=requests.is_json)
     return requests.window_report(told).drop("zh_count", "en_count", "ru_count")
 
 
@@ -777,7 +766,7 @@ def window_alignment_report(spark, sf_dir):
 def window_alignment_units(spark, sf_dir):
     """The rows of those replies as units with global numbers, from one source up to chapter 50 and from another beyond."""
     asked = requests.window_requests(_spoken(spark, sf_dir), first=3)
-    told = replies.stored_replies(asked, _window_reply, _shared(spark), ["chapter", "window"], accept=requests.is_json)
+    told = replies.stored_replies(asked, _window_reply, shared_dir(spark), ["chapter", "window"], accept=requests.is_json)
     flat = audit.flatten_window_units(requests.window_alignments(told))
     both = audit.route(flat.withColumn("source", F.lit("early")), flat.withColumn("source", F.lit("late")), 50)
     return both.select("chapter", "window", "unit", "source", F.col("zh")[0].alias("number"))
@@ -827,7 +816,7 @@ def sequential_alignment(spark, sf_dir):
     """Turns as paragraphs of three languages, two a request; a side that ends before the others fails its chapter."""
     c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("chapter"), F.element_at(F.array(*map(F.lit, ("zh", "en", "ru"))), (F.col("turn") % 3 + 1).cast("int")).alias("lang"), "turn", F.col("text").alias("paragraph"))
     c = c.withColumn("p", F.row_number().over(Window.partitionBy("chapter", "lang").orderBy("turn")))
-    found = replies.sequential_alignment(c, _one_by_one, _shared(spark), size=2)
+    found = replies.sequential_alignment(c, _one_by_one, shared_dir(spark), size=2)
     return found.select("chapter", "g", *(F.get(n, 0).cast("long").alias(n) for n in ("zh", "en", "ru")))
 
 
@@ -895,7 +884,7 @@ q AS (SELECT *, CASE WHEN lost IS NULL OR turn < lost THEN 'done' WHEN turn = lo
 def _queued(spark, sf_dir):
     """Turns as requests, a queue a conversation."""
     asked = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("prompt"))
-    return replies.queued_replies(asked, _some_fail, _shared(spark), ["conv_id", "turn"], "conv_id", ["turn"])
+    return replies.queued_replies(asked, _some_fail, shared_dir(spark), ["conv_id", "turn"], "conv_id", ["turn"])
 
 
 @_query(f"WITH {_QUEUED} SELECT conv_id, turn, CASE WHEN state = 'done' THEN n::VARCHAR END AS reply, CASE state WHEN 'failed' THEN 3 WHEN 'done' THEN 0 END AS failures, state FROM q")
@@ -955,7 +944,7 @@ def _event_stream(spark, sf_dir):
 
 def _run(spark, rows, mode):
     """The rows that a stream gives to its sink when it is worked off once."""
-    at = _shared(spark)
+    at = shared_dir(spark)
     monitor.run_once(rows, f"{at}/checkpoint", mode, lambda df, i: df.write.mode("append").parquet(f"{at}/out"))
     return spark.read.parquet(f"{at}/out")
 
@@ -988,7 +977,7 @@ def stream_progress(spark, sf_dir):
     """events as a stream, worked off once; the last state of each key is in the table that the sink wrote."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select("user_id", F.col("event_id").alias("seq"), F.col("event_type").alias("status"), "value")
-    at = _shared(spark)
+    at = shared_dir(spark)
     monitor.run_once(monitor.latest_state(rows, "user_id"), f"{at}/checkpoint", "update", lambda df, i: df.write.mode("append").parquet(f"{at}/out"))
     return monitor.latest_state(spark.read.parquet(f"{at}/out"), "user_id")
 
@@ -998,6 +987,6 @@ def stream_daily_counts(spark, sf_dir):
     """Event-time windows; the last update of a window counts."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    at = _shared(spark)
+    at = shared_dir(spark)
     monitor.run_once(monitor.windowed_counts(rows, "ts", "event_type"), f"{at}/checkpoint", "update", lambda df, i: df.withColumn("batch", F.lit(i)).write.mode("append").parquet(f"{at}/out"))
     return spark.read.parquet(f"{at}/out").withColumn("start", F.col("start").cast("timestamp_ntz")).groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_story, safe_filename
+from ..operators.corpus import running_totals
 
 IMAGES = r"(?i)\.(jpe?g|png|tiff?|webp)$"
 
 
 def text_files(spark: SparkSession, path: str, source: str, lang: str = "") -> DataFrame:
-    """*.txt of a folder: source, lang, file, body and rank by name. Names alone are sorted; bodies join their ranks."""
+    """*.txt of a folder: source, lang, file, body and rank by name. Names alone are sorted, by ranges; bodies join their ranks."""
     rows = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select(F.lit(source).alias("source"), F.lit(lang).alias("lang"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"))
-    ranks = listed.select(F.url_decode("file").alias("file")).withColumn("rank", F.row_number().over(Window.orderBy("file")))
+    ranks = running_totals(listed.select(F.url_decode("file").alias("file")), [], ["file"], {"rank": F.lit(1)}).withColumn("rank", (F.col("rank") + 1).cast("int"))
     return rows.join(ranks, "file").select("source", "lang", "file", "body", "rank")
 
 

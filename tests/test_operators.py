@@ -165,3 +165,17 @@ def test_positional_join_counts(spark):
     a = spark.createDataFrame([(1, i, f"a{i}") for i in range(5)], "g int, i int, value string")
     b = spark.createDataFrame([(1, i, f"b{i}") for i in range(4)], "g int, i int, value string")
     assert corpus.match_by_rank([a, b], ["x", "y"], ["g"], ["i"], 2).count() == 2 and corpus.match_by_rank([a, b], ["x", "y"], ["g"], ["i"]).count() == 4
+
+
+def test_running_totals_need_no_single_task(spark):
+    """Sums over the rows before each, by ranges: as one window per group would give, without a window of a group in the plan."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 3001).alias("o"), (F.col("id") % 11).alias("v")).repartition(5)
+    got = corpus.running_totals(rows, ["g"], ["o"], {"total": F.col("v"), "rank": F.lit(1)})
+    before = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    want = rows.select("g", "o", "v", F.coalesce(F.sum("v").over(before), F.lit(0)).alias("total"), F.count("*").over(before).alias("rank"))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert corpus.running_totals(rows, [], ["o", "g"], {"rank": F.lit(1)}).agg(F.sum("rank"), F.count_distinct("rank")).first()[:] == (3000 * 2999 // 2, 3000)
+    assert corpus.running_totals(rows.limit(0), ["g"], ["o"], {"rank": F.lit(1)}).count() == 0
