@@ -2,9 +2,10 @@
 
 Folding lower-cases, maps look-alike letters of other scripts and digit substitutions to one Latin letter per class
 (l, 1 and i are one class), and turns everything that is not a letter into one space; terms and exception phrases are
-folded alike and match whole words only, but for stems (ending in *), which match where a word begins so. A hit inside
-an exception phrase does not count. Hits are weighted, and a
-logistic curve over presence, weight and weight per word gives a score from 0 to 1.
+folded alike and match whole words only, but for stems (ending in *), which match where a word begins so. A term may ask
+for repetition (ending in #2, say): it then matches only in texts that hold it so often and at least at a rate per word, as
+some stems are rare in clean texts and stand again and again in toxic ones. A hit inside an exception phrase does not
+count. Hits are weighted, and a logistic curve over presence, weight and weight per word gives a score from 0 to 1.
 
 Null and empty texts have no hits and get the score of a text without hits. Repeated rows get equal scores.
 """
@@ -29,8 +30,10 @@ from .common import crc_mod, table, tidy
 TRAIN_ROWS = 8_000
 #: Lengths of the stems that are tried: so many first letters of a longer word.
 STEMS = (4, 5, 6, 7)
+#: Repetitions that a term may ask for, and the least share of a text's words that they must be.
+REPEATS, RATE = (2, 3, 4), 0.005
 #: Most terms that are tried, and most that are kept.
-CANDIDATES, TERMS = 1_000, 200
+CANDIDATES, TERMS = 2_000, 200
 #: Ridge of the slopes: presence, weight, weight per word.
 RIDGE = (0.01, 0.1, 1.0)
 #: Terms that are tried whatever the labelled rows hold.
@@ -54,6 +57,11 @@ def fold(text: str | None) -> str:
     return f" {_NO_LETTER.sub(' ', (text or '').lower().translate(_FOLD)).strip()} "
 
 
+def _forms(term: str, count: int, words: int) -> list[str]:
+    """The term with every repetition that so many hits among so many words reach."""
+    return [term, *(f"{term}#{k}" for k in REPEATS if count >= k and count >= RATE * words)]
+
+
 @dataclass(frozen=True)
 class Model:
     """Folded terms with weights, folded exception phrases, and the logistic curve's coefficients."""
@@ -68,7 +76,7 @@ class Model:
             import ahocorasick
 
             a = ahocorasick.Automaton()
-            for t in self.weights:
+            for t in {t.split("#")[0] for t in self.weights}:
                 own = f" {t[:-1]}" if t.endswith("*") else f" {t} "
                 a.add_word(own, (len(own), t, True))
             for t in self.exceptions:
@@ -81,15 +89,24 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "automaton": []}
 
-    def hits(self, folded: str) -> list[tuple[int, int, str]]:
-        """(start, end, term) of every hit outside exception phrases, in the folded text; each word counts once for a term."""
+    def found(self, folded: str) -> tuple[list[tuple[int, int, str]], dict[str, list[str]]]:
+        """(start, end, term without repetition) of every hit outside exception phrases, and the forms that the text reaches of each."""
         a = self._machine()
         if not len(a):
-            return []
+            return [], {}
         found, safe = [], []
         for end, (n, term, bad) in a.iter(folded):
             (found if bad else safe).append((end - n + 2, end, term))
-        return [x for x in found if not any(s <= x[0] <= e for s, e, _ in safe)] if safe else found
+        if safe:
+            found = [x for x in found if not any(s <= x[0] <= e for s, e, _ in safe)]
+        words = folded.count(" ") - 1
+        return found, {t: [f for f in _forms(t, n, words) if f in self.weights] for t, n in Counter(t for _, _, t in found).items()}
+
+    def hits(self, folded: str) -> list[tuple[int, int, str]]:
+        """(start, end, term) of every hit in the folded text; each word counts once for a term, in its form of most weight."""
+        found, forms = self.found(folded)
+        best = {t: max(own, key=lambda f: (self.weights[f], f)) for t, own in forms.items() if own}
+        return [(s, e, best[t]) for s, e, t in found if t in best]
 
     def features(self, folded: str) -> tuple[float, float, float]:
         hits = self.hits(folded)
@@ -126,12 +143,17 @@ def _fitted_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 
 def _terms_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many toxic and clean rows of the partition hold each word and each stem."""
+    """How many toxic and clean rows of the partition hold each word and each stem, and hold it so often."""
     bad, good = Counter(), Counter()
     for pdf in batches:
         for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
-            words = set(fold(text).split())
-            (bad if toxic else good).update(words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k})
+            words = fold(text).split()
+            seen = Counter(words)
+            for w, n in list(seen.items()):
+                for k in STEMS:
+                    if len(w) > k:
+                        seen[w[:k] + "*"] += n
+            (bad if toxic else good).update(f for t, n in seen.items() for f in _forms(t, n, len(words)))
     terms = list(bad.keys() | good.keys())
     for at in range(0, len(terms), 50_000):
         some = terms[at : at + 50_000]
@@ -165,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: i
 
         def found(batches):
             for pdf in batches:
-                yield pd.DataFrame({"toxic": pdf["toxic"], "terms": [sorted({t for _, _, t in trial.hits(fold(x))}) for x in pdf["text"]]})
+                yield pd.DataFrame({"toxic": pdf["toxic"], "terms": [sorted(f for own in trial.found(fold(x))[1].values() for f in own) for x in pdf["text"]]})
 
         seen = rows_df.mapInPandas(tidy(found), "toxic int, terms array<string>").collect()
         kept = _cover(seen, tried)
@@ -194,7 +216,7 @@ def _cover(seen: list, tried: dict[str, tuple]) -> list[str]:
     kept, done, hurt = [], set(), set()
     least = max(5, 0.005 * sum(r["toxic"] for r in seen))
     while len(kept) < TERMS:
-        gain, _, _, best = max(((len(b - done) - 2 * len(g - hurt), t[-1] != "*", len(t), t) for t, (b, g) in at.items() if t not in kept), default=(0, 0, 0, ""))
+        gain, _, _, _, best = max(((len(b - done) - 2 * len(g - hurt), "#" not in t, "*" not in t, len(t), t) for t, (b, g) in at.items() if t not in kept), default=(0, 0, 0, 0, ""))
         if gain < least:
             break
         kept.append(best)
