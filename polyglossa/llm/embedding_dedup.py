@@ -70,7 +70,9 @@ def _lines(dim: int) -> np.ndarray:
 
 
 def _vectors(column) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in column])
+    """Vectors scaled by a power of two each, so that no square overflows or vanishes and no digit changes."""
+    x = np.stack([np.asarray(v, np.float64) for v in column])
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def _projected(x: np.ndarray) -> np.ndarray:
@@ -236,7 +238,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / pow(2.0, floor(log2(list_max(list_transform(embedding, lambda y: abs(y::DOUBLE))))))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND list_max(list_transform(embedding, lambda y: abs(y::DOUBLE))) > 0
 ), n AS (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93

@@ -200,6 +200,9 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     docs = docs.drop("n_words", "n_removed", "kept_text")
     docs, key = told_apart(docs, doc_id)
+    # own columns with names that are used inside travel under other ones
+    clash = {c: f"_own{i}_{c}" for i, c in enumerate(docs.columns) if c in ("_key", "_text", "_pos", "_role") and c not in (text, key)}
+    docs = docs.withColumnsRenamed(clash)
     whole = docs.withColumnRenamed(text, "__text").withColumn("__key", F.col(key).cast("long"))
     whole = whole.drop(*(c for c in ("_key", "_text", "_pos", "_role", *([key] if key != doc_id else [])) if c in whole.columns))
     whole = whole.withColumnsRenamed({"__text": "_text", "__key": "_key"})
@@ -214,7 +217,8 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     around = beside(seeds).mapInArrow(tidy(_around(words, period)), _HASHED)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_columns), "`{text}` string, n_words long, n_removed long, kept_text string".format(text=text)])
-    return beside(_repeated(around)).select(*(f"`{f.name}`" for f in kept_columns), "_key", "_text", "_pos", "_role").mapInArrow(tidy(_cut(words, text)), schema)
+    out = beside(_repeated(around)).select(*(f"`{f.name}`" for f in kept_columns), "_key", "_text", "_pos", "_role").mapInArrow(tidy(_cut(words, text)), schema)
+    return out.withColumnsRenamed({own: c for c, own in clash.items()})
 
 
 def dedup_text(docs: DataFrame) -> DataFrame:

@@ -60,6 +60,12 @@ def shingles(t):
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
+def test_substring_dedup_carries_columns_of_any_name(docs, words):
+    w = words(60)
+    out = substring_dedup.substring_dedup(docs([w, w, "a b"])).collect()
+    assert all(r[c] == "x" for r in out for c in ("_key", "_text", "_pos", "_role", "kept", "digest")) and [r["n_words"] for r in sorted(out, key=lambda r: r["doc_id"])] == [60, 60, 2]
+
+
 def test_jaccard_join(docs, texts, words):
     base = words(200).split()
     for k in range(60):  # a large group of near copies, in several blocks
@@ -334,6 +340,29 @@ def test_license_bands(words):
         license_scan.Scanner({"none": " .. "})
 
 
+def plain_probabilities(model, text):
+    """The softmax of the mean over all subwords, one after another: runs of three and four bytes of every bounded word."""
+    m, ids = 2**32, []
+    raw = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in (text or "").lower().encode())
+    for word in raw.split(b" "):
+        p = b" " + word + b" "
+        for i in range(len(p) - 2 if word else 0):
+            code = p[i] | p[i + 1] << 8 | p[i + 2] << 16
+            ids.append((code * 2654435761 % m) >> 17)
+            if i + 3 < len(p):
+                ids.append((((code ^ 0x9E3779B9) * 0x85EBCA6B + p[i + 3]) % m * 2654435761 % m) >> 17)
+    z = (np.mean([model.logits[i].astype(float) for i in ids], axis=0) if ids else 0) + model.bias
+    e = np.exp((z - z.max()) / model.temperature)
+    return e / e.sum()
+
+
+def test_language_id_equals_plain_means(spark):
+    sf = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang").collect()
+    model = language_id.train([r["text"] for r in sf if r["lang"]], [r["lang"] for r in sf if r["lang"]])
+    texts = [r["text"] for r in sf][:60] + [None, "", "a", "1 2 -", "é", "日本 語", "x" * 500, "A1b2 c\u0000d"]
+    assert np.allclose(model.probabilities(texts), [plain_probabilities(model, t) for t in texts], atol=1e-6)
+
+
 def test_language_id(spark, docs):
     en, de = "the thing that was there and then the others", "der hund und die katze nicht über ungewöhnlich"
     model = language_id.train([f"{en} {i}" for i in range(40)] + [f"{de} {i}" for i in range(40)], ["en"] * 40 + ["de"] * 40)

@@ -94,6 +94,13 @@ def test_vectors_with_text_and_repeated_ids(spark):
     assert got == sorted([("x", 2, "v", False), ("w", 2, "v", False), ("v", 0, "v", True), ("v", 2, "v", True), ("", 0, None, True)], key=str)
 
 
+def test_vectors_of_extreme_size(spark):
+    rows = [(1, [1e200, 1e200, 0.0]), (2, [1.1e200, 1e200, 0.0]), (3, [1e-200, 1e-200, 0.0]), (4, [1e-310, 1.1e-310, 0.0]), (5, [0.0, 0.0, 1e-200])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.embedding_dedup(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (101, 103), (200, 200)]
     got = dict(common.components(spark.createDataFrame(chain, "a long, b long").repartition(8)).collect())
@@ -163,6 +170,40 @@ def test_query_equals_sql(spark, name):
     assert sorted(str([r[c] for c in columns]) for r in df.collect()) == sorted(str([r[i] for i in at]) for r in want.fetchall())
 
 
+def plain_hits(model, folded):
+    """Hits by looking at every place of the folded text, for every term and every exception."""
+    found, safe = [], []
+    for i, char in enumerate(folded):
+        if char == " ":
+            for t in {t.split("#")[0] for t in model.weights}:
+                own = f" {t[:-1]}" if t.endswith("*") else f" {t} "
+                found += [(i + 1, i + len(own) - 1, t)] if folded.startswith(own, i) else []
+            safe += [(i + 1, i + len(t) + 1) for t in model.exceptions if folded.startswith(f" {t} ", i)]
+    found = [x for x in found if not any(s <= x[0] <= e for s, e in safe)]
+    words, out = len(folded.split()), []
+    for s, e, t in found:
+        n = sum(x[2] == t for x in found)
+        forms = [f for f in (t, *(f"{t}#{k}" for k in toxicity.REPEATS if n >= k and n >= toxicity.RATE * words)) if f in model.weights]
+        out += [(s, e, max(forms, key=lambda f: (model.weights[f], f)))] if forms else []
+    return sorted(out)
+
+
+def test_toxicity_equals_a_plain_search(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    learned = toxicity.fitted(spark, docs, SF)
+    own = toxicity.Model({"trash": 2.0, "rat": 1.0, "mor*": 0.5, "mor*#2": 3.0, "rat#3": 4.0}, ("trash can", "lab rat", "rat trash"), (-2.0, 1.0, 0.5, 0.1))
+    texts = [r["text"] for r in docs.collect()] + [None, "", "trash can trash, TR4SH", "lab rat rat rat rat", "mortar mora more", "mortar " + "x " * 900, "mortar mora " + "x " * 900, "rat trash rat"]
+    for model in (learned, own, toxicity.default_model()):
+        for t in texts:
+            folded = toxicity.fold(t)
+            want = plain_hits(model, folded)
+            assert sorted(model.hits(folded)) == want
+            weight = sum(model.weights[h[2]] for h in want)
+            x = (1.0, np.log1p(weight), 100 * weight / len(folded.split())) if want else (0, 0, 0)
+            z = model.curve[0] + sum(c * v for c, v in zip(model.curve[1:], x, strict=True))
+            assert model.score(t) == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+
+
 def test_held_out_accuracy(spark):
     """Recall and the order of scores for toxicity, whose labels are rare; accuracy for languages."""
     sf = SF.replace("0.001", "0.01")
