@@ -24,7 +24,7 @@ COMMANDS = {
     "review-ocr-candidates": ("ask about candidates", ["path", "out", "model"]),
     "download": ("crawl chapter pages", ["url", "out", "count:int", "delay:float=3"]),
     "embed-align-pair": ("align two paragraph tables by vectors", ["left", "right", "out"]),
-    "gap-align-pair": ("the same, rows may stand alone", ["left", "right", "out"]),
+    "gap-align-pair": ("the same in two passes, rows may stand alone", ["left", "right", "out"]),
     "window-align": ("align paragraphs by replies, a fixed window a request", ["paragraphs", "out", "model", "first:int=1", "last:int=1000000000"]),
     "sequential-align": ("align paragraphs by replies", ["paragraphs", "out", "model"]),
     "validate-pair": ("first weak group of an alignment", ["groups", "out", "minimum:float=0.65"]),
@@ -76,7 +76,7 @@ def run(spark: SparkSession, command: str, args: argparse.Namespace) -> DataFram
     if command == "download":
         return web.crawl(spark, args.url, args.count, f"{args.out}/pages", delay=args.delay)
     if command in ("embed-align-pair", "gap-align-pair"):
-        return alignment.align_blocks(_vectors(spark, args), gap=alignment.GAP_COST if command.startswith("gap") else None)
+        return alignment.align_blocks(_vectors(spark, args), two_pass=command.startswith("gap"))
     if command == "window-align":
         asked = requests.window_requests(read(args.paragraphs), args.first, args.last)
         told = replies.queued_replies(asked, requests.http_responder(args.model, json_mode=True), f"{args.out}/replies", ["chapter", "window"], "chapter", ["window"], model=args.model, accept=requests.is_json, health=requests.service_health)

@@ -14,6 +14,12 @@ TERMS = 200_000
 OCR_FINAL = ("approved", "manual_fix", "leave_as_is")
 
 
+CANDIDATES_TASK = "Check these recognised lines. Reply with JSON {\"items\":[{\"id\",\"verdict\",\"suggested_russian\",\"reason_ru\"}]}.\n"
+CONTEXT_HEADS = ("Findings like these were right:\n", "Findings like these were wrong, do not report such:\n")
+#: Marks of footnotes, and the end of a text that ends a sentence: a closing sign, then closing quotes and brackets.
+FOOTNOTE, SENTENCE_END = r"\[\d{1,3}\]", r"[.!?…][»”’\"')\]]*\s*$"
+
+
 def latest_decisions(decisions: DataFrame, key: list[str], at: str = "at") -> DataFrame:
     """The last decision of each key. A max over (time, decision, comment) combines map-side and needs no ordering."""
     others = [c for c in decisions.columns if c not in {*key, at}]
@@ -54,11 +60,25 @@ def cleaned_drafts(drafts: DataFrame) -> DataFrame:
     return drafts.withColumn("lines", F.size(each)).withColumn("body", F.concat(F.trim(dehyphenate(F.array_join(each, "\n"))), F.lit("\n")))
 
 
-def candidate_requests(candidates: DataFrame, size: int = 7) -> DataFrame:
-    """(chapter, batch, prompt): `size` candidates a request, by their ids."""
+def candidate_requests(candidates: DataFrame, size: int = 7, english: DataFrame | None = None) -> DataFrame:
+    """(chapter, batch, prompt): `size` candidates a request, by their ids.
+
+    With english (chapter, english) the chapter's English text follows as context, once a request.
+    """
     row = F.concat(F.col("id").cast("string"), F.lit(": "), F.col("cleaned"), F.lit(" ["), F.array_join("reasons", ","), F.lit("]"))
     at = candidates.withColumn("batch", F.floor((F.col("id") - 1) / size).cast("int")).withColumn("row", row)
-    return at.groupBy("chapter", "batch").agg(F.concat(F.lit("Check these recognised lines. Reply with JSON {\"items\":[{\"id\",\"verdict\",\"suggested_russian\",\"reason_ru\"}]}.\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "row"))), lambda s: s["row"]), "\n")).alias("prompt"))
+    asked = at.groupBy("chapter", "batch").agg(F.concat(F.lit(CANDIDATES_TASK), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "row"))), lambda s: s["row"]), "\n")).alias("prompt"))
+    if english is None:
+        return asked
+    both = asked.join(english.select("chapter", "english"), "chapter", "left")
+    return both.select("chapter", "batch", F.concat("prompt", F.coalesce(F.concat(F.lit("\n\nEnglish chapter, for the meaning only:\n"), "english"), F.lit(""))).alias("prompt"))
+
+
+def candidate_errors(replies: DataFrame) -> DataFrame:
+    """(chapter, batch, error) of the requests whose reply has no list of items; what went wrong last, where there is no reply."""
+    listed = F.try_variant_get(F.try_parse_json("reply"), "$.items", "array<variant>").isNotNull()
+    why = F.when(F.col("reply").isNull(), F.coalesce(F.try_element_at("failures", F.lit(-1)), F.lit("no reply"))).otherwise("the reply has no list of items")
+    return replies.where(F.col("reply").isNull() | ~F.coalesce(listed, F.lit(False))).select("chapter", "batch", why.alias("error"))
 
 
 def candidate_reviews(candidates: DataFrame, replies: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
@@ -118,3 +138,49 @@ def few_shot(decisions: DataFrame, findings: DataFrame, key: list[str], n: int =
     both = latest_decisions(decisions, key).where(F.col("decision").isin(*FINAL)).join(findings, key)
     w = Window.partitionBy("type", "decision").orderBy(F.desc("at"), *key)
     return both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def decision_context(decisions: DataFrame, findings: DataFrame, key: list[str], n: int = 5) -> DataFrame:
+    """(context): one text for the next audit's prompts, from the latest n findings of each type that were approved and rejected.
+
+    Approved ones are examples of what to report, rejected ones of what not to; deferred ones are left out. The text has
+    2 * n lines a type, whatever the number of decisions.
+    """
+    chosen = few_shot(decisions, findings, key, n)
+    line = F.concat(F.lit("- "), F.col("type"), F.lit(": "), F.coalesce("reason", F.lit("")))
+    rows = chosen.groupBy("decision").agg(F.array_sort(F.collect_list(F.struct("type", "rank", line.alias("line")))).alias("rows"))
+    told = F.when(F.col("decision") == "approved", CONTEXT_HEADS[0]).otherwise(CONTEXT_HEADS[1])
+    parts = rows.select("decision", F.concat(told, F.array_join(F.transform("rows", lambda r: r["line"]), "\n")).alias("part"))
+    return parts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("decision", "part"))), lambda s: s["part"]), "\n\n").alias("context"))
+
+
+def with_context(requests: DataFrame, context: DataFrame) -> DataFrame:
+    """requests whose prompt begins with the context, one row that every request gets."""
+    one = context.select(F.coalesce(F.max("context"), F.lit("")).alias("_context"))
+    return requests.crossJoin(F.broadcast(one)).withColumn("prompt", F.concat(F.when(F.col("_context") != "", F.concat("_context", F.lit("\n\n"))).otherwise(""), "prompt")).drop("_context")
+
+
+def admission(chapters: DataFrame, glossary: DataFrame) -> DataFrame:
+    """(chapter, reasons, terms, admitted) of chapters (chapter, en_text, ru_text): whether a translation may enter the corpus.
+
+    Reasons: no_chapter, no_source, empty, footnotes (marks such as [1]), truncated (the last line does not end a
+    sentence or a quotation), quotes (guillemets that do not match), names (glossary terms of the source without their
+    translation, listed in terms). A chapter without reasons is admitted.
+    """
+    own = chapters.select("chapter", "en_text", "ru_text")
+    russian = F.coalesce(F.col("ru_text"), F.lit(""))
+    blank = F.trim(F.regexp_replace(russian, r"\s+", " ")) == ""
+    count = lambda c: F.length(russian) - F.length(F.replace(russian, F.lit(c)))
+    faults = {
+        "no_chapter": F.col("chapter").isNull(),
+        "no_source": F.coalesce(F.trim("en_text"), F.lit("")) == "",
+        "empty": blank,
+        "footnotes": russian.rlike(FOOTNOTE),
+        "truncated": ~blank & ~russian.rlike(SENTENCE_END),
+        "quotes": count("«") != count("»"),
+    }
+    plain = own.select("chapter", F.array_compact(F.array(*(F.when(bad, name) for name, bad in faults.items()))).alias("reasons"))
+    missing = glossary_violations(own.select("chapter", "en_text", "ru_text"), glossary).where("chapter IS NOT NULL").groupBy("chapter").agg(F.array_sort(F.collect_set("en")).alias("terms"))
+    out = plain.join(missing, "chapter", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<string>")))
+    out = out.withColumn("reasons", F.when(F.size("terms") > 0, F.array_append("reasons", "names")).otherwise(F.col("reasons")))
+    return out.withColumn("admitted", F.size("reasons") == 0)

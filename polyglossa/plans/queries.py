@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import images, ocr, text, web
 from ..operators import alignment, audit, corpus, replies, requests, review
 from ..shared import shared_dir
-from ..sources import epub, recognition
+from ..sources import epub, files, recognition
 from ..streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -723,6 +723,34 @@ def glossary_violations(spark, sf_dir):
     return review.glossary_violations(d, _glossary(spark)).select("doc_id", "en", "ru")
 
 
+_ADMITTED = f"""WITH {_GLOSSARY_SQL},
+v AS (SELECT doc_id, list_sort(list_distinct(list(g.en))) AS terms FROM documents d JOIN g ON contains(d.text, g.en) WHERE NOT contains(d.text, g.ru) GROUP BY doc_id),
+f AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\\s]+', '', 'g') = '' AS blank FROM documents),
+r AS (SELECT doc_id, list_filter([CASE WHEN trim(t) = '' THEN 'no_source' END, CASE WHEN blank THEN 'empty' END, CASE WHEN regexp_matches(t, '\\[\\d{{1,3}}\\]') THEN 'footnotes' END,
+  CASE WHEN NOT blank AND NOT regexp_matches(t, '[.!?…][»”’"'')\\]]*\\s*$') THEN 'truncated' END, CASE WHEN length(replace(t, '«', '')) <> length(replace(t, '»', '')) THEN 'quotes' END, CASE WHEN terms IS NOT NULL THEN 'names' END], lambda x: x IS NOT NULL) AS reasons, terms
+  FROM f LEFT JOIN v USING (doc_id))
+SELECT doc_id, array_to_string(reasons, ',') AS reasons, coalesce(array_to_string(terms, ','), '') AS terms, len(reasons) = 0 AS admitted FROM r"""
+
+
+@_query(_ADMITTED)
+def admission(spark, sf_dir):
+    """Documents as translations of themselves: which may enter the corpus, and why others may not."""
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("chapter"), F.col("text").alias("en_text"), F.col("text").alias("ru_text"))
+    told = review.admission(d, _glossary(spark))
+    return told.select(F.col("chapter").alias("doc_id"), F.array_join("reasons", ",").alias("reasons"), F.array_join("terms", ",").alias("terms"), "admitted")
+
+
+@_query(f"""WITH d AS (SELECT *, CASE WHEN event_id % 4 = 0 THEN 'approved' WHEN event_id % 4 = 1 THEN 'rejected' END AS decision FROM events WHERE event_id % 4 < 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY event_type, decision ORDER BY user_id DESC, event_id) AS rank FROM d),
+p AS (SELECT decision, CASE decision WHEN 'approved' THEN '{review.CONTEXT_HEADS[0]}' ELSE '{review.CONTEXT_HEADS[1]}' END || string_agg('- ' || event_type || ': e' || event_id, chr(10) ORDER BY event_type, rank) AS part FROM k WHERE rank <= 5 GROUP BY decision)
+SELECT string_agg(part, chr(10) || chr(10) ORDER BY decision) AS context FROM p""")
+def decision_context(spark, sf_dir):
+    """Events as findings with decisions: the text that the next audit is given."""
+    e = _t(spark, sf_dir, "events")
+    found = e.select("event_id", F.col("event_type").alias("type"), F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("reason"))
+    return review.decision_context(_decided(spark, sf_dir), found, ["event_id"])
+
+
 _NAMES_SQL = "g AS (SELECT r_name AS zh, lower(n_name) AS en, (n_nationkey % 3)::VARCHAR AS ru FROM nation JOIN region ON n_regionkey = r_regionkey)"
 
 
@@ -978,8 +1006,8 @@ def stream_progress(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select("user_id", F.col("event_id").alias("seq"), F.col("event_type").alias("status"), "value")
     at = shared_dir(spark)
-    monitor.run_once(monitor.latest_state(rows, "user_id"), f"{at}/checkpoint", "update", lambda df, i: df.write.mode("append").parquet(f"{at}/out"))
-    return monitor.latest_state(spark.read.parquet(f"{at}/out"), "user_id")
+    monitor.run_once(monitor.latest_state(rows, "user_id"), f"{at}/checkpoint", "update", files.batch_sink(f"{at}/out", "parquet"))
+    return monitor.latest_state(spark.read.parquet(f"{at}/out").drop("batch"), "user_id")
 
 
 @_query("SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY ALL")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,11 @@ def append_progress(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
+def batch_sink(path: str, form: str = "json") -> Callable[[DataFrame, int], None]:
+    """A sink for foreachBatch that keeps each batch in a folder of its own: a batch that is replayed replaces itself."""
+    return lambda rows, batch: rows.write.mode("overwrite").format(form).save(f"{path}/batch={batch}")
+
+
 def latest_progress(rows: DataFrame, job: str = "job", seq: str = "seq") -> DataFrame:
     others = [c for c in rows.columns if c not in {job, seq}]
     return rows.groupBy(job).agg(F.max(F.struct(seq, *others)).alias("_r")).select(job, "_r.*")
