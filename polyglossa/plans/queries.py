@@ -895,6 +895,44 @@ def text_regions(spark, sf_dir):
     return recognition.text_regions(recognition.page_boxes(_drawn(spark, sf_dir)))
 
 
+_FOLDER = """c AS (SELECT conv_id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn) AS body FROM conversations GROUP BY conv_id),
+f AS (SELECT 'c_' || lpad(conv_id::VARCHAR, 8, '0') || '.txt' AS file, '# c_' || chr(10) || chr(10) || body || CASE WHEN ends_with(body, chr(10)) THEN '' ELSE chr(10) END AS body FROM c)"""
+
+
+def _folder(spark, sf_dir):
+    """Every conversation as a text file of a folder."""
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("body"))
+    texts = corpus.ordered_join(c, ["conv_id"], "turn", "body", "\n\n")
+    at = shared_dir(spark)
+    files.write_texts(texts.select(F.concat(F.lit("c_"), F.lpad(F.col("conv_id").cast("string"), 8, "0"), F.lit(".txt")).alias("file"), F.concat(F.lit("# c_\n\n"), "body").alias("value")), at)
+    return at
+
+
+@_query(f"WITH {_FOLDER} SELECT 's' AS source, 'en' AS lang, file, md5(body) AS digest, (row_number() OVER (ORDER BY file))::INT AS rank FROM f")
+def text_folder(spark, sf_dir):
+    """A folder of texts, written from conversations and read back with ranks by name."""
+    rows = files.text_files(spark, _folder(spark, sf_dir), "s", "en")
+    return rows.select("source", "lang", "file", F.md5("body").alias("digest"), "rank")
+
+
+@_query(f"WITH {_FOLDER} SELECT 'en' AS language, 'label' AS source_label, count(*) AS chapter_count, md5(string_agg(file, ',' ORDER BY file)) AS chapters FROM f")
+def import_manifest(spark, sf_dir):
+    """The manifest of the same folder after its texts have been cleaned and stored."""
+    m = files.import_text(spark, _folder(spark, sf_dir), shared_dir(spark), "en", "label")
+    return m.withColumn("chapters", F.md5(F.array_join(F.col("chapters.source_file"), ",")))
+
+
+@_query("SELECT user_id, event_id AS seq, event_type AS status FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k = 1")
+def progress_reports(spark, sf_dir):
+    """The last event of each user as a progress report in the user's folder, read back from all folders."""
+    e = files.latest_progress(_t(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), F.col("event_type").alias("status")), "user_id")
+    at = shared_dir(spark)
+    files.write_texts(e.select(F.concat(F.lit("u"), "user_id", F.lit("/progress.json")).alias("file"), F.to_json(F.struct("seq", "status")).alias("value")), at)
+    told = files.progress_files(spark, at)
+    one = lambda name, kind: F.variant_get("report", f"$.{name}", kind).alias(name)
+    return told.select(F.regexp_extract("job", r"/u(\d+)$", 1).cast("long").alias("user_id"), one("seq", "long"), one("status", "string"))
+
+
 def _some_fail(prompts):
     """Answers by the length of the prompt; every eleventh length fails."""
     out = [str(len(p)) for p in prompts if len(p) % 11]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_story, safe_filename
 from ..operators.corpus import running_totals
+from ..shared import staged
 
 IMAGES = r"(?i)\.(jpe?g|png|tiff?|webp)$"
 
@@ -56,10 +58,33 @@ def json_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
+def write_texts(rows: DataFrame, path: str) -> None:
+    """One text file a row of (file, value) under path, named as the row says and ended by a newline; file may have folders of its own.
+
+    Tasks write the texts, each under a number; then the driver gives every file its name, by the file system that the
+    path belongs to. Only names come to the driver, one after the other, as they do when Spark commits a table of so many
+    files. Files of equal names replace one another; other files under path stay.
+    """
+    spark = rows.sparkSession
+    parts = f"{path}/_parts-{uuid.uuid4().hex}"
+    numbered = staged(rows.select("file", "value").withColumn("n", F.monotonically_increasing_id()))
+    # the writer ends each text with a newline; one that it has is not doubled
+    numbered.select("n", F.regexp_replace(F.coalesce("value", F.lit("")), r"\n\z", "").alias("value")).write.partitionBy("n").option("lineSep", "\n").text(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in numbered.select("n", "file").toLocalIterator(prefetchPartitions=True):
+        target = hadoop(f"{path}/{row['file']}")
+        found = [f.getPath() for f in fs.listStatus(hadoop(f"{parts}/n={row['n']}")) if f.getPath().getName().startswith("part-")]
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        fs.rename(found[0], target)
+    fs.delete(hadoop(parts), True)
+
+
 def write_chapters(chapters: DataFrame, path: str) -> None:
-    """Text files in one folder a chapter, named by number and safe title: "# title", a blank line, the body."""
-    name = F.concat(F.lpad(F.col("chapter").cast("string"), 4, "0"), F.lit("_"), safe_filename(F.col("title")))
-    chapters.select(name.alias("file"), F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("body")).alias("value")).write.mode("overwrite").partitionBy("file").text(path)
+    """Text files named by number and safe title, NNNN_title.txt: "# title", a blank line, the body."""
+    name = F.concat(F.lpad(F.col("chapter").cast("string"), 4, "0"), F.lit("_"), safe_filename(F.col("title")), F.lit(".txt"))
+    write_texts(chapters.select(name.alias("file"), F.concat(F.lit("# "), F.col("title"), F.lit("\n\n"), F.col("body")).alias("value")), path)
 
 
 def write_report(report: DataFrame, path: str, indent: bool = False) -> None:

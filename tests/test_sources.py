@@ -59,7 +59,18 @@ def test_files(spark, tmp_path):
     with pytest.raises(ValueError, match="no text files"):
         files.import_text(spark, f"file://{tmp_path}/none", f"file://{tmp_path}/o2", "en", "l")
     files.write_chapters(spark.createDataFrame([(1, "T", "b")], "chapter int, title string, body string"), f"file://{tmp_path}/chapters")
-    assert spark.read.text(f"file://{tmp_path}/chapters", wholetext=True).first()["value"].startswith("# T\n\nb")
+    assert (tmp_path / "chapters" / "0001_T.txt").read_text() == "# T\n\nb\n"
+
+
+def test_written_texts(spark, tmp_path):
+    rows = spark.createDataFrame([("a/progress.json", '{"x":1}\n'), ("a/b.txt", "one\n\ntwo"), ("0007_é ж.txt", None)], "file string, value string").repartition(3)
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "old.txt").write_text("stays")
+    for _ in range(2):
+        files.write_texts(rows, f"file://{tmp_path}/out")
+    got = {str(f.relative_to(tmp_path / "out")): f.read_text() for f in (tmp_path / "out").rglob("*") if f.is_file() and not f.name.startswith(".")}
+    assert got == {"a/progress.json": '{"x":1}\n', "a/b.txt": "one\n\ntwo\n", "0007_é ж.txt": "\n", "old.txt": "stays"}
+    assert [r["job"].rsplit("/", 1)[1] for r in files.progress_files(spark, f"file://{tmp_path}/out").collect()] == ["a"]
 
 
 def test_crawl(spark, tmp_path):
