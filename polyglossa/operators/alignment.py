@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import staged
+from .corpus import running_totals
+
 #: Cost of every paragraph beyond one in a block, and what an empty side costs where it is allowed.
 STEP_PENALTY, GAP_COST = 0.025, 0.2
 
@@ -251,6 +254,41 @@ def bridge(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter", extras:
     return gathered.mapInPandas(of, f"{chapter} {kind}, unit int, zh array<int>, en array<int>, ru array<int>")
 
 
+def bridge_by_links(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter") -> DataFrame:
+    """bridge without extras for chapters of any size: no task holds a chapter, only the rows of a number or of a group.
+
+    Every group points at the smallest group known in its component. In a round a group sees, through the numbers that
+    it shares, the smallest pointer's pointer among its neighbours; it, and the group that it points at, take that one,
+    and pointers are followed once more. Rounds end when nothing changes, after about the logarithm of the longest chain.
+    Each is written to the shared folder.
+    """
+    side = lambda df, k, en, own: df.select(F.col(chapter).alias("chapter"), (F.col("g").cast("long") * 2 + k).alias("node"), F.col(en).alias("en"), F.col(own).alias("own"))
+    groups = side(zh_en, 0, "right", "left").unionByName(side(en_ru, 1, "left", "right"))
+    links = staged(groups.select("chapter", "node", F.explode("en").alias("number")).distinct())
+    at = staged(groups.select("chapter", "node", F.col("node").alias("top")))
+    while True:
+        tops = at.select("chapter", F.col("node").alias("top"), F.col("top").alias("above"))
+        seen = at.join(tops, ["chapter", "top"], "left").select("chapter", "node", "top", F.coalesce("above", "top").alias("above"))
+        least = links.join(seen.select("chapter", "node", "above"), ["chapter", "node"]).groupBy("chapter", "number").agg(F.min("above").alias("above"))
+        near = links.join(least, ["chapter", "number"]).groupBy("chapter", "node").agg(F.min("above").alias("near"))
+        both = seen.join(near, ["chapter", "node"], "left").withColumn("near", F.least("above", F.coalesce("near", "above")))
+        # own pointer, and the pointer of the group pointed at
+        told = both.select("chapter", "node", F.col("near").alias("new")).unionByName(both.select("chapter", F.col("top").alias("node"), F.col("near").alias("new")))
+        best = told.groupBy("chapter", "node").agg(F.min("new").alias("new"))
+        at = staged(at.join(best, ["chapter", "node"]).select("chapter", "node", F.least("top", "new").alias("top"), (F.col("new") < F.col("top")).alias("moved")))
+        done = at.where("moved").isEmpty()
+        at = at.select("chapter", "node", "top")
+        if done:
+            break
+    member = groups.join(at, ["chapter", "node"]).withColumn("zh_group", F.col("node") % 2 == 0)
+    gathered = lambda c, mine=None: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(mine, F.col(c)) if mine is not None else F.col(c)))))
+    units = member.groupBy("chapter", "top").agg(
+        F.min(F.when(F.col("zh_group"), F.col("node"))).alias("first"), gathered("own", F.col("zh_group")).alias("zh"), gathered("en").alias("en"), gathered("own", ~F.col("zh_group")).alias("ru")
+    ).where("first IS NOT NULL")
+    numbered = running_totals(units, ["chapter"], ["first"], {"unit": F.lit(1)})
+    return numbered.select(F.col("chapter").alias(chapter), (F.col("unit") + 1).cast("int").alias("unit"), "zh", "en", "ru")
+
+
 def weak_context(groups: DataFrame, chapter: str = "chapter", minimum: float = 0.65, around: int = 2) -> DataFrame:
     """The groups around the first one below the minimum: chapter, first_suspect_group, g, left, right, similarity.
 

@@ -457,6 +457,11 @@ def bridge_components(spark, sf_dir):
     return _flat(alignment.bridge(*_groupings(spark, sf_dir), "doc_id"))
 
 
+@_query(f"WITH {_BRIDGE} SELECT doc_id, unit::INT AS unit, {_BRIDGE_OUT} FROM u GROUP BY doc_id, unit")
+def bridge_by_links(spark, sf_dir):
+    return _flat(alignment.bridge_by_links(*_groupings(spark, sf_dir), "doc_id"))
+
+
 # Groups are runs of paragraphs, so that components are runs too: one ends where no kept group holds both neighbours.
 _EXTRAS = _PARAGRAPHS + """,
 r AS (SELECT doc_id, p, coalesce(sum(length(paragraph)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM ps),

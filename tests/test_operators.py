@@ -179,3 +179,18 @@ def test_running_totals_need_no_single_task(spark):
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
     assert corpus.running_totals(rows, [], ["o", "g"], {"rank": F.lit(1)}).agg(F.sum("rank"), F.count_distinct("rank")).first()[:] == (3000 * 2999 // 2, 3000)
     assert corpus.running_totals(rows.limit(0), ["g"], ["o"], {"rank": F.lit(1)}).count() == 0
+
+
+def test_bridge_by_links_equals_bridge(spark):
+    """Random groups, a chain of a thousand links in one chapter, and groups that share nothing."""
+    import random
+
+    r = random.Random(3)
+    schema = "chapter int, g int, left array<int>, right array<int>"
+    rows = [[(c, g, [g], sorted(r.sample(range(30), r.randint(0, 3)))) for c in range(6) for g in range(1, 12)] for _ in range(2)]
+    a = spark.createDataFrame(rows[0] + [(99, g, [g], [2 * g, 2 * g + 1]) for g in range(1, 500)], schema)
+    b = spark.createDataFrame([(c, g, en, own) for c, g, own, en in rows[1]] + [(99, g, [2 * g + 1, 2 * g + 2], [g]) for g in range(1, 499)], schema)
+    flat = lambda df: sorted((u["chapter"], u["unit"], u["zh"], u["en"], u["ru"]) for u in df.collect())
+    got = flat(alignment.bridge_by_links(a, b))
+    assert got == flat(alignment.bridge(a, b)) and [u[1] for u in got if u[0] == 99] == [1]
+    assert alignment.bridge_by_links(a.limit(0), b.limit(0)).count() == 0
