@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,6 +96,27 @@ def pages_with_photos(pages: DataFrame, photos: DataFrame) -> DataFrame:
     return pages.join(photos.select(stem.alias("stem"), "path").groupBy("stem").agg(F.min("path").alias("photo")), "stem", "left")
 
 
+#: The automaton of the glossary that a worker used last.
+_LAST: dict = {}
+
+
+def _machine(name: str, terms: list[dict]):
+    """An automaton of the terms, built once a worker and glossary."""
+    if name not in _LAST:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        by: dict[str, list[int]] = {}
+        for i, t in enumerate(terms):
+            by.setdefault(t["en"], []).append(i)
+        for term, which in by.items():
+            machine.add_word(term, which)
+        machine.make_automaton()
+        _LAST.clear()
+        _LAST[name] = machine
+    return _LAST[name]
+
+
 def glossary_violations(units: DataFrame, glossary: DataFrame) -> DataFrame:
     """Units whose source has a glossary term and whose Russian text lacks its translation, with the glossary's columns.
 
@@ -104,21 +127,15 @@ def glossary_violations(units: DataFrame, glossary: DataFrame) -> DataFrame:
     if len(terms) > TERMS:
         raise ValueError(f"a glossary has at most {TERMS} terms")
     own, added = units.columns, [f for f in glossary.schema.fields]
+    told = units.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [t.asDict() for t in terms]))
 
     def of(batches):
-        import ahocorasick
-
-        machine = ahocorasick.Automaton()
-        by: dict[str, list[int]] = {}
-        for i, t in enumerate(terms):
-            by.setdefault(t["en"], []).append(i)
-        for term, which in by.items():
-            machine.add_word(term, which)
-        machine.make_automaton()
+        name, terms = told.value
+        machine = _machine(name, terms)
         for pdf in batches:
             hits = []
             for k, (source, russian) in enumerate(zip(pdf["en_text"], pdf["ru_text"], strict=True)):
-                if by and source is not None and russian is not None:
+                if terms and source is not None and russian is not None:
                     found = {i for _, which in machine.iter(source) for i in which}
                     hits += [(k, i) for i in sorted(found) if terms[i]["ru"] is not None and terms[i]["ru"] not in russian]
             out = pdf[own].iloc[[k for k, _ in hits]].reset_index(drop=True)
