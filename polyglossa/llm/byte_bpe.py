@@ -221,14 +221,21 @@ class Encoder:
                 yield memoryview(ids[id_ends[a] : id_ends[b]]).cast("B"), memoryview(raw[raw_ends[a] : raw_ends[b]])
 
 
-def _gathered(parts: list[bytes], codes: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """The parts at these places one after another, and where each begins (and the last ends)."""
+def _gathered(parts: list[bytes], codes: np.ndarray, kind: type, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The parts at these places one after another, and where each begins (and the last ends).
+
+    About `step` items are put together at a time, so that the places they come from take bounded memory beside the result.
+    """
     pool = np.frombuffer(b"".join(parts), kind)
     size = np.array([len(p) for p in parts], np.int64) // np.dtype(kind).itemsize
-    n = size[codes]
-    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
-    first = (np.cumsum(size) - size)[codes] - ends[:-1]
-    return pool[np.repeat(first, n) + np.arange(ends[-1])], ends
+    begin = np.cumsum(size) - size
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size[codes])])
+    out = np.empty(ends[-1], kind)
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1], step)))
+    for a, b in itertools.pairwise([*cuts.tolist(), len(codes)]):
+        first, n = begin[codes[a:b]] - ends[a:b], size[codes[a:b]]
+        out[ends[a] : ends[b]] = pool[np.repeat(first, n) + np.arange(ends[a], ends[b])]
+    return out, ends
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
