@@ -12,6 +12,8 @@ from .corpus import running_totals
 
 #: Cost of every paragraph beyond one in a block, and what an empty side costs where it is allowed.
 STEP_PENALTY, GAP_COST = 0.025, 0.2
+#: Rows a side of a tile of scores.
+TILE = 512
 
 
 def block_means(x: np.ndarray, k: int) -> np.ndarray:
@@ -182,6 +184,39 @@ def align_blocks(vectors: DataFrame, chapter: str = "chapter", max_group: int =
     return vectors.select(chapter, "side", "p", "embedding").groupBy(chapter).applyInPandas(of, f"{chapter} {kind}, g int, left array<int>, right array<int>, similarity double")
 
 
+def score_blocks(vectors: DataFrame, chapter: str = "chapter", a: int = 1, b: int = 1, tile: int = TILE) -> DataFrame:
+    """(chapter, i, j, score): block_scores of every `a` left and `b` right rows that follow each other, by their first rows.
+
+    vectors: (chapter, side 'left'/'right', p from 1 without gaps, embedding). The table of a chapter is cut into tiles of
+    `tile` rows a side, each the work of one task: it holds 2 * tile vectors and tile * tile scores, whatever the size of
+    a chapter. Rows go once to every tile of their row or column; the last rows of a block also to the tile before.
+    """
+    own = vectors.where(F.col(chapter).isNotNull()).select(chapter, "side", "p", "embedding")
+    counts = own.groupBy(chapter).agg(*(F.ceil(F.max(F.when(F.col("side") == s, F.col("p"))) / tile).alias(f"_{s}") for s in ("left", "right")))
+
+    def dealt(side: str, other: str, k: int, at: str, across: str) -> DataFrame:
+        first = F.greatest(F.floor((F.col("p") - k) / tile), F.lit(0))
+        rows = own.where(F.col("side") == side).select(chapter, "p", "embedding", F.explode(F.sequence(first, F.floor((F.col("p") - 1) / tile))).alias(at))
+        return rows.join(counts.where(f"_{other} > 0"), chapter).select(
+            # new names of the same columns tell the two sides apart
+            *(F.col(c).alias(c) for c in (chapter, "p", "embedding", at)), F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_{other}") - 1)).alias(across)
+        )
+
+    def of(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if len(left) < a or len(right) < b:
+            return pd.DataFrame(columns=[chapter, "i", "j", "score"], dtype=object)
+        left, right = left.sort_values("p"), right.sort_values("p")
+        s = block_scores(*(np.stack(x["embedding"].to_numpy()).astype(float) for x in (left, right)), a, b)[:tile, :tile]
+        i, j = np.indices(s.shape, np.int32)
+        i, j = i.ravel() + np.int32(left["p"].iloc[0]), j.ravel() + np.int32(right["p"].iloc[0])
+        return pd.DataFrame({chapter: left[chapter].to_numpy()[:1].repeat(s.size), "i": i, "j": j, "score": s.ravel()})
+
+    key = [chapter, "row", "column"]
+    lefts, rights = dealt("left", "right", a, "row", "column"), dealt("right", "left", b, "column", "row")
+    kind = dict(vectors.dtypes)[chapter]
+    return lefts.groupBy(*key).cogroup(rights.groupBy(*key)).applyInPandas(of, f"{chapter} {kind}, i int, j int, score double")
+
+
 def coverage(groups: DataFrame, chapter: str = "chapter") -> DataFrame:
     """Group count and covered paragraphs of each side."""
     return groups.where("g > 0").groupBy(chapter).agg(F.count("*").alias("groups"), F.sum(F.size("left")).alias("left_covered"), F.sum(F.size("right")).alias("right_covered"))

@@ -194,3 +194,20 @@ def test_bridge_by_links_equals_bridge(spark):
     got = flat(alignment.bridge_by_links(a, b))
     assert got == flat(alignment.bridge(a, b)) and [u[1] for u in got if u[0] == 99] == [1]
     assert alignment.bridge_by_links(a.limit(0), b.limit(0)).count() == 0
+
+
+def test_scores_of_tiles_equal_those_of_whole_chapters(spark):
+    rng = np.random.default_rng(7)
+    sides = {("a", "left"): 9, ("a", "right"): 11, ("b", "left"): 4, ("b", "right"): 1, ("c", "left"): 1, ("c", "right"): 6, ("d", "left"): 5}
+    x = {k: rng.normal(size=(n, 3)) for k, n in sides.items()}
+    rows = [(c, s, p + 1, v.tolist()) for (c, s), own in x.items() for p, v in enumerate(own)]
+    vectors = spark.createDataFrame(rows, "chapter string, side string, p int, embedding array<double>")
+    for a, b in ((2, 1), (1, 3), (2, 2)):
+        want = {}
+        for c in "abc":
+            left, right = x[c, "left"], x[c, "right"]
+            if len(left) >= a and len(right) >= b:
+                want |= {(c, i + 1, j + 1): s for (i, j), s in np.ndenumerate(alignment.block_scores(left, right, a, b))}
+        found = alignment.score_blocks(vectors, a=a, b=b, tile=4).collect()
+        assert len(found) == len(want)
+        assert {(r["chapter"], r["i"], r["j"]): pytest.approx(r["score"]) for r in found} == want
