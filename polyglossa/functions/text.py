@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,13 +14,18 @@ EDITOR_NOTE = r"(?iuU)(?:прим\.\s*ред\.|примечани[ея]\s+пер
 EMPTY_DIALOGUE = ("…", "...", "«…»", '"…"', '"..."')
 LINE_BREAK = "\\r\\n|[\\n\\x0B\\f\\r\\x1C-\\x1E\\x85\\u2028\\u2029]"
 #: White space as Python's strip() sees it.
-_WS = r"[\s\x1C-\x1F\x85]"
+WS = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 CYRILLIC = "А-Яа-яЁё"
 
 
 def trim_ws(c: Column) -> Column:
     """Strips all Unicode white space, not blanks alone."""
-    return F.regexp_replace(c, f"(?U)^{_WS}+|{_WS}+$", "")
+    return F.btrim(c, F.lit(WS))
+
+
+def bound(c: Column, of: Callable[[Column], Column]) -> Column:
+    """of(c), with c worked out once for all its uses, which would repeat the expression that makes it."""
+    return F.get(F.transform(F.array(c), of), 0)
 
 
 def _parts(c: Column, pattern: str) -> Column:
@@ -48,9 +53,7 @@ def clean_story(text: Column, separator: str = r"(?U)\n\s*\n", between: str = "\
         return (b != "") & ~bad
 
     blocks = F.filter(F.transform(_parts(F.regexp_replace(text, FOOTNOTE, ""), separator), block), keep)
-    # bound once: each mention of blocks would repeat the whole chain
-    ended = lambda bs: F.concat(joined(bs, between), F.when(F.size(bs) > 0, "\n").otherwise(""))
-    return F.get(F.transform(F.array(blocks), ended), 0)
+    return bound(blocks, lambda bs: F.concat(joined(bs, between), F.when(F.size(bs) > 0, "\n").otherwise("")))
 
 
 def paragraphs(text: Column, separator: str = "\n\n") -> Column:

@@ -65,6 +65,11 @@ def test_ocr_page(spark):
     assert of(spark, "| Привет, сло- |\nво мир\n~~ ab ~~\n\nДа\n", ocr.clean_page) == "Привет, слово мир\nДа\n"
 
 
+def test_ocr_page_strips_as_sql_does(spark):
+    assert of(spark, "привет |\r", ocr.clean_page) == "привет |\n"
+    assert of(spark, "\u2003\t| раз \t два  три- \n\t четыре~\n\n\n \nпять\u00a0", ocr.clean_page) == "| раз два тричетыре\nпять\n"
+
+
 def test_ocr_lines(spark):
     assert of(spark, "OH сказал|нет.Да кто-то", ocr.clean_line) == "ОН сказалнет.Да кто-то"
     assert of(spark, "ОН сказалнет.Да кто-то", ocr.review_reasons) == ["missing_space_after_sentence", "hyphenated_word_requires_photo_check"]
