@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ocr import clean_line, dehyphenate, lines, review_reasons
+from ..functions.text import bound
 
 FINAL = ("approved", "rejected")
 #: Most terms of a glossary, which goes to every task.
@@ -48,8 +49,10 @@ def findings_with_units(findings: DataFrame, units: DataFrame, key: list[str]) -
 
 def ocr_candidates(drafts: DataFrame, line_map: DataFrame | None = None) -> DataFrame:
     """Lines that need a look: chapter, id, line, raw, cleaned, reasons, and the page line of the optional map."""
-    rows = drafts.select("chapter", F.posexplode(lines(F.col("body"))).alias("line", "raw")).withColumn("line", F.col("line") + 1)
-    rows = rows.withColumn("cleaned", clean_line(F.col("raw"))).withColumn("reasons", review_reasons(F.col("cleaned"))).where(F.size("reasons") > 0)
+    # a line is cleaned and judged inside the array: the filter on columns of a later select would repeat both
+    judged = lambda raw: bound(clean_line(raw), lambda c: F.struct(raw.alias("raw"), c.alias("cleaned"), review_reasons(c).alias("reasons")))
+    rows = drafts.select("chapter", F.posexplode(F.transform(lines(F.col("body")), judged)).alias("line", "_line")).where(F.size("_line.reasons") > 0)
+    rows = rows.select("chapter", (F.col("line") + 1).alias("line"), "_line.raw", "_line.cleaned", "_line.reasons")
     rows = rows.withColumn("id", F.row_number().over(Window.partitionBy("chapter").orderBy("line")))
     if line_map is None:
         return rows

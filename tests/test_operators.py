@@ -211,3 +211,13 @@ def test_scores_of_tiles_equal_those_of_whole_chapters(spark):
         found = alignment.score_blocks(vectors, a=a, b=b, tile=4).collect()
         assert len(found) == len(want)
         assert {(r["chapter"], r["i"], r["j"]): pytest.approx(r["score"]) for r in found} == want
+
+
+def test_candidate_lines_are_cleaned_once(spark):
+    drafts = spark.createDataFrame([(1, "а#б\nпросто\nкто-то.Да\n"), (2, None), (3, "")], "chapter long, body string")
+    found = review.ocr_candidates(drafts)
+    assert [(r["chapter"], r["id"], r["line"], r["raw"], r["reasons"]) for r in found.orderBy("chapter", "id").collect()] == [
+        (1, 1, 1, "а#б", ["ocr_symbols_remain"]),
+        (1, 2, 3, "кто-то.Да", ["missing_space_after_sentence", "hyphenated_word_requires_photo_check"]),
+    ]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("|©") == 1
