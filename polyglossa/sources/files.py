@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_story, safe_filename
 from ..operators.corpus import running_totals
-from ..shared import staged
+from ..shared import spread
 
 IMAGES = r"(?i)\.(jpe?g|png|tiff?|webp)$"
 
@@ -61,24 +62,34 @@ def json_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write_texts(rows: DataFrame, path: str) -> None:
     """One text file a row of (file, value) under path, named as the row says and ended by a newline; file may have folders of its own.
 
-    Tasks write the texts, each under a number; then the driver gives every file its name, by the file system that the
-    path belongs to. Only names come to the driver, one after the other, as they do when Spark commits a table of so many
-    files. Files of equal names replace one another; other files under path stay.
+    Tasks write the texts under their names, each first beside its place and then moved there, so that a task that runs
+    twice does no harm and no reader sees half a file; nothing comes to the driver. Files of equal names replace one
+    another; other files under path stay. The path's file system is one that Arrow knows.
     """
-    spark = rows.sparkSession
-    parts = f"{path}/_parts-{uuid.uuid4().hex}"
-    numbered = staged(rows.select("file", "value").withColumn("n", F.monotonically_increasing_id()))
-    # the writer ends each text with a newline; one that it has is not doubled
-    numbered.select("n", F.regexp_replace(F.coalesce("value", F.lit("")), r"\n\z", "").alias("value")).write.partitionBy("n").option("lineSep", "\n").text(parts)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in numbered.select("n", "file").toLocalIterator(prefetchPartitions=True):
-        target = hadoop(f"{path}/{row['file']}")
-        found = [f.getPath() for f in fs.listStatus(hadoop(f"{parts}/n={row['n']}")) if f.getPath().getName().startswith("part-")]
-        fs.mkdirs(target.getParent())
-        fs.delete(target, False)
-        fs.rename(found[0], target)
-    fs.delete(hadoop(parts), True)
+
+    def of(batches):
+        from pyarrow import fs
+
+        here = re.match("(?:file:)?(/.*)", path)
+        files, top = (fs.LocalFileSystem(), re.sub("^/+", "/", here[1])) if here else fs.FileSystem.from_uri(path)
+        made = set()
+        for batch in batches:
+            for file, value in zip(batch["file"].to_pylist(), batch["value"].to_pylist(), strict=True):
+                folder, _, name = f"{top.rstrip('/')}/{file}".rpartition("/")
+                if folder not in made:
+                    files.create_dir(folder, recursive=True)
+                    made.add(folder)
+                # readers pass over names that begin with an underscore
+                beside = f"{folder}/_{uuid.uuid4().hex}"
+                with files.open_output_stream(beside) as out:
+                    out.write((value or "").removesuffix("\n").encode() + b"\n")
+                # the checksum that Hadoop keeps beside a file that it wrote is not the new one's
+                if here and files.get_file_info(f"{folder}/.{name}.crc").type != fs.FileType.NotFound:
+                    files.delete_file(f"{folder}/.{name}.crc")
+                files.move(beside, f"{folder}/{name}")
+            yield batch.slice(0, 0).select(["file"])
+
+    spread(rows.select("file", "value"), "file").mapInArrow(of, "file string").write.format("noop").mode("overwrite").save()
 
 
 def write_chapters(chapters: DataFrame, path: str) -> None:

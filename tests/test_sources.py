@@ -74,6 +74,21 @@ def test_written_texts(spark, tmp_path):
     assert [r["job"].rsplit("/", 1)[1] for r in files.progress_files(spark, f"file://{tmp_path}/out").collect()] == ["a"]
 
 
+def test_texts_are_written_by_tasks(spark, tmp_path):
+    out = f"file://{tmp_path}/a b"
+    # a file that Hadoop wrote with its checksum is replaced
+    spark.createDataFrame([("old",)], "value string").coalesce(1).write.text(out)
+    name = next(f.name for f in (tmp_path / "a b").iterdir() if f.suffix == ".txt")
+    rows = spark.range(40).select(F.format_string("u%d/t.txt", "id").alias("file"), F.col("id").cast("string").alias("value"))
+    tracker, group = spark.sparkContext.statusTracker(), "written-texts"
+    spark.sparkContext.setJobGroup(group, group)
+    files.write_texts(rows.unionByName(spark.createDataFrame([(name, "new")], "file string, value string")), out)
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert max(tracker.getStageInfo(s).numTasks for s in stages) >= 8 and len(tracker.getJobIdsForGroup(group)) <= 2
+    assert [r[0] for r in spark.read.text(f"{out}/{name}").collect()] == ["new"]
+    assert sorted(int(r[0]) for r in spark.read.text(f"{out}/u*/t.txt").collect()) == list(range(40))
+
+
 def test_crawl(spark, tmp_path):
     asked = []
 
