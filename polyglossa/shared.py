@@ -26,7 +26,7 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """df dealt out over all cores by a key: costly work on a table of few files is not left to a task a file."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt out over all cores by its keys: costly work on a table of few files is not left to a task a file."""
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), key)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *keys)

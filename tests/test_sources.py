@@ -176,6 +176,12 @@ def test_regions_of_pages_equal_the_crop_of_each(spark):
     assert seen["body"].strip() == f"ширина {300 - 2 * round(300 * pages.MARGIN)} точек"
 
 
+@pytest.mark.parametrize("name", ["page_boxes", "text_regions"])
+def test_pages_are_drawn_by_all_cores(spark, name):
+    plan = plans.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_failure_gate(spark, tmp_path):
     rows = [("a", i, False) for i in range(3)] + [("b", 0, False), ("b", 1, True), ("b", 2, False)]
     spark.createDataFrame(rows, "job string, seq long, ok boolean").write.parquet(f"file://{tmp_path}/in")
