@@ -14,6 +14,8 @@ from ..functions.text import bound
 FINAL = ("approved", "rejected")
 #: Most terms of a glossary, which goes to every task.
 TERMS = 200_000
+#: Up to so many terms are looked for by column expressions, without Python.
+FEW = 64
 OCR_FINAL = ("approved", "manual_fix", "leave_as_is")
 
 
@@ -123,13 +125,17 @@ def _machine(name: str, terms: list[dict]):
 def glossary_violations(units: DataFrame, glossary: DataFrame) -> DataFrame:
     """Units whose source has a glossary term and whose Russian text lacks its translation, with the glossary's columns.
 
-    Terms may stand anywhere in a text, inside words too: an automaton of all terms finds them in one pass over a text. A
-    glossary of more than TERMS rows is an error.
+    Terms may stand anywhere in a text, inside words too. A few terms are looked for one by one, so that no text leaves
+    the JVM; an automaton of many finds them in one pass over a text. A glossary of more than TERMS rows is an error.
     """
     terms = glossary.where(F.col("en") != "").dropDuplicates().limit(TERMS + 1).collect()
     if len(terms) > TERMS:
         raise ValueError(f"a glossary has at most {TERMS} terms")
     own, added = units.columns, [f for f in glossary.schema.fields]
+    if 0 < len(terms) <= FEW:
+        lacks = lambda t: F.contains("en_text", F.lit(t["en"])) & ~F.contains("ru_text", F.lit(t["ru"]).cast("string"))
+        found = (F.when(lacks(t), F.struct(*(F.lit(t[f.name]).cast(f.dataType).alias(f.name) for f in added))) for t in terms)
+        return units.select(*own, F.inline(F.array_compact(F.array(*found))))
     told = units.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [t.asDict() for t in terms]))
 
     def of(batches):
@@ -141,8 +147,11 @@ def glossary_violations(units: DataFrame, glossary: DataFrame) -> DataFrame:
                 if terms and source is not None and russian is not None:
                     found = {i for _, which in machine.iter(source) for i in which}
                     hits += [(k, i) for i in sorted(found) if terms[i]["ru"] is not None and terms[i]["ru"] not in russian]
-            out = pdf[own].iloc[[k for k, _ in hits]].reset_index(drop=True)
-            yield out.assign(**{f.name: pd.Series([terms[i][f.name] for _, i in hits], dtype=object) for f in added})
+            # a text stands once for each hit, so that hits leave some at a time
+            for at in range(0, len(hits), 256):
+                some = hits[at : at + 256]
+                out = pdf[own].iloc[[k for k, _ in some]].reset_index(drop=True)
+                yield out.assign(**{f.name: pd.Series([terms[i][f.name] for _, i in some], dtype=object) for f in added})
 
     fields = [*units.schema.fields, *added]
     return units.mapInPandas(of, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields))

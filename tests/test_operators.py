@@ -221,3 +221,16 @@ def test_candidate_lines_are_cleaned_once(spark):
         (1, 2, 3, "кто-то.Да", ["missing_space_after_sentence", "hyphenated_word_requires_photo_check"]),
     ]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("|©") == 1
+
+
+def test_few_terms_need_no_python(spark, monkeypatch):
+    texts = [("the cat", "foo"), ("the cat", "no"), ("THE", "x"), (None, "x"), ("the", None), ("and the", "bar")]
+    units = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "chapter int, en_text string, ru_text string")
+    glossary = spark.createDataFrame([("a", "the", "foo"), ("b", "and", None), ("c", "cat", ""), ("d", "", "x"), ("a", "the", "bar")], "zh string, en string, ru string")
+    few = review.glossary_violations(units, glossary)
+    assert "MapIn" not in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(review, "FEW", 0)
+    many = review.glossary_violations(units, glossary)
+    assert few.columns == many.columns
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    assert few.count() == 4
