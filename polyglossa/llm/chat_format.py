@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import staged, table, written
 
 #: Marks of a turn that is read, and of one that is learned.
 READ, LEARNED = ("[INST]", "[/INST]"), ("<s>", "</s>")
@@ -78,33 +77,33 @@ def chat_format(nodes: DataFrame, branches: int | None = 1, learned: str = "assi
     nodes = nodes.where("node IS NOT NULL").withColumn("tree", F.struct("tree"))
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     light = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum")).join(known, ["tree", "parent"], "left")
-    open_ = staged(light.select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "sum", F.lit(1).cast("long").alias("n")), "jumps")
-    jumps: list[DataFrame] = []
+    first = light.select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "sum", F.lit(1).cast("long").alias("n"))
+    rounds = [written(first, "jumps")]
+    # However many rounds there were, one scan reads them: plans stay small, and so does the driver's memory.
+    read = lambda *paths: nodes.sparkSession.read.schema(first.schema).parquet(*paths)
     most = 0
-    done = [open_.where("up IS NULL")]
     # Only nodes that have not met their root yet are joined again; those that have are set aside.
-    while not open_.where("up IS NOT NULL").isEmpty():
+    while not (still := read(rounds[-1]).where("up IS NOT NULL")).isEmpty():
         # After k jumps a node has met its 2^k-th ancestor: more than there are nodes are a circle.
-        most = most or (light.count() if len(jumps) > 3 else 0)
-        if most and 2 ** len(jumps) > 2 * most:
+        most = most or (read(rounds[0]).count() if len(rounds) > 4 else 0)
+        if most and 2 ** (len(rounds) - 1) > 2 * most:
             raise ValueError("the parents of a tree form a circle")
-        still = open_.where("up IS NOT NULL")
-        jumps.append(still.select("tree", "node", "up"))
-        above = reduce(DataFrame.unionByName, [still, *done]).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("n").alias("n2"))
-        open_ = still.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.col("sum2")).alias("sum"), (F.col("n") + F.col("n2")).alias("n"))
-        open_ = staged(open_, "jumps")
-        done.append(open_.where("up IS NULL"))
-    level = reduce(DataFrame.unionByName, done)
-    inner = jumps[0].select("tree", F.col("up").alias("node")).distinct() if jumps else level.select("tree", "node").limit(0)
-    leaves = level.join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), (F.col("sum") / F.col("n")).alias("path_score"), "n")
+        above = still.unionByName(read(*rounds).where("up IS NULL")).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("n").alias("n2"))
+        farther = still.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("sum") + F.col("sum2")).alias("sum"), (F.col("n") + F.col("n2")).alias("n"))
+        rounds.append(written(farther, "jumps"))
+    jumps = [read(path).where("up IS NOT NULL").select("tree", "node", "up") for path in rounds[:-1]]
+    inner = read(rounds[0]).where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+    leaves = read(*rounds).where("up IS NULL").join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), (F.col("sum") / F.col("n")).alias("path_score"), "n")
     if branches is not None:
         best = Window.partitionBy("tree").orderBy(F.desc("path_score"), F.desc("n"), "leaf")
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= branches).drop("_rank")
-    path = leaves.select("tree", "leaf", "path_score", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("back"))
+    path = staged(leaves.select("tree", "leaf", "path_score", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("back")), "paths")
     for k in range(len(jumps) - 1, -1, -1):
-        # Each row goes on as itself and, where it reaches so far, as its ancestor; one join a level, no self-union.
+        # Each row goes on as itself and, where it reaches so far, as its ancestor; one join a level, no self-union, and a
+        # table a level, as one plan of all levels would have the driver keep their joins at once.
         both = F.array(F.struct("node", "back"), F.struct(F.col("up").alias("node"), (F.col("back") + 2**k).alias("back")))
         path = path.join(jumps[k], ["tree", "node"], "left").select("tree", "leaf", "path_score", F.inline(F.filter(both, lambda x: x["node"].isNotNull())))
+        path = staged(path, "paths")
     turn = F.struct((-F.col("back")).alias("at"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = path.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).groupBy("tree", "leaf", "path_score").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 

@@ -38,11 +38,16 @@ def staged(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
 
     partitions deals the reread rows out again, where the table is small in bytes but costly to work on.
     """
+    out = df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+    return out.repartition(partitions) if partitions else out
+
+
+def written(df: DataFrame, name: str) -> str:
+    """The path in the shared folder that df was written to as Parquet."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    return out.repartition(partitions) if partitions else out
+    return path
 
 
 def told_apart(docs: DataFrame, doc_id: str) -> tuple[DataFrame, str]:

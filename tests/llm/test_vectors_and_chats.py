@@ -133,6 +133,18 @@ def test_reply_trees(spark):
     assert chat_format.chat_format(nodes.limit(0)).count() == 0
 
 
+def test_plans_do_not_grow_with_the_depth_of_a_tree(spark):
+    """However deep a tree is, the driver holds a plan of a few joins: levels are tables."""
+    schema = "tree long, node long, parent long, role string, text string, score double"
+    joins = []
+    for depth in (5, 200):
+        nodes = spark.createDataFrame([(1, i, i - 1 or None, "user", str(i), 0.0) for i in range(1, depth + 1)], schema)
+        done = chat_format.chat_format(nodes)
+        assert [t for _, t in chat_format.read_turns(done.first()["formatted"])] == [str(i) for i in range(1, depth + 1)]
+        joins.append(done._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+    assert joins[0] == joins[1] <= 2
+
+
 def test_conversations_without_id(spark):
     c = spark.createDataFrame([(None, 1, "user", "a"), (None, 2, "assistant", "b"), (2**60 + 1, 1, "user", "z")], "conv_id long, turn long, role string, text string")
     got = {r["tree"]: chat_format.read_turns(r["formatted"]) for r in chat_format.chat_format(chat_format.chains(c)).collect()}
