@@ -33,7 +33,7 @@ from .common import components, local_roots, named, staged, table, tidy, told_ap
 THRESHOLD, RECALL = 0.93, 0.9995
 #: Lines, and half the width of a window in distances of a pair of the threshold.
 LINES, WIDTH = 40, 1.0
-#: Vectors of a block, parts that one projection cuts a block into, and projections that cut.
+#: Vectors of a block, most parts that one projection cuts a block into, and projections that cut.
 BLOCK, BRANCHES, LEVELS = 2048, 16, 5
 
 
@@ -107,6 +107,9 @@ def _blocks(placed: DataFrame, block: int) -> DataFrame:
         big = at.groupBy(*_BLOCK).agg(F.count("*").alias("n"), F.percentile_approx(own, quantiles, 1000).alias("cuts")).where(F.col("n") > block)
         if big.isEmpty():
             break
+        # no more parts than bring a block under its size: each one more is a journey more of all vectors of a label
+        every = F.greatest(F.lit(1), F.lit(BRANCHES) / F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / block)))).cast("int")
+        big = big.withColumn("every", every).withColumn("cuts", F.filter("cuts", lambda c, i: (i + 1) % F.col("every") == 0)).drop("every")
         # approximate quantiles may repeat or miss; any cuts are right, they only decide sizes
         part = F.coalesce(F.size(F.filter("cuts", lambda c: c < own)), F.lit(0))  # noqa: B023
         at = at.join(big.drop("n"), _BLOCK, "left").select("label", "dim", "cid", "lead", (F.col("block") * BRANCHES + F.when(F.col("cuts").isNull(), 0).otherwise(part)).alias("block"))
@@ -136,17 +139,20 @@ def _meetings(vectors: DataFrame, threshold: float, count: int) -> DataFrame:
 
 
 def collisions(p: np.ndarray, q: np.ndarray, half: float) -> np.ndarray:
-    """How often each row of p collides with each row of q: per line, q is sorted and p's windows are stretches of it."""
-    out = np.zeros((len(p), len(q)), np.int16)
-    rows = np.arange(len(p))
+    """How often each row of p collides with each row of q: per line, q is sorted, and p's windows are stretches of its ranks."""
+    kind = np.min_scalar_type(len(q))
+    out, rank = np.zeros((len(p), len(q)), np.min_scalar_type(p.shape[1])), np.empty(len(q), kind)
     for k in range(p.shape[1]):
         order = np.argsort(q[:, k], kind="stable")
         line = q[order, k]
-        edge = np.zeros((len(p), len(q) + 1), np.int8)
-        edge[rows, np.searchsorted(line, p[:, k] - half, side="left")] += 1
-        edge[rows, np.searchsorted(line, p[:, k] + half, side="right")] -= 1
-        np.cumsum(edge, axis=1, dtype=np.int8, out=edge)
-        out[:, order] += edge[:, :-1]
+        rank[order] = np.arange(len(q))
+        first = np.searchsorted(line, p[:, k] - half, side="left")
+        width = (np.searchsorted(line, p[:, k] + half, side="right") - first).astype(kind)[:, None]
+        first = first.astype(kind)[:, None]
+        for lo in range(0, len(p), 64):
+            some = slice(lo, lo + 64)
+            # ranks before a window wrap round and are no part of it either
+            out[some] += (rank - first[some]) < width[some]
     return out
 
 
@@ -171,10 +177,11 @@ def _linked(threshold: float, count: int):
                 left = np.flatnonzero(block[at:end] == xs[at])
                 right = np.flatnonzero(block[at:end] == ys[at])
                 all_a, all_b = [], []
-                for lo in range(0, len(left), 256):
-                    some = left[lo : lo + 256]
-                    i, j = np.nonzero(collisions(p[some], p[right], half) >= count)
-                    a, b = some[i], right[j]
+                for lo in range(0, len(left), 512):
+                    # a block with itself: what lies before a stretch was counted with the stretches before it
+                    some, others = left[lo : lo + 512], right if apart else right[lo:]
+                    i, j = np.nonzero(collisions(p[some], p[others], half) >= count)
+                    a, b = some[i], others[j]
                     if not apart:  # a block with itself: each pair once
                         a, b = a[a < b], b[a < b]
                     for k in range(0, len(a), 100_000):

@@ -47,6 +47,15 @@ def test_collisions_are_those_of_query_centred_windows():
     assert (embedding_dedup.collisions(p, q, 0.3) == (np.abs(p[:, None] - q[None]) <= 0.3).sum(axis=2)).all()
 
 
+def test_labels_are_cut_into_no_more_blocks_than_they_need(spark):
+    """Each vector travels once a block of its label: 2,500 of one label are four blocks of about 600, 900 of another are one."""
+    lead = F.array(*(F.randn(i) for i in range(embedding_dedup.LEVELS)))
+    placed = spark.range(3400).select(F.when(F.col("id") < 2500, 1).otherwise(2).alias("label"), F.lit(8).alias("dim"), F.col("id").alias("cid"), lead.alias("lead"))
+    sizes = embedding_dedup._blocks(common.staged(placed, "placed"), 1000).groupBy("label", "block").count().collect()
+    assert sorted(r["label"] for r in sizes) == [1, 1, 1, 1, 2] and max(r["count"] for r in sizes) <= 1000
+    assert sum(r["count"] for r in sizes) == 3400
+
+
 def near(rng, x, cosine):
     """A vector of exactly about this cosine with x."""
     u = x / np.linalg.norm(x)
