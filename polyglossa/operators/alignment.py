@@ -289,38 +289,52 @@ def bridge(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter", extras:
     return gathered.mapInPandas(of, f"{chapter} {kind}, unit int, zh array<int>, en array<int>, ru array<int>")
 
 
+def _tops(links: DataFrame) -> DataFrame:
+    """(chapter, node, top): the smallest node of the component, for the nodes of links (chapter, a, b).
+
+    In a round every node takes its smallest neighbour, or itself, as its pointer; pointers are followed to their ends by
+    doubling, and the links between ends are what the next round works on. Two rounds leave at most half of the nodes.
+    Each step is written to the shared folder.
+    """
+    tops = None
+    while tops is None or not links.isEmpty():
+        both = links.select("chapter", F.col("a").alias("node"), F.col("b").alias("near")).unionByName(links.select("chapter", F.col("b").alias("node"), F.col("a").alias("near")))
+        up = staged(both.groupBy("chapter", "node").agg(F.min("near").alias("near")).select("chapter", "node", F.least("node", "near").alias("top")))
+        while True:
+            above = up.select("chapter", F.col("node").alias("top"), F.col("top").alias("above"))
+            up = staged(up.join(above, ["chapter", "top"]).select("chapter", "node", F.col("above").alias("top"), (F.col("above") < F.col("top")).alias("moved")))
+            done = up.where("moved").isEmpty()
+            up = up.select("chapter", "node", "top")
+            if done:
+                break
+        end = lambda own: up.select("chapter", F.col("node").alias(own), F.col("top").alias(f"{own}_top"))  # noqa: B023, E731
+        if tops is None:
+            tops = up
+        else:
+            tops = staged(tops.join(end("top"), ["chapter", "top"], "left").select("chapter", "node", F.coalesce("top_top", "top").alias("top")))
+        ends = links.join(end("a"), ["chapter", "a"]).join(end("b"), ["chapter", "b"])
+        links = staged(ends.select("chapter", F.col("a_top").alias("a"), F.col("b_top").alias("b")).where("a <> b").distinct())
+    return tops
+
+
 def bridge_by_links(zh_en: DataFrame, en_ru: DataFrame, chapter: str = "chapter") -> DataFrame:
     """bridge without extras for chapters of any size: no task holds a chapter, only the rows of a number or of a group.
 
-    Every group points at the smallest group known in its component. In a round a group sees, through the numbers that
-    it shares, the smallest pointer's pointer among its neighbours; it, and the group that it points at, take that one,
-    and pointers are followed once more. Rounds end when nothing changes, after about the logarithm of the longest chain.
-    Each is written to the shared folder.
+    The groups that share a number are linked to the smallest of them. What the links reach is found in rounds that leave
+    only the links between the groups that the round ended at, so that later rounds have little to do.
     """
     side = lambda df, k, en, own: df.select(F.col(chapter).alias("chapter"), (F.col("g").cast("long") * 2 + k).alias("node"), F.col(en).alias("en"), F.col(own).alias("own"))
-    groups = side(zh_en, 0, "right", "left").unionByName(side(en_ru, 1, "left", "right"))
-    links = staged(groups.select("chapter", "node", F.explode("en").alias("number")).distinct())
-    at = staged(groups.select("chapter", "node", F.col("node").alias("top")))
-    while True:
-        tops = at.select("chapter", F.col("node").alias("top"), F.col("top").alias("above"))
-        seen = at.join(tops, ["chapter", "top"], "left").select("chapter", "node", "top", F.coalesce("above", "top").alias("above"))
-        least = links.join(seen.select("chapter", "node", "above"), ["chapter", "node"]).groupBy("chapter", "number").agg(F.min("above").alias("above"))
-        near = links.join(least, ["chapter", "number"]).groupBy("chapter", "node").agg(F.min("above").alias("near"))
-        both = seen.join(near, ["chapter", "node"], "left").withColumn("near", F.least("above", F.coalesce("near", "above")))
-        # own pointer, and the pointer of the group pointed at
-        told = both.select("chapter", "node", F.col("near").alias("new")).unionByName(both.select("chapter", F.col("top").alias("node"), F.col("near").alias("new")))
-        best = told.groupBy("chapter", "node").agg(F.min("new").alias("new"))
-        at = staged(at.join(best, ["chapter", "node"]).select("chapter", "node", F.least("top", "new").alias("top"), (F.col("new") < F.col("top")).alias("moved")))
-        done = at.where("moved").isEmpty()
-        at = at.select("chapter", "node", "top")
-        if done:
-            break
-    member = groups.join(at, ["chapter", "node"]).withColumn("zh_group", F.col("node") % 2 == 0)
+    # Written once: the groupings are computed neither for the links nor for the units again.
+    groups = staged(side(zh_en, 0, "right", "left").unionByName(side(en_ru, 1, "left", "right")).where("chapter IS NOT NULL AND node IS NOT NULL"))
+    numbers = groups.select("chapter", "node", F.explode("en").alias("number")).where("number IS NOT NULL")
+    least = numbers.withColumn("b", F.min("node").over(Window.partitionBy("chapter", "number")))
+    tops = _tops(staged(least.select("chapter", F.col("node").alias("a"), "b").where("a <> b").distinct()))
+    member = groups.join(tops, ["chapter", "node"], "left").withColumn("top", F.coalesce("top", "node")).withColumn("zh_group", F.col("node") % 2 == 0)
     gathered = lambda c, mine=None: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(mine, F.col(c)) if mine is not None else F.col(c)))))
     units = member.groupBy("chapter", "top").agg(
         F.min(F.when(F.col("zh_group"), F.col("node"))).alias("first"), gathered("own", F.col("zh_group")).alias("zh"), gathered("en").alias("en"), gathered("own", ~F.col("zh_group")).alias("ru")
     ).where("first IS NOT NULL")
-    numbered = running_totals(units, ["chapter"], ["first"], {"unit": F.lit(1)})
+    numbered = running_totals(staged(units), ["chapter"], ["first"], {"unit": F.lit(1)})
     return numbered.select(F.col("chapter").alias(chapter), (F.col("unit") + 1).cast("int").alias("unit"), "zh", "en", "ru")
 
 

@@ -196,6 +196,24 @@ def test_bridge_by_links_equals_bridge(spark):
     assert alignment.bridge_by_links(a.limit(0), b.limit(0)).count() == 0
 
 
+def test_bridge_by_links_computes_its_groupings_once(spark):
+    """However many rounds follow; a group that many smaller ones share, and one between two chains, too."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            computed.add(len(pdf))
+            yield pdf
+
+    schema = "chapter int, g int, left array<int>, right array<int>"
+    a = [(1, g, [g], [g]) for g in range(1, 40)] + [(2, g, [g], [2 * g, 2 * g + 1]) for g in range(1, 60)] + [(3, 1, [1], [5, 6]), (3, 2, [2], None)]
+    b = [(1, 99, list(range(1, 40)), [99])] + [(2, g, [2 * g + 1, 2 * g + 2], [g]) for g in range(1, 60) if g != 30] + [(3, 1, [6, None], [1])]
+    once = [spark.createDataFrame(rows, schema).mapInPandas(counted, schema) for rows in (a, b)]
+    got = alignment.bridge_by_links(*once).collect()
+    assert computed.value == len(a) + len(b)
+    assert sorted((u["chapter"], u["unit"], len(u["zh"]), len(u["ru"])) for u in got) == [(1, 1, 39, 1), (2, 1, 30, 29), (2, 2, 29, 29), (3, 1, 1, 1), (3, 2, 1, 0)]
+
+
 def test_scores_of_tiles_equal_those_of_whole_chapters(spark):
     rng = np.random.default_rng(7)
     sides = {("a", "left"): 9, ("a", "right"): 11, ("b", "left"): 4, ("b", "right"): 1, ("c", "left"): 1, ("c", "right"): 6, ("d", "left"): 5}
